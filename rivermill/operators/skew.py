@@ -23,22 +23,22 @@ MAX_BROADCAST_ROWS = 100_000
 class Arrival:
     """Arrival order of rows: ``order`` columns and a coarser, never decreasing ``chunk``.
 
-    ``chunk`` cuts the rows of a hot key into pieces of about ``rows_per_task``.
+    ``chunk`` is an SQL expression over the order columns that cuts the rows of a hot key into pieces of about ``rows_per_task``.
     """
 
     order: tuple[str, ...]
-    chunk: Column
+    chunk: str
     rows_per_task: int = ROWS_PER_TASK
 
     @staticmethod
     def by_number(column: str, rows_per_task: int = ROWS_PER_TASK) -> Arrival:
         """Order by a unique number: a chunk holds at most ``rows_per_task`` rows."""
-        return Arrival((column,), F.floor(F.col(column) / rows_per_task), rows_per_task)
+        return Arrival((column,), f"{column} div {rows_per_task}", rows_per_task)
 
     @staticmethod
     def by_offset(rows_per_task: int = ROWS_PER_TASK) -> Arrival:
         """Order of a partitioned topic whose records of one key share a partition."""
-        piece = F.struct(F.col("partition"), F.floor(F.col("offset") / rows_per_task))
+        piece = f"struct(partition, offset div {rows_per_task})"
         return Arrival(("partition", "offset"), piece, rows_per_task)
 
 
@@ -58,12 +58,12 @@ def hot_keys(
     )
 
 
-def with_chunk(df: DataFrame, keys: Sequence[str], chunk: Column, rows_per_task: int) -> DataFrame:
-    """Adds ``_chunk``: ``chunk`` on rows of hot keys, null on all others."""
-    hot = hot_keys(df, keys, rows_per_task).select(*keys, F.lit(True).alias("_hot"))
+def with_chunk(df: DataFrame, keys: Sequence[str], arrival: Arrival) -> DataFrame:
+    """Adds ``_chunk``: the arrival chunk on rows of hot keys, null on all others."""
+    hot = hot_keys(df, keys, arrival.rows_per_task).select(*keys, F.lit(True).alias("_hot"))
     return (
         df.join(F.broadcast(hot), list(keys), "left")
-        .withColumn("_chunk", F.when(F.col("_hot"), chunk))
+        .withColumn("_chunk", F.when(F.col("_hot"), F.expr(arrival.chunk)))
         .drop("_hot")
     )
 
@@ -80,7 +80,7 @@ def previous(
     Hot keys are windowed per chunk; the first row of a chunk takes the last row of the key's
     chunk before it, from a summary with one row per hot key and chunk.
     """
-    cut = with_chunk(df, keys, arrival.chunk, arrival.rows_per_task)
+    cut = with_chunk(df, keys, arrival)
     by_order = Window.partitionBy(*keys, "_chunk").orderBy(*arrival.order)
     inner = cut.withColumn("_inner", F.lag(F.struct(*values)).over(by_order))
 
@@ -120,7 +120,7 @@ def first(
     )
     return (
         df.join(F.broadcast(hot), list(keys), "left")
-        .withColumn("_chunk", F.when(F.col("_rows").isNotNull(), arrival.chunk))
+        .withColumn("_chunk", F.when(F.col("_rows").isNotNull(), F.expr(arrival.chunk)))
         .withColumn("_own", F.first(value).over(by_order))
         .withColumn(out, F.when(F.col("_rows").isNotNull(), F.col("_first")).otherwise(F.col("_own")))
         .drop("_rows", "_first", "_own", "_chunk")
