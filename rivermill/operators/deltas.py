@@ -24,7 +24,7 @@ def amount_deltas(
     current = {name: F.coalesce(value, F.lit(0)).cast(MONEY_SUM) for name, value in amounts.items()}
     valued = df.select("*", *[value.alias(name) for name, value in current.items()])
     if df.isStreaming:
-        return state.amount_deltas(valued, arrival.order, list(current), key)
+        return state.amount_deltas(valued, arrival, list(current), key)
     seen = skew.previous(valued, [key], arrival, list(current), "_before")
     for name in current:
         before = F.coalesce(F.col("_before")[name], F.lit(0))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 5_000_000
 MAX_HOT_KEYS = 1_000
+MAX_PIECES = 4_096
 MAX_BROADCAST_ROWS = 100_000
 
 
@@ -23,23 +24,25 @@ MAX_BROADCAST_ROWS = 100_000
 class Arrival:
     """Arrival order of rows: ``order`` columns and a coarser, never decreasing ``chunk``.
 
-    ``chunk`` is an SQL expression over the order columns that cuts the rows of a hot key into pieces of about ``rows_per_task``.
+    ``chunk`` is an SQL expression over the order columns that cuts the rows of a hot key into
+    pieces of about ``rows_per_task``. ``finite`` marks a stream replay that stops at its end.
     """
 
     order: tuple[str, ...]
     chunk: str
     rows_per_task: int = ROWS_PER_TASK
+    finite: bool = False
 
     @staticmethod
-    def by_number(column: str, rows_per_task: int = ROWS_PER_TASK) -> Arrival:
+    def by_number(column: str, rows_per_task: int = ROWS_PER_TASK, finite: bool = False) -> Arrival:
         """Order by a unique number: a chunk holds at most ``rows_per_task`` rows."""
-        return Arrival((column,), f"{column} div {rows_per_task}", rows_per_task)
+        return Arrival((column,), f"{column} div {rows_per_task}", rows_per_task, finite)
 
     @staticmethod
-    def by_offset(rows_per_task: int = ROWS_PER_TASK) -> Arrival:
+    def by_offset(rows_per_task: int = ROWS_PER_TASK, finite: bool = False) -> Arrival:
         """Order of a partitioned topic whose records of one key share a partition."""
         piece = f"struct(partition, offset div {rows_per_task})"
-        return Arrival(("partition", "offset"), piece, rows_per_task)
+        return Arrival(("partition", "offset"), piece, rows_per_task, finite)
 
 
 def hot_keys(
@@ -58,16 +61,6 @@ def hot_keys(
     )
 
 
-def with_chunk(df: DataFrame, keys: Sequence[str], arrival: Arrival) -> DataFrame:
-    """Adds ``_chunk``: the arrival chunk on rows of hot keys, null on all others."""
-    hot = hot_keys(df, keys, arrival.rows_per_task).select(*keys, F.lit(True).alias("_hot"))
-    return (
-        df.join(F.broadcast(hot), list(keys), "left")
-        .withColumn("_chunk", F.when(F.col("_hot"), F.expr(arrival.chunk)))
-        .drop("_hot")
-    )
-
-
 def previous(
     df: DataFrame,
     keys: Sequence[str],
@@ -78,16 +71,19 @@ def previous(
     """Adds struct ``out``: ``values`` of the row that arrived before within the key, else null.
 
     Hot keys are windowed per chunk; the first row of a chunk takes the last row of the key's
-    chunk before it, from a summary with one row per hot key and chunk.
+    chunk before it, from a summary with one row per hot key and chunk. Without hot keys adaptive
+    execution drops the summary and its scan. Null keys form one group, as in any window.
     """
-    cut = with_chunk(df, keys, arrival)
+    chunk = F.expr(arrival.chunk)
+    hot = F.broadcast(hot_keys(df, keys, arrival.rows_per_task).select(*keys, F.lit(True).alias("_hot")))
+    cut = df.join(hot, list(keys), "left").withColumn("_chunk", F.when(F.col("_hot"), chunk)).drop("_hot")
     by_order = Window.partitionBy(*keys, "_chunk").orderBy(*arrival.order)
     inner = cut.withColumn("_inner", F.lag(F.struct(*values)).over(by_order))
 
     moment = F.struct(*[F.col(c) for c in arrival.order])
     carried = (
-        cut.filter(F.col("_chunk").isNotNull())
-        .groupBy(*keys, "_chunk")
+        df.join(hot, list(keys), "inner")
+        .groupBy(*keys, chunk.alias("_chunk"))
         .agg(F.max_by(F.struct(*values), moment).alias("_last"))
         .withColumn("_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_chunk")))
         .select(*keys, "_chunk", "_carry")
@@ -135,36 +131,52 @@ def equi_join(
     *,
     right_unique: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
-    salts: int = 64,
 ) -> DataFrame:
-    """Equality join that spreads the rows of a hot key over ``salts`` tasks.
+    """Equality join that cuts the rows of a hot key into pieces of about ``rows_per_task``.
 
-    A row of a hot key gets a salt from a hash of its columns (keep a unique arrival column among
-    them, so that copies spread too); the other side's rows of that key are repeated per salt.
-    With ``right_unique`` no key of the right side can be hot and only the left side is split.
+    A row of a hot key gets a piece number from a hash of its columns (keep a unique arrival column
+    among them, so that copies spread too); the other side's rows of that key are repeated for each
+    piece. With ``right_unique`` no key of the right side can be hot and only the left side is cut.
     A ``left`` join needs ``right_unique``: reduce the right side with ``upsert.latest`` first.
     """
     if how not in ("inner", "left") or (how == "left" and not right_unique):
         raise ValueError(f"unsupported join: {how}, right_unique={right_unique}")
     keys = list(keys)
-    hot = {"_left_salt": hot_keys(left, keys, rows_per_task).select(*keys)}
+    counted = left.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
     if not right_unique:
-        hot["_right_salt"] = hot_keys(right, keys, rows_per_task).select(*keys)
-
-    def salted(df: DataFrame, own: str) -> DataFrame:
-        row_hash = F.xxhash64(*[F.col(c) for c in df.columns if "map<" not in df.schema[c].dataType.simpleString()])
-        for name, rows in hot.items():
-            all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
-            marked = df.join(F.broadcast(rows.withColumn("_hot", F.lit(True))), keys, "left")
-            if name == own:
-                salt = F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salts)).cast("int")).otherwise(0)
-            else:
-                salt = F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0))))
-            df = marked.withColumn(name, salt).drop("_hot")
-        return df
-
-    on = [*keys, *hot]
-    return salted(left, "_left_salt").join(salted(right, "_right_salt"), on, how).drop(*hot)
+        counted = counted.unionByName(right.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_r")))
+
+    def pieces(side: str) -> Column:
+        wanted = F.ceil(F.col(side) / rows_per_task)
+        return F.greatest(F.lit(1), F.least(wanted, F.lit(MAX_PIECES))).cast("int").alias(side)
+
+    hot = F.broadcast(
+        counted.groupBy(*keys)
+        .agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+        .filter((F.col("_l") > rows_per_task) | (F.col("_r") > rows_per_task))
+        .orderBy(F.desc(F.greatest("_l", "_r")), *keys)
+        .limit(MAX_HOT_KEYS)
+        .select(*keys, pieces("_l"), pieces("_r"))
+    )
+
+    has_null = F.greatest(*[F.col(key).isNull() for key in keys], F.lit(False))
+
+    def cut(df: DataFrame, own: str, other: str) -> DataFrame:
+        hashed = [c for c in df.columns if "map<" not in df.schema[c].dataType.simpleString()]
+        marked = df.join(hot, keys, "left").withColumn("_piece", F.xxhash64(*hashed))
+        # Rows with a null key match nothing: the left side's spread freely.
+        spread = F.lit(MAX_PIECES if own == "_l" else 1)
+        parts = F.when(has_null, spread).otherwise(F.coalesce(F.col(own), F.lit(1)))
+        piece = F.pmod("_piece", parts).cast("int")
+        copies = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)
+        return (
+            marked.withColumn(own + "_piece", piece)
+            .withColumn(other + "_piece", F.explode(copies))
+            .drop("_l", "_r", "_piece")
+        )
+
+    on = [*keys, "_l_piece", "_r_piece"]
+    return cut(left, "_l", "_r").join(cut(right, "_r", "_l"), on, how).drop("_l_piece", "_r_piece")
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:

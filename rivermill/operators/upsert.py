@@ -61,11 +61,12 @@ def fold_dimensions(
             F.when(F.col("column").isNotNull(), F.struct("column", "cell", "_at"))
         ).alias("_cells"),
     )
-    alive = F.filter(
-        "_cells", lambda c: F.col("_deleted").isNull() | (c["_at"] > F.col("_deleted"))
-    )
-    data = F.map_from_entries(F.transform(alive, lambda c: F.struct(c["column"], c["cell"])))
-    return per_row.select(*key, data.alias("data")).filter(F.size("data") > 0)
+    def alive(cell: Column) -> Column:
+        return F.col("_deleted").isNull() | (cell["_at"] > F.col("_deleted"))
+
+    cells = F.transform(F.filter("_cells", alive), lambda c: F.struct(c["column"], c["cell"]))
+    living = per_row.filter(F.exists("_cells", alive))
+    return living.select(*key, F.map_from_entries(cells).alias("data"))
 
 
 def dimension_table(folded: DataFrame, sink_table: str, columns: Sequence[str]) -> DataFrame:

@@ -27,7 +27,7 @@ def repair_new_visitors(
     The first row of a device fixes its first day: its own day if flagged new, else the day before.
     """
     if df.isStreaming:
-        return state.repair_new_visitors(df, arrival.order, key, flag, ts)
+        return state.repair_new_visitors(df, arrival, key, flag, ts)
     says_new = F.coalesce(F.col(flag) == "1", F.lit(False))
     first_day = F.when(says_new, times.ms_to_day(ts)).otherwise(times.ms_to_day(F.col(ts) - DAY_MS))
     known = skew.first(df, [key], arrival, first_day, "_first_day")
@@ -40,7 +40,7 @@ def daily_first(
 ) -> DataFrame:
     """Adds ``out`` = 1 on a row whose day differs from the key's row before, else 0."""
     if df.isStreaming:
-        return state.daily_first(df, arrival.order, keys, out, ts)
+        return state.daily_first(df, arrival, keys, out, ts)
     dated = df.withColumn("_day", times.ms_to_day(ts))
     seen = skew.previous(dated, keys, arrival, ["_day"], "_before")
     again = F.coalesce(F.col("_before._day") == F.col("_day"), F.lit(False))
@@ -75,7 +75,7 @@ def unique_and_returning(
     Absence counts from midnight of the last login's day. Further logins of a day are dropped.
     """
     if df.isStreaming:
-        return state.unique_and_returning(df, arrival.order, key, ts)
+        return state.unique_and_returning(df, arrival, key, ts)
     dated = df.withColumn("_day", times.ms_to_day(ts))
     seen = skew.previous(dated, [key], arrival, ["_day"], "_before")
     last_day = F.col("_before._day")

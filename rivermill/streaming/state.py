@@ -8,6 +8,7 @@ form's source rules, from the last write; bound a micro-batch with the source's
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from decimal import Decimal
 from functools import partial
@@ -20,6 +21,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rivermill.config import DAILY_TTL_MS, DAY_MS, DELTA_TTL_MS, RETURN_AFTER_MS
 from rivermill.functions import times
+from rivermill.operators.skew import Arrival
 
 # A rule takes a key's rows in arrival order and its live state, and gives the output rows and
 # the values to store, or None to leave the state as it is.
@@ -29,13 +31,18 @@ Rule = Callable[[pd.DataFrame, tuple | None], tuple[pd.DataFrame, tuple | None]]
 def run_rule(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str],
+    arrival: Arrival,
     rule: Rule,
     added: Sequence[T.StructField],
     state_type: T.StructType,
     ttl_ms: int | None = None,
 ) -> DataFrame:
-    """Applies ``rule`` per key; output has the columns of ``df`` and the ``added`` ones."""
+    """Applies ``rule`` per key; output has the columns of ``df`` and the ``added`` ones.
+
+    State past ``ttl_ms`` counts as absent. Spark evicts it by a timeout, except for a ``finite``
+    arrival (a replay that stops at the end of its input), which a timeout would keep running.
+    """
+    evict = bool(ttl_ms) and not arrival.finite
     kept = [f for f in df.schema.fields if f.name not in {a.name for a in added}]
     out_type = T.StructType([*kept, *added])
     names = out_type.fieldNames()
@@ -46,8 +53,8 @@ def run_rule(
             state.remove()
             return
         rows = pd.concat(list(batches), ignore_index=True)
-        rows = rows.sort_values(list(order), kind="stable", ignore_index=True)
-        now = state.getCurrentProcessingTimeMs() if ttl_ms else 0
+        rows = rows.sort_values(list(arrival.order), kind="stable", ignore_index=True)
+        now = state.getCurrentProcessingTimeMs() if evict else int(time.time() * 1000)
         live, expires = None, 0
         if state.exists:
             *values, expires = state.get
@@ -57,12 +64,12 @@ def run_rule(
         if stored is not None:
             expires = now + ttl_ms if ttl_ms else 0
             state.update((*stored, expires))
-        if ttl_ms and state.exists:
+        if evict and state.exists:
             state.setTimeoutDuration(max(expires - now, 1))
         if len(out):
             yield out[names]
 
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if evict else GroupStateTimeout.NoTimeout
     return df.groupBy(*keys).applyInPandasWithState(step, out_type, stored_type, "append", timeout)
 
 
@@ -89,11 +96,11 @@ def _repair(flag: str, rows: pd.DataFrame, live: tuple | None):
     return rows, stored
 
 
-def repair_new_visitors(df: DataFrame, order: Sequence[str], key: str, flag: str, ts: str) -> DataFrame:
+def repair_new_visitors(df: DataFrame, arrival: Arrival, key: str, flag: str, ts: str) -> DataFrame:
     dated = _dated(df, ts).withColumn("_shifted", F.col(ts) - DAY_MS)
     day_before = F.datediff(times.ms_to_day("_shifted"), F.lit("1970-01-01").cast("date"))
     dated = dated.withColumn("_before", day_before.cast("bigint")).drop("_shifted")
-    result = run_rule(dated, [key], order, partial(_repair, flag), [], _DAY_STATE)
+    result = run_rule(dated, [key], arrival, partial(_repair, flag), [], _DAY_STATE)
     return result.drop("_day", "_before")
 
 
@@ -108,10 +115,10 @@ def _daily(out: str, rows: pd.DataFrame, live: tuple | None):
 
 
 def daily_first(
-    df: DataFrame, order: Sequence[str], keys: Sequence[str], out: str, ts: str
+    df: DataFrame, arrival: Arrival, keys: Sequence[str], out: str, ts: str
 ) -> DataFrame:
     rule = partial(_daily, out)
-    flagged = run_rule(_dated(df, ts), keys, order, rule, [_flag(out)], _DAY_STATE, DAILY_TTL_MS)
+    flagged = run_rule(_dated(df, ts), keys, arrival, rule, [_flag(out)], _DAY_STATE, DAILY_TTL_MS)
     return flagged.drop("_day")
 
 
@@ -125,11 +132,11 @@ def _login(ts: str, rows: pd.DataFrame, live: tuple | None):
     return rows[rows["uu_ct"] == 1], stored
 
 
-def unique_and_returning(df: DataFrame, order: Sequence[str], key: str, ts: str) -> DataFrame:
+def unique_and_returning(df: DataFrame, arrival: Arrival, key: str, ts: str) -> DataFrame:
     dated = _dated(df, ts).withColumn("_midnight", times.midnight_ms(times.ms_to_day(ts)))
     stored = T.StructType([*_DAY_STATE.fields, T.StructField("midnight", T.LongType())])
     added = [_flag("back_ct"), _flag("uu_ct")]
-    return run_rule(dated, [key], order, partial(_login, ts), added, stored).drop("_day", "_midnight")
+    return run_rule(dated, [key], arrival, partial(_login, ts), added, stored).drop("_day", "_midnight")
 
 
 def _delta(names: Sequence[str], rows: pd.DataFrame, live: tuple | None):
@@ -141,8 +148,8 @@ def _delta(names: Sequence[str], rows: pd.DataFrame, live: tuple | None):
     return rows, last
 
 
-def amount_deltas(df: DataFrame, order: Sequence[str], names: Sequence[str], key: str) -> DataFrame:
+def amount_deltas(df: DataFrame, arrival: Arrival, names: Sequence[str], key: str) -> DataFrame:
     money = T.DecimalType(38, 2)
     added = [T.StructField(name, money) for name in names]
     stored = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    return run_rule(df, [key], order, partial(_delta, list(names)), added, stored, DELTA_TTL_MS)
+    return run_rule(df, [key], arrival, partial(_delta, list(names)), added, stored, DELTA_TTL_MS)
