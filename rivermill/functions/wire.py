@@ -53,9 +53,8 @@ def fields(source: str, names: Iterable[str]) -> list[Column]:
     return [F.col(source)[name].alias(name) for name in names]
 
 
-def keep_keys(data: Column, csv: Column) -> Column:
-    """Entries of ``data`` whose key is listed in the comma-separated ``csv`` (not trimmed)."""
-    wanted = F.split(csv, ",")
+def keep_keys(data: Column, wanted: Column) -> Column:
+    """Entries of ``data`` whose key is in the array ``wanted``."""
     return F.map_filter(data, lambda key, _: F.array_contains(wanted, key))
 
 

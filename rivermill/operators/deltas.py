@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivermill.functions.wire import MONEY_SUM, amount_or_zero
+from rivermill.functions.wire import MONEY, MONEY_SUM, amount_or_zero
 from rivermill.operators import skew
 from rivermill.operators.skew import Arrival
 from rivermill.streaming import state
@@ -18,23 +18,20 @@ def amount_deltas(
 ) -> DataFrame:
     """Adds each amount minus its value at the row of the same ``key`` that arrived before.
 
-    The first emission counts from zero. In batch the last amounts never expire; on a stream they
+    ``amounts`` are decimals without nulls. The first emission counts from zero. In batch the last amounts never expire; on a stream they
     do after 30 idle seconds, so a later emission counts in full again.
     """
-    current = {name: F.coalesce(value, F.lit(0)).cast(MONEY_SUM) for name, value in amounts.items()}
-    valued = df.select("*", *[value.alias(name) for name, value in current.items()])
+    valued = df.select("*", *[value.alias(name) for name, value in amounts.items()])
     if df.isStreaming:
-        return state.amount_deltas(valued, arrival, list(current), key)
-    seen = skew.previous(valued, [key], arrival, list(current), "_before")
-    for name in current:
-        before = F.coalesce(F.col("_before")[name], F.lit(0))
-        seen = seen.withColumn(name, (F.col(name) - before).cast(MONEY_SUM))
-    return seen.drop("_before")
+        return state.amount_deltas(valued, arrival, list(amounts), key)
+    seen = skew.previous(valued, [key], arrival, list(amounts), "_before")
+    changes = {n: F.col(n) - F.coalesce(F.col("_before")[n], F.lit(0).cast(MONEY)) for n in amounts}
+    return seen.withColumns(changes).drop("_before")
 
 
 def sku_deltas(facts: DataFrame, arrival: Arrival) -> DataFrame:
     """Original (price times count), activity, coupon and total amount changes of an order line."""
-    original = amount_or_zero(F.col("order_price")) * amount_or_zero(F.col("sku_num"))
+    original = (amount_or_zero(F.col("order_price")) * amount_or_zero(F.col("sku_num"))).cast(MONEY_SUM)
     amounts = {
         "original_amount": original,
         "activity_reduce_amount": amount_or_zero(F.col("split_activity_amount")),

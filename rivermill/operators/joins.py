@@ -31,8 +31,9 @@ def order_facts(
     info = upsert.latest(infos, ["id"], order).drop(*order).withColumnRenamed("id", "order_id")
     lines = line.join(activity, "id", "left").join(coupon, "id", "left")
     joined = skew.equi_join(
-        lines, info, ["order_id"], right_unique=True, rows_per_task=arrival.rows_per_task
-    )
+        lines, info, ["order_id"], right_unique=True, rows_per_task=arrival.rows_per_task,
+        left_counted=details,
+    )
     return joined.select(*schemas.ORDER_FACT_COLUMNS, *order)
 
 

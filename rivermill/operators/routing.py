@@ -10,13 +10,14 @@ from rivermill.operators import skew
 
 
 def _with_rules(changes: DataFrame, rules: DataFrame, keys: dict[str, str]) -> DataFrame:
-    """Inner join of change records to the rules of their table (and type).
+    """Inner join of change records to the rules of their table (and type), as ``columns``.
 
-    Rules are counted first and broadcast while few; past that bound they join by shuffle.
+    The listed names are split, untrimmed, once per rule. Rules are counted first and broadcast while few; past that bound they join by shuffle.
     """
     renamed = rules.select(
         *[F.col(rule).alias(column) for column, rule in keys.items()],
         *[c for c in rules.columns if c not in keys.values()],
+        F.split("sink_columns", ",").alias("columns"),
     )
     small = skew.broadcast_if_small(renamed)
     if small is not None or changes.isStreaming:
@@ -30,7 +31,7 @@ def route_dimensions(changes: DataFrame, rules: DataFrame, *keep: str) -> DataFr
     The row key is read from the pruned columns, as it names the stored row.
     """
     routed = _with_rules(changes, rules, {"table": "source_table"})
-    data = wire.keep_keys(F.col("data"), F.col("sink_columns"))
+    data = wire.keep_keys(F.col("data"), F.col("columns"))
     pruned = routed.withColumn("data", data)
     row_key = F.element_at("data", F.col("sink_row_key"))
     return pruned.select("sink_table", row_key.alias("row_key"), "type", "data", *keep)
@@ -39,7 +40,7 @@ def route_dimensions(changes: DataFrame, rules: DataFrame, *keep: str) -> DataFr
 def route_facts(changes: DataFrame, rules: DataFrame, *keep: str) -> DataFrame:
     """Fact rows ``(sink_table, data)`` of the table and type pairs that have a rule."""
     routed = _with_rules(changes, rules, {"table": "source_table", "type": "source_type"})
-    data = wire.keep_keys(F.col("data"), F.col("sink_columns"))
+    data = wire.keep_keys(F.col("data"), F.col("columns"))
     return routed.select("sink_table", data.alias("data"), *keep)
 
 

@@ -67,15 +67,19 @@ def previous(
     arrival: Arrival,
     values: Sequence[str],
     out: str,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Adds struct ``out``: ``values`` of the row that arrived before within the key, else null.
 
     Hot keys are windowed per chunk; the first row of a chunk takes the last row of the key's
     chunk before it, from a summary with one row per hot key and chunk. Without hot keys adaptive
     execution drops the summary and its scan. Null keys form one group, as in any window.
+    ``hot`` gives the result of :func:`hot_keys` where a cheaper input than ``df`` can tell it.
     """
     chunk = F.expr(arrival.chunk)
-    hot = F.broadcast(hot_keys(df, keys, arrival.rows_per_task).select(*keys, F.lit(True).alias("_hot")))
+    if hot is None:
+        hot = hot_keys(df, keys, arrival.rows_per_task)
+    hot = F.broadcast(hot.select(*keys, F.lit(True).alias("_hot")))
     cut = df.join(hot, list(keys), "left").withColumn("_chunk", F.when(F.col("_hot"), chunk)).drop("_hot")
     by_order = Window.partitionBy(*keys, "_chunk").orderBy(*arrival.order)
     inner = cut.withColumn("_inner", F.lag(F.struct(*values)).over(by_order))
@@ -131,6 +135,7 @@ def equi_join(
     *,
     right_unique: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
+    left_counted: DataFrame | None = None,
 ) -> DataFrame:
     """Equality join that cuts the rows of a hot key into pieces of about ``rows_per_task``.
 
@@ -138,11 +143,13 @@ def equi_join(
     among them, so that copies spread too); the other side's rows of that key are repeated for each
     piece. With ``right_unique`` no key of the right side can be hot and only the left side is cut.
     A ``left`` join needs ``right_unique``: reduce the right side with ``upsert.latest`` first.
+    Keys of the left side are counted on ``left_counted`` where that is cheaper to compute.
     """
     if how not in ("inner", "left") or (how == "left" and not right_unique):
         raise ValueError(f"unsupported join: {how}, right_unique={right_unique}")
     keys = list(keys)
-    counted = left.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
+    source = left if left_counted is None else left_counted
+    counted = source.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
     if not right_unique:
         counted = counted.unionByName(right.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_r")))
 

@@ -36,13 +36,18 @@ def repair_new_visitors(
 
 
 def daily_first(
-    df: DataFrame, keys: Sequence[str], out: str, arrival: Arrival, ts: str = "ts"
+    df: DataFrame,
+    keys: Sequence[str],
+    out: str,
+    arrival: Arrival,
+    ts: str = "ts",
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``out`` = 1 on a row whose day differs from the key's row before, else 0."""
     if df.isStreaming:
         return state.daily_first(df, arrival, keys, out, ts)
     dated = df.withColumn("_day", times.ms_to_day(ts))
-    seen = skew.previous(dated, keys, arrival, ["_day"], "_before")
+    seen = skew.previous(dated, keys, arrival, ["_day"], "_before", hot)
     again = F.coalesce(F.col("_before._day") == F.col("_day"), F.lit(False))
     return seen.withColumn(out, F.when(again, 0).otherwise(1).cast("bigint")).drop("_day", "_before")
 

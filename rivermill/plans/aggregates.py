@@ -14,12 +14,17 @@ from rivermill.operators.skew import Arrival
 from rivermill.sources.topics import with_log_time
 
 
-def traffic(pages: DataFrame, arrival: Arrival, day: str | None = None) -> DataFrame:
-    """Visitors, sessions, views and stay time by version, channel, region and new flag."""
+def traffic(
+    pages: DataFrame, arrival: Arrival, day: str | None = None, hot: DataFrame | None = None
+) -> DataFrame:
+    """Visitors, sessions, views and stay time by version, channel, region and new flag.
+
+    ``hot`` names the devices with very many rows, if known (``skew.hot_keys`` on ``mid``).
+    """
     rows = clean.clean_pages(pages).select(
         "mid", "vc", "ch", "ar", "is_new", "last_page_id", "during_time", "ts", *arrival.order
     )
-    flagged = visitors.daily_first(rows, ["mid"], "uv_ct", arrival)
+    flagged = visitors.daily_first(rows, ["mid"], "uv_ct", arrival, hot=hot)
     return windows.traffic(visitors.session_measures(flagged), day)
 
 

@@ -50,6 +50,18 @@ def read_topic(
     return non_empty(raw)
 
 
+def spread(raw: DataFrame) -> DataFrame:
+    """Deals rows out to all cores when the input comes in fewer pieces than there are cores.
+
+    For a few files or row groups that cannot be split further; larger inputs are left alone. Needed
+    columns and filters still reach the scan below.
+    """
+    cores = raw.sparkSession.sparkContext.defaultParallelism
+    if raw.isStreaming or raw.rdd.getNumPartitions() >= cores:
+        return raw
+    return raw.repartition(cores)
+
+
 def non_empty(raw: DataFrame) -> DataFrame:
     """Drops tombstones: records with a null or blank value."""
     return raw.filter(F.col("value").isNotNull() & (F.trim("value") != ""))

@@ -20,6 +20,7 @@ from rivermill.operators import (
     joins,
     project,
     routing,
+    skew,
     split,
     upsert,
     visitors,
@@ -330,8 +331,10 @@ def traffic_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def repaired_traffic_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw log texts to traffic windows: clean, repair, split, flag and aggregate."""
-    pages = split.pages(detail.repaired_logs(_logs(spark, sf_dir), s.BY_EVENT), "event_id")
-    return aggregates.traffic(detail.page_rows(pages, "event_id"), s.BY_EVENT, s.DAY)
+    logs = _logs(spark, sf_dir)
+    hot = skew.hot_keys(logs.select("common.mid"), ["mid"])
+    pages = split.pages(detail.repaired_logs(logs, s.BY_EVENT), "event_id")
+    return aggregates.traffic(detail.page_rows(pages, "event_id"), s.BY_EVENT, s.DAY, hot)
 
 
 @query

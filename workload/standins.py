@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivermill.operators.skew import Arrival
-from rivermill.sources.topics import with_row_time
+from rivermill.sources.topics import spread, with_row_time
 
 DAY = "20240131"
 TEXT = "string"
+FACTS = ("events", "lineitem", "orders", "documents", "conversations")
 LINE_ORDER = ("at", "n1", "n2", "n3")
 
 BY_EVENT = Arrival.by_number("event_id")
@@ -21,7 +22,8 @@ BY_LINE = Arrival(LINE_ORDER, "struct(at, n1 div 1000)")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    read = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(read) if name in FACTS else read
 
 
 def cents(column: str) -> Column:
