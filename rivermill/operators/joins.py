@@ -34,7 +34,7 @@ def order_facts(
         lines, info, ["order_id"], right_unique=True, rows_per_task=arrival.rows_per_task,
         left_counted=details,
     )
-    return joined.select(*schemas.ORDER_FACT_COLUMNS, *order)
+    return joined.select(*dict.fromkeys([*schemas.ORDER_FACT_COLUMNS, *order]))
 
 
 def order_facts_stream(

@@ -14,6 +14,11 @@ from rivermill.operators.skew import Arrival
 from rivermill.sources.topics import with_log_time
 
 
+def _narrow(df: DataFrame, arrival: Arrival, *names: str) -> DataFrame:
+    """The named and the arrival columns: keyed state on a stream is not pruned by the optimizer."""
+    return df.select(*dict.fromkeys([*names, *arrival.order]))
+
+
 def traffic(
     pages: DataFrame, arrival: Arrival, day: str | None = None, hot: DataFrame | None = None
 ) -> DataFrame:
@@ -21,16 +26,17 @@ def traffic(
 
     ``hot`` names the devices with very many rows, if known (``skew.hot_keys`` on ``mid``).
     """
-    rows = clean.clean_pages(pages).select(
-        "mid", "vc", "ch", "ar", "is_new", "last_page_id", "during_time", "ts", *arrival.order
-    )
+    rows = _narrow(
+        clean.clean_pages(pages), arrival,
+        "mid", "vc", "ch", "ar", "is_new", "last_page_id", "during_time", "ts",
+    )
     flagged = visitors.daily_first(rows, ["mid"], "uv_ct", arrival, hot=hot)
     return windows.traffic(visitors.session_measures(flagged), day)
 
 
 def home_detail(pages: DataFrame, arrival: Arrival, day: str | None = None) -> DataFrame:
     """Daily unique viewers of the home page and of product pages."""
-    rows = clean.clean_home_pages(pages).select("mid", "page_id", "ts", *arrival.order)
+    rows = _narrow(clean.clean_home_pages(pages), arrival, "mid", "page_id", "ts")
     return windows.home_detail(visitors.home_detail_firsts(rows, arrival), day)
 
 
@@ -64,7 +70,7 @@ def keyword_rows(pages: DataFrame, dictionary: DataFrame | None = None) -> DataF
 
 def logins(pages: DataFrame, arrival: Arrival, day: str | None = None) -> DataFrame:
     """Daily unique and returning users."""
-    rows = clean.clean_logins(pages).select("uid", "ts", *arrival.order)
+    rows = _narrow(clean.clean_logins(pages), arrival, "uid", "ts")
     return windows.logins(visitors.unique_and_returning(rows, arrival), day)
 
 
@@ -74,7 +80,7 @@ def registrations(users: DataFrame, day: str | None = None) -> DataFrame:
 
 def cart_adders(adds: DataFrame, arrival: Arrival, day: str | None = None) -> DataFrame:
     """Daily unique users who put something into their cart."""
-    rows = clean.clean_cart_adds(adds).select("user_id", "ts", *arrival.order)
+    rows = _narrow(clean.clean_cart_adds(adds), arrival, "user_id", "ts")
     return windows.cart_adders(visitors.cart_add_firsts(rows, arrival), day)
 
 
@@ -82,20 +88,27 @@ def sku_orders(
     facts: DataFrame, dims: Mapping[str, DataFrame], arrival: Arrival, day: str | None = None
 ) -> DataFrame:
     """Order amounts per product, with the product's snowflake joined after aggregation."""
-    rows = clean.clean_sku_orders(facts).select(
-        "id", "sku_id", "order_price", "sku_num", "split_total_amount",
-        "split_activity_amount", "split_coupon_amount", "ts", *arrival.order,
+    return enrich.sku_snowflake(sku_amounts(facts, arrival, day), dims)
+
+
+def sku_amounts(facts: DataFrame, arrival: Arrival, day: str | None = None) -> DataFrame:
+    rows = _narrow(
+        clean.clean_sku_orders(facts), arrival, "id", "sku_id", "order_price", "sku_num",
+        "split_total_amount", "split_activity_amount", "split_coupon_amount", "ts",
     )
-    amounts = windows.sku_amounts(deltas.sku_deltas(rows, arrival), day)
-    return enrich.sku_snowflake(amounts, dims)
+    return windows.sku_amounts(deltas.sku_deltas(rows, arrival), day)
 
 
 def province_orders(
     facts: DataFrame, provinces: DataFrame, arrival: Arrival, day: str | None = None
 ) -> DataFrame:
     """Orders and amount per province, with the province's name."""
-    rows = clean.clean_province_orders(facts).select(
-        "id", "order_id", "province_id", "split_total_amount", "ts", *arrival.order
-    )
-    counted = windows.province_orders(deltas.province_deltas(rows, arrival), day)
-    return enrich.province_names(counted, provinces)
+    return enrich.province_names(province_amounts(facts, arrival, day), provinces)
+
+
+def province_amounts(facts: DataFrame, arrival: Arrival, day: str | None = None) -> DataFrame:
+    rows = _narrow(
+        clean.clean_province_orders(facts), arrival,
+        "id", "order_id", "province_id", "split_total_amount", "ts",
+    )
+    return windows.province_orders(deltas.province_deltas(rows, arrival), day)

@@ -4,26 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivermill import schemas
 from rivermill.operators import clean, enrich, joins, project, routing, split, visitors
 from rivermill.operators.skew import Arrival
-from rivermill.sources import topics
 
 
 def repaired_logs(logs: DataFrame, arrival: Arrival) -> DataFrame:
     """Clean logs with the new-visitor flag repaired; keeps the arrival columns."""
     cleaned = clean.clean_logs(logs)
     flat = cleaned.withColumns({"mid": F.col("common.mid"), "is_new": F.col("common.is_new")})
-    body = [c for c in ("common", "page", "start", "err", "displays", "actions")]
+    body = ["common", "page", "start", "err", "displays", "actions"]
     if logs.isStreaming:
         # Keyed state hands rows to Python; nested columns travel as one text.
         kept = flat.schema
         flat = flat.withColumn("body", F.to_json(F.struct(*body))).drop(*body)
         flat = visitors.repair_new_visitors(flat, arrival)
-        types = ", ".join(f"{c}: {kept[c].dataType.simpleString()}" for c in body)
-        flat = flat.select("*", F.from_json("body", f"struct<{types.replace(': ', ':')}>").alias("_b"))
-        flat = flat.select("*", "_b.*").drop("_b", "body")
+        flat = flat.withColumn("body", F.from_json("body", T.StructType([kept[c] for c in body])))
+        flat = flat.select("*", "body.*").drop("body")
     else:
         flat = visitors.repair_new_visitors(flat, arrival)
     repaired = flat.withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
@@ -46,8 +45,12 @@ def routed_facts(changes: DataFrame, rules: DataFrame, *keep: str) -> DataFrame:
 
 
 def comment_facts(changes: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """New comments with the name of their appraisal; unknown codes are dropped."""
-    named = enrich.lookup(project.comments(changes), dictionary, "appraise", "appraise_name", "inner")
+    return named_comments(project.comments(changes), dictionary)
+
+
+def named_comments(comments: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Comments with the name of their appraisal; unknown codes are dropped."""
+    named = enrich.lookup(comments, dictionary, "appraise", "appraise_name", "inner")
     return named.select(
         "id", "user_id", "nick_name", "sku_id", "spu_id", "order_id",
         F.col("appraise").alias("appraise_code"), "appraise_name",
@@ -81,17 +84,13 @@ def order_facts_stream(changes: DataFrame) -> DataFrame:
 
 
 def payment_facts(changes: DataFrame, lines: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Paid order lines with the name of the payment type; unknown types keep a null name.
+    """Paid order lines; ``lines`` are order facts, and both inputs have ``row_time``."""
+    return named_payments(joins.paid_lines(project.payments(changes, "row_time"), lines), dictionary)
+
 
-    ``lines`` are order facts; both inputs have ``row_time``.
-    """
-    paid = joins.paid_lines(project.payments(changes, "row_time"), lines)
+def named_payments(paid: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Paid lines with the name of the payment type; unknown types keep a null name."""
     named = enrich.lookup(paid, dictionary, "payment_type", "payment_type_name", "left")
     return named.withColumnRenamed("payment_type", "payment_type_code").select(
         *schemas.PAYMENT_FACT_COLUMNS
     )
-
-
-def timed_lines(facts: DataFrame) -> DataFrame:
-    """Order facts with their event time, for the payment join."""
-    return topics.with_row_time(facts)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -34,21 +34,36 @@ class DimensionStore:
         self.rows_path = f"{path}/rows"
         self.drops_path = f"{path}/drops"
 
-    def write_batch(self, rules: DataFrame, order: Sequence[str]):
-        """``foreachBatch`` function for a stream of change records with ``order`` columns."""
+    def write_batch(
+        self,
+        rule_changes: Callable[[], DataFrame],
+        order: Sequence[str],
+        rule_order: Sequence[str],
+    ) -> Callable[[DataFrame, int], None]:
+        """``foreachBatch`` function for a stream of change records with ``order`` columns.
+
+        ``rule_changes`` reads the rule changelog anew for every micro-batch; its changes take
+        effect before the batch's rows.
+        """
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            rows = dimension_rows(batch, rules, *order)
+            changes = rule_changes()
+            self.apply_rules(changes, rule_order, batch_id)
+            rows = dimension_rows(batch, rules_in_force(changes, rule_order), *order)
             self._append(rows.withColumn("moment", F.struct(*order)), batch_id)
 
         return write
 
-    def apply_rules(self, changes: DataFrame, batch_id: int) -> None:
-        """Records the tables that rule changes drop or make anew.
+    def apply_rules(self, changes: DataFrame, order: Sequence[str], batch_id: int) -> None:
+        """Records the tables that rule changes drop or make anew, each change once.
 
         A drop removes the rows of all batches before ``batch_id``.
         """
-        drops = changes.filter(F.col("op").isin("d", "u")).select("sink_table").distinct()
+        drops = config_log.dropped_tables(changes, order).withColumnRenamed("moment", "change")
+        known = self._recorded_drops()
+        if known is not None:
+            earlier = known.filter(F.col("batch") < batch_id).select("sink_table", "change")
+            drops = drops.join(earlier, ["sink_table", "change"], "left_anti")
         drops.write.mode("overwrite").parquet(f"{self.drops_path}/batch={batch_id}")
 
     def _append(self, rows: DataFrame, batch_id: int) -> None:
@@ -63,11 +78,16 @@ class DimensionStore:
             rows = rows.filter(F.col("sink_table") == sink_table)
         return upsert.fold_dimensions(rows, ["batch", "moment"], self._drops(rows))
 
-    def _drops(self, rows: DataFrame) -> DataFrame | None:
+    def _recorded_drops(self) -> DataFrame | None:
         try:
-            drops = self.spark.read.parquet(self.drops_path)
+            return self.spark.read.parquet(self.drops_path)
         except AnalysisException:
             return None
+
+    def _drops(self, rows: DataFrame) -> DataFrame | None:
+        drops = self._recorded_drops()
+        if drops is None:
+            return None
         # Nulls sort first: the moment before every row of the batch.
         start = F.lit(None).cast(rows.schema["moment"].dataType).alias("moment")
         return drops.select("sink_table", F.struct("batch", start).alias("moment"))

@@ -17,7 +17,7 @@ def spark():
         "local[4]",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="2",
         spark__driver__memory="4g",
     )
     built.sparkContext.setLogLevel("ERROR")

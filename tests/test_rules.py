@@ -324,18 +324,24 @@ def test_dropped_table_loses_its_rows(spark):
 
 def test_dimension_store(spark, tmp_path):
     store = dimensions.DimensionStore(spark, str(tmp_path / "store"))
-    write = store.write_batch(rules(spark), ["seq"])
+    row = {"source_table": "t", "sink_table": "dim_t", "sink_columns": "id,a,b", "sink_family": "i", "sink_row_key": "id"}
+    log = [envelope("c", None, row)]
+
+    def rule_changes():
+        return config_log.envelopes(texts(spark, log), schemas.DIM_RULE, "seq")
+
+    write = store.write_batch(rule_changes, ["seq"], ["seq"])
     write(dim_changes(spark, change("t", "insert", id="1", a="x", b="y"), change("t", "insert", id="2", a="q")), 0)
     write(dim_changes(spark, change("t", "update", id="1", a="z")), 1)
     write(dim_changes(spark, change("t", "update", id="1", a="z")), 1)
     assert rows(store.table("dim_t", ["a", "b"])) == [("1", "z", "y"), ("2", "q", None)]
     compact = store.compact(str(tmp_path / "compact"))
     assert rows(compact.table("dim_t", ["a", "b"])) == [("1", "z", "y"), ("2", "q", None)]
-    drop = spark.createDataFrame([("u", "dim_t")], "op string, sink_table string")
-    store.apply_rules(drop, 2)
-    assert rows(store.table("dim_t", ["a"])) == []
+    log.append(envelope("u", row, row))
     write(dim_changes(spark, change("t", "insert", id="3", a="new")), 2)
     assert rows(store.table("dim_t", ["a"])) == [("3", "new")]
+    write(dim_changes(spark, change("t", "insert", id="4", a="more")), 3)
+    assert rows(store.table("dim_t", ["a"])) == [("3", "new"), ("4", "more")]
 
 
 def test_routing_past_the_broadcast_bound(spark, monkeypatch):
