@@ -54,7 +54,7 @@ class Warehouse:
 
     Without ``kafka`` options topics are text files under ``root``, one directory per topic. Rows of
     file topics carry no offset; their event time stands for arrival. ``finite`` runs every job to
-    the end of its present input.
+    the end of its present input. ``words`` is the dictionary of search words, in a column ``word``.
     """
 
     spark: SparkSession
@@ -62,6 +62,7 @@ class Warehouse:
     kafka: dict[str, str] | None = None
     day: str | None = None
     finite: bool = False
+    words: DataFrame | None = None
     source_options: dict[str, str] = field(default_factory=dict)
 
     @property
@@ -202,6 +203,15 @@ def _to_table(table: str, *steps: Callable[[Warehouse, DataFrame], DataFrame]) -
     return step
 
 
+def _to_console(*steps: Callable[[Warehouse, DataFrame], DataFrame]) -> Step:
+    def step(w: Warehouse, batch: DataFrame, batch_id: int) -> None:
+        for one in steps:
+            batch = one(w, batch)
+        sinks.console(batch)
+
+    return step
+
+
 def _keep_dimensions(w: Warehouse, batch: DataFrame, batch_id: int) -> None:
     write = w.store.write_batch(
         lambda: w.rule_changes(DIM_RULE_TOPIC, schemas.DIM_RULE), w.arrival.order, w.rule_order
@@ -262,8 +272,11 @@ JOBS: dict[str, Job] = {
         ),
     ),
     "dws_traffic_source_keyword_page_view_window": Job(
-        lambda w: aggregates.keyword_views(_pages(w), w.day),
-        _to_table("dws_traffic_source_keyword_page_view_window"),
+        lambda w: aggregates.atom_views(_pages(w), w.day),
+        _to_table(
+            "dws_traffic_source_keyword_page_view_window",
+            lambda w, batch: aggregates.word_views(batch, w.words),
+        ),
     ),
     "dws_traffic_vc_ch_ar_is_new_page_view_window": Job(
         lambda w: aggregates.traffic(_pages(w), w.arrival, w.day),
@@ -293,7 +306,7 @@ JOBS: dict[str, Job] = {
     ),
     "dws_trade_sku_order_window_sync": Job(
         lambda w: aggregates.sku_amounts(_order_facts(w), w.arrival, w.day),
-        lambda w, batch, _: sinks.console(enrich.sku_names(batch, _sku_dims(w))) and None,
+        _to_console(lambda w, batch: enrich.sku_names(batch, _sku_dims(w))),
     ),
     "dws_trade_province_order_window": Job(
         lambda w: aggregates.province_amounts(_order_facts(w), w.arrival, w.day),

@@ -24,53 +24,46 @@ def latest_live(df: DataFrame, keys: Sequence[str], order: Sequence[str], delete
 
 
 def fold_dimensions(
-    rows: DataFrame, order: Sequence[str], dropped: DataFrame | None = None
+    rows: DataFrame,
+    order: Sequence[str],
+    columns: Sequence[str],
+    dropped: DataFrame | None = None,
 ) -> DataFrame:
-    """Current state of dimension rows from ``(sink_table, row_key, type, data, *order)``.
+    """Current dimension rows ``(sink_table, row_key, *columns)`` of put and delete rows.
 
-    A put overwrites the columns it carries with a value; a null leaves the old value. A delete
-    removes the row. The last non-null value of a column survives exactly when it is newer than the
-    row's last delete, so one pair of map-side combining aggregates answers it, with no sort of a
-    row's history. ``dropped`` gives ``(sink_table, moment)``: rows before ``moment`` (a struct of the
-    order columns) were lost when the table was dropped.
+    ``rows`` are ``(sink_table, row_key, type, data, *order)``. A put overwrites the columns it
+    carries with a value; a null leaves the old value. A delete removes the row. The last non-null
+    value of a column survives exactly when it is newer than the row's last delete, so one combining
+    aggregate answers it, with no sort of a row's history and one partial row per key and task.
+    ``dropped`` gives ``(sink_table, moment)``: rows before ``moment`` (a struct of the order
+    columns) were lost when the table was dropped.
     """
-    moment = F.struct(*[F.col(c) for c in order])
     key = ["sink_table", "row_key"]
-    tagged = rows.select(*key, moment.alias("_at"), (F.col("type") == "delete").alias("_del"), "data")
-    tagged = tagged.filter(F.col("row_key").isNotNull())
+    moment = F.struct(*[F.col(c) for c in order])
+    removes = F.coalesce(F.col("type") == "delete", F.lit(False))
+    tagged = rows.filter(F.col("row_key").isNotNull()).select(
+        *key, moment.alias("_at"), removes.alias("_removes"), "data"
+    )
     if dropped is not None:
         barrier = dropped.groupBy("sink_table").agg(F.max("moment").alias("_barrier"))
-        tagged = (
-            tagged.join(barrier, "sink_table", "left")
-            .filter(F.col("_barrier").isNull() | (F.col("_at") >= F.col("_barrier")))
-            .drop("_barrier")
-        )
-    # One entry per column, plus one without a column for a delete.
-    removed = F.coalesce(F.col("_del"), F.lit(False))
-    nothing = F.lit(None).cast("string")
-    tombstone = F.array(F.struct(nothing.alias("key"), nothing.alias("value")))
-    puts = F.filter(F.map_entries("data"), lambda e: e["value"].isNotNull())
-    entries = F.when(removed, tombstone).otherwise(puts)
-    cells = tagged.select(*key, "_at", F.inline(entries).alias("column", "cell"))
-    newest = cells.groupBy(*key, "column").agg(
-        F.max("_at").alias("_at"), F.max_by("cell", "_at").alias("cell")
-    )
-    per_row = newest.groupBy(*key).agg(
-        F.max(F.when(F.col("column").isNull(), F.col("_at"))).alias("_deleted"),
-        F.collect_list(
-            F.when(F.col("column").isNotNull(), F.struct("column", "cell", "_at"))
-        ).alias("_cells"),
-    )
-    def alive(cell: Column) -> Column:
-        return F.col("_deleted").isNull() | (cell["_at"] > F.col("_deleted"))
+        lost = F.coalesce(F.col("_at") < F.col("_barrier"), F.lit(False))
+        tagged = tagged.join(barrier, "sink_table", "left").filter(~lost).drop("_barrier")
+
+    def newest(column: str) -> Column:
+        value = F.col("data")[column]
+        put = ~F.col("_removes") & value.isNotNull()
+        return F.max(F.when(put, F.struct("_at", value.alias("_value")))).alias(column)
 
-    cells = F.transform(F.filter("_cells", alive), lambda c: F.struct(c["column"], c["cell"]))
-    living = per_row.filter(F.exists("_cells", alive))
-    return living.select(*key, F.map_from_entries(cells).alias("data"))
+    gone = F.max(F.when(F.col("_removes"), F.col("_at"))).alias("_gone")
+    folded = tagged.groupBy(*key).agg(gone, *[newest(c) for c in columns])
+    living = [
+        F.when(F.col("_gone").isNull() | (F.col(c)["_at"] > F.col("_gone")), F.col(c)["_value"]).alias(c)
+        for c in columns
+    ]
+    return folded.select(*key, *living).filter(F.coalesce(*columns).isNotNull())
 
 
 def dimension_table(folded: DataFrame, sink_table: str, columns: Sequence[str]) -> DataFrame:
-    """All-text wide table ``(key, *columns)`` of one folded dimension."""
-    return folded.filter(F.col("sink_table") == sink_table).select(
-        F.col("row_key").alias("key"), *[F.col("data")[c].alias(c) for c in columns]
-    )
+    """All-text table ``(key, *columns)`` of one folded dimension."""
+    chosen = folded.filter(F.col("sink_table") == sink_table)
+    return chosen.select(F.col("row_key").alias("key"), *columns)

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivermill.config import CHANGE_DELAY, WINDOW
+from rivermill.config import CHANGE_DELAY
 from rivermill.functions import keywords
 from rivermill.operators import clean, deltas, enrich, visitors, windows
 from rivermill.operators.skew import Arrival
@@ -43,29 +43,24 @@ def home_detail(pages: DataFrame, arrival: Arrival, day: str | None = None) -> D
 def keyword_views(
     pages: DataFrame, day: str | None = None, dictionary: DataFrame | None = None
 ) -> DataFrame:
-    """Search words per window; a search without words counts once under a null word.
+    """Search words per window; a search without words counts once under a null word."""
+    return word_views(atom_views(pages, day), dictionary)
 
-    Batch counts atoms per window first, so a hot phrase is split into words once per window. A
-    stream takes no dictionary: run :func:`keyword_rows` per micro-batch in front of it instead.
-    """
+
+def atom_views(pages: DataFrame, day: str | None = None) -> DataFrame:
+    """Views per window of the letter and ideograph runs of search texts."""
     timed = with_log_time(clean.search_keywords(pages), delay=CHANGE_DELAY)
     atoms = keywords.explode_atoms(timed.select("row_time", "item"), "item")
-    if pages.isStreaming:
-        if dictionary is not None:
-            raise ValueError("split words per micro-batch before the stream aggregate")
-        rows = keywords.words_of_atoms(atoms, None)
-        return windows.tumble(rows, ["keyword"], [F.count(F.lit(1)).alias("keyword_count")], day)
-    counted = atoms.groupBy(F.window("row_time", WINDOW)["start"].alias("row_time"), "atom").agg(
-        F.count(F.lit(1)).alias("_views")
-    )
-    rows = keywords.words_of_atoms(counted, dictionary)
-    return windows.tumble(rows, ["keyword"], [F.sum("_views").alias("keyword_count")], day)
-
-
-def keyword_rows(pages: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
-    """One row ``(row_time, item, keyword)`` per search word of a batch of pages."""
-    timed = with_log_time(clean.search_keywords(pages), delay=CHANGE_DELAY)
-    return keywords.explode_words(timed.select("row_time", "item"), "item", dictionary)
+    return windows.tumble(atoms, ["atom"], [F.count(F.lit(1)).alias("views")], day)
+
+
+def word_views(atoms: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
+    """Views per window of words; each distinct run is split once, however often it was searched.
+
+    Of a stream give the closed windows of a micro-batch: all rows of a window close together.
+    """
+    words = keywords.words_of_atoms(atoms, dictionary)
+    return words.groupBy("stt", "edt", "cur_date", "keyword").agg(F.sum("views").alias("keyword_count"))
 
 
 def logins(pages: DataFrame, arrival: Arrival, day: str | None = None) -> DataFrame:

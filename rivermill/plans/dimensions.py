@@ -18,8 +18,14 @@ def dimension_rows(changes: DataFrame, rules: DataFrame, *keep: str) -> DataFram
 
 
 def dimension_state(changes: DataFrame, rules: DataFrame, order: Sequence[str]) -> DataFrame:
-    """All dimension tables as ``(sink_table, row_key, data)``."""
-    return upsert.fold_dimensions(dimension_rows(changes, rules, *order), order)
+    """All dimension tables in one, with the columns any rule lists."""
+    listed = rules.select(F.explode(F.split("sink_columns", ",")).alias("column"))
+    return upsert.fold_dimensions(dimension_rows(changes, rules, *order), order, _names(listed))
+
+
+def _names(columns: DataFrame) -> list[str]:
+    """Distinct column names, of which there are as many as the rules list."""
+    return sorted(row[0] for row in columns.distinct().collect())
 
 
 class DimensionStore:
@@ -71,12 +77,12 @@ class DimensionStore:
         writer = rows.hint("rebalance", "sink_table").write.mode("overwrite")
         writer.partitionBy("sink_table").parquet(f"{self.rows_path}/batch={batch_id}")
 
-    def state(self, sink_table: str | None = None) -> DataFrame:
-        """Folded rows ``(sink_table, row_key, data)``; one table reads its own directories only."""
+    def state(self, columns: Sequence[str], sink_table: str | None = None) -> DataFrame:
+        """Folded rows; for one table only its own directories are read."""
         rows = self.spark.read.parquet(self.rows_path)
         if sink_table:
             rows = rows.filter(F.col("sink_table") == sink_table)
-        return upsert.fold_dimensions(rows, ["batch", "moment"], self._drops(rows))
+        return upsert.fold_dimensions(rows, ["batch", "moment"], columns, self._drops(rows))
 
     def _recorded_drops(self) -> DataFrame | None:
         try:
@@ -93,12 +99,17 @@ class DimensionStore:
         return drops.select("sink_table", F.struct("batch", start).alias("moment"))
 
     def table(self, sink_table: str, columns: Sequence[str]) -> DataFrame:
-        return upsert.dimension_table(self.state(sink_table), sink_table, columns)
+        return upsert.dimension_table(self.state(columns, sink_table), sink_table, columns)
 
     def compact(self, path: str) -> DimensionStore:
         """Writes the current state as the first batch of a new store at ``path``."""
-        moment = self.spark.read.parquet(self.rows_path).schema["moment"].dataType
-        rows = self.state().withColumn("type", F.lit("bootstrap-insert"))
+        stored = self.spark.read.parquet(self.rows_path)
+        moment = stored.schema["moment"].dataType
+        columns = _names(stored.select(F.explode(F.map_keys("data"))))
+        data = F.create_map(*[part for c in columns for part in (F.lit(c), F.col(c))])
+        rows = self.state(columns).select(
+            "sink_table", "row_key", F.lit("bootstrap-insert").alias("type"), data.alias("data")
+        )
         target = DimensionStore(self.spark, path)
         target._append(rows.withColumn("moment", F.lit(None).cast(moment)), 0)
         return target

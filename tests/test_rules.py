@@ -10,6 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from rivermill import schemas
+from rivermill.config import DATABASE
 from rivermill.functions import keywords, times, wire
 from rivermill.operators import clean, deltas, enrich, project, routing, skew, split, upsert, visitors, windows
 from rivermill.operators.skew import Arrival
@@ -206,7 +207,7 @@ def test_one_order_counts_once(spark):
 # --- change records ----------------------------------------------------------------------------
 
 
-def change(table, kind, old=None, database="gmall", ts=T0 // 1000, **data):
+def change(table, kind, old=None, database=DATABASE, ts=T0 // 1000, **data):
     return {"database": database, "table": table, "type": kind, "data": data, "old": old, "ts": ts}
 
 
@@ -318,7 +319,7 @@ def test_dropped_table_loses_its_rows(spark):
     changes = dim_changes(spark, change("t", "insert", id="1", a="x"), change("t", "insert", id="2", a="y"))
     dropped = spark.sql("SELECT 'dim_t' AS sink_table, named_struct('seq', 1L) AS moment")
     rows_ = dimensions.dimension_rows(changes, rules(spark), "seq")
-    got = upsert.fold_dimensions(rows_, ["seq"], dropped)
+    got = upsert.fold_dimensions(rows_, ["seq"], ["id", "a"], dropped)
     assert rows(got, "row_key") == [("2",)]
 
 

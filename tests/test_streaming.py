@@ -8,6 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from rivermill.config import DATABASE
 from rivermill.operators import deltas, visitors
 from rivermill.operators.skew import Arrival
 from rivermill.plans import aggregates, detail
@@ -127,7 +128,8 @@ def test_login_windows(pages, tmp_path):
 def test_keyword_windows(pages, tmp_path):
     batch, stream = pages
     want = aggregates.keyword_views(batch, "20240101")
-    _closed(want, run(aggregates.keyword_views(stream(), "20240101"), tmp_path, "keywords"))
+    closed = run(aggregates.atom_views(stream(), "20240101"), tmp_path, "keywords")
+    _closed(want, aggregates.word_views(closed))
 
 
 FACTS = (
@@ -169,7 +171,7 @@ def _texts(records):
 
 
 def _change(table, kind, ts, old=None, **data):
-    return {"database": "gmall", "table": table, "type": kind, "ts": ts, "data": data, "old": old}
+    return {"database": DATABASE, "table": table, "type": kind, "ts": ts, "data": data, "old": old}
 
 
 def test_log_outputs_stream(spark, tmp_path):

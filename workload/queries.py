@@ -98,13 +98,9 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dimension_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both dimension tables after all puts and deletes."""
-    folded = dimensions.dimension_state(
-        s.dimension_changes(spark, sf_dir), s.dimension_rules(spark), s.LINE_ORDER
-    )
-    data = F.col("data")
-    return folded.select(
-        "sink_table", "row_key", data["name"].alias("name"), data["price"].alias("price")
-    )
+    changes, rules = s.dimension_changes(spark, sf_dir), s.dimension_rules(spark)
+    folded = dimensions.dimension_state(changes, rules, s.LINE_ORDER)
+    return folded.select("sink_table", "row_key", "name", "price")
 
 
 # --- log layer ---------------------------------------------------------------------------------

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivermill.config import DATABASE
 from rivermill.operators.skew import Arrival
 from rivermill.sources.topics import spread, with_row_time
 
@@ -151,7 +152,7 @@ def change(table_name: Column | str, kind: Column | str, data: Column, old: Colu
         return F.lit(value) if isinstance(value, str) else value
 
     return [
-        F.lit("gmall").alias("database"),
+        F.lit(DATABASE).alias("database"),
         text(table_name).alias("table"),
         text(kind).alias("type"),
         data.alias("data"),
