@@ -28,13 +28,14 @@ def _with_rules(changes: DataFrame, rules: DataFrame, keys: dict[str, str]) -> D
 def route_dimensions(changes: DataFrame, rules: DataFrame, *keep: str) -> DataFrame:
     """Dimension rows ``(sink_table, row_key, type, data)`` of the tables that have a rule.
 
-    The row key is read from the pruned columns, as it names the stored row.
+    The row key is one of the listed columns; a rule that does not list it names no rows.
     """
-    routed = _with_rules(changes, rules, {"table": "source_table"})
-    data = wire.keep_keys(F.col("data"), F.col("columns"))
-    pruned = routed.withColumn("data", data)
+    listed = F.array_contains(F.split("sink_columns", ","), F.col("sink_row_key"))
+    keyed = rules.withColumn("sink_row_key", F.when(listed, F.col("sink_row_key")))
+    routed = _with_rules(changes, keyed, {"table": "source_table"})
     row_key = F.element_at("data", F.col("sink_row_key"))
-    return pruned.select("sink_table", row_key.alias("row_key"), "type", "data", *keep)
+    data = wire.keep_keys(F.col("data"), F.col("columns"))
+    return routed.select("sink_table", row_key.alias("row_key"), "type", data.alias("data"), *keep)
 
 
 def route_facts(changes: DataFrame, rules: DataFrame, *keep: str) -> DataFrame:

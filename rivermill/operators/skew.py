@@ -170,16 +170,17 @@ def equi_join(
 
     def cut(df: DataFrame, own: str, other: str) -> DataFrame:
         hashed = [c for c in df.columns if "map<" not in df.schema[c].dataType.simpleString()]
-        marked = df.join(hot, keys, "left").withColumn("_piece", F.xxhash64(*hashed))
         # Rows with a null key match nothing: the left side's spread freely.
-        spread = F.lit(MAX_PIECES if own == "_l" else 1)
-        parts = F.when(has_null, spread).otherwise(F.coalesce(F.col(own), F.lit(1)))
-        piece = F.pmod("_piece", parts).cast("int")
+        alone = F.lit(MAX_PIECES if own == "_l" else 1)
+        parts = F.when(has_null, alone).otherwise(F.coalesce(F.col(own), F.lit(1)))
+        # Only rows of a key in several pieces are hashed.
+        piece = F.when(parts > 1, F.pmod(F.xxhash64(*hashed), parts)).otherwise(F.lit(0))
         copies = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)
         return (
-            marked.withColumn(own + "_piece", piece)
+            df.join(hot, keys, "left")
+            .withColumn(own + "_piece", F.coalesce(piece.cast("int"), F.lit(0)))
             .withColumn(other + "_piece", F.explode(copies))
-            .drop("_l", "_r", "_piece")
+            .drop("_l", "_r")
         )
 
     on = [*keys, "_l_piece", "_r_piece"]
