@@ -7,7 +7,7 @@ dictionary of words; ideographs no dictionary word covers are words of their own
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivermill.operators import skew
@@ -15,6 +15,7 @@ from rivermill.operators import skew
 # The character classes of an atom.
 LATIN = "[a-z0-9]+"
 HAN = "[一-鿿]+"
+HAN_CHARACTER = "[一-鿿]"
 MAX_WORD_LENGTH = 8
 
 
@@ -29,6 +30,18 @@ def explode_atoms(df: DataFrame, text: str, out: str = "atom") -> DataFrame:
     return df.select("*", F.explode_outer(atoms(text)).alias(out))
 
 
+def register_sql(spark: SparkSession, name: str = "kw_split") -> None:
+    """Registers the split as a table function: ``FROM t LEFT JOIN LATERAL kw_split(t.text) ON TRUE``.
+
+    The function is SQL itself, so Spark inlines it; it takes no dictionary.
+    """
+    pattern = f"({LATIN}|{HAN_CHARACTER})"
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(phrase STRING) RETURNS TABLE(keyword STRING) "
+        f"RETURN SELECT word FROM explode(regexp_extract_all(lower(phrase), '{pattern}', 1)) AS t(word)"
+    )
+
+
 def is_han(atom: str) -> Column:
     return F.col(atom).rlike(f"^{HAN}$")
 

@@ -38,6 +38,14 @@ def rules(changes: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataF
     return in_force.drop("op", *order)
 
 
+def with_snapshot(initial: DataFrame, changes: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Initial rows and later changes as one changelog; an initial row is older than any change."""
+    kinds = changes.schema
+    oldest = [F.lit(None).cast(kinds[c].dataType).alias(c) for c in order]
+    fields = [c for c in changes.columns if c not in order]
+    return initial.select(*oldest, *fields).unionByName(changes.select(*order, *fields))
+
+
 def snapshot(spark: SparkSession, url: str, table: str, options: dict[str, str] | None = None) -> DataFrame:
     """Configuration table over JDBC as initial reads (``op`` = ``r``)."""
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)

@@ -73,8 +73,8 @@ def logs(raw: DataFrame, *keep: str) -> DataFrame:
 
 
 def changes(raw: DataFrame, *keep: str) -> DataFrame:
-    """Change records; ``ts`` is epoch seconds, ``row_time`` its event time."""
-    parsed = wire.parse(raw, schemas.CHANGE, *keep)
+    """Change records; ``ts`` is epoch seconds, ``row_time`` its event time, ``proc_time`` now."""
+    parsed = wire.parse(raw, schemas.CHANGE, *keep).withColumn("proc_time", F.current_timestamp())
     return with_row_time(parsed.withColumn("ts", wire.whole(F.col("ts"))))
 
 

@@ -315,6 +315,16 @@ def test_config_changes(spark):
     assert rows(config_log.dropped_tables(changes, ["seq"]), "sink_table", "moment.seq") == [("dim_t", 1), ("dim_t", 3)]
 
 
+def test_changes_win_over_the_snapshot(spark):
+    row = {"source_table": "t", "sink_table": "dim_t", "sink_columns": "id", "sink_family": "i", "sink_row_key": "id"}
+    gone, kept = dict(row, source_table="gone"), dict(row, source_table="kept")
+    initial = spark.createDataFrame([("r", *r.values()) for r in (row, gone, kept)], "op string, " + RULES)
+    log = texts(spark, [envelope("u", row, dict(row, sink_columns="id,x")), envelope("d", gone)])
+    changes = config_log.envelopes(log, schemas.DIM_RULE, "seq")
+    in_force = dimensions.rules_in_force(config_log.with_snapshot(initial, changes, ["seq"]), ["seq"])
+    assert rows(in_force, "source_table", "sink_columns") == [("kept", "id"), ("t", "id,x")]
+
+
 def test_dropped_table_loses_its_rows(spark):
     changes = dim_changes(spark, change("t", "insert", id="1", a="x"), change("t", "insert", id="2", a="y"))
     dropped = spark.sql("SELECT 'dim_t' AS sink_table, named_struct('seq', 1L) AS moment")
@@ -377,6 +387,20 @@ def test_keywords(spark):
     assert sorted(split_words) == sorted([("红",), ("色手",), ("机",), ("壳",)])
 
 
+def test_keyword_sql_function(spark):
+    keywords.register_sql(spark)
+    df = spark.createDataFrame([(0, "Red-Shoes 红鞋"), (1, "!!"), (2, None)], "i int, t string")
+    df.createOrReplaceTempView("phrases")
+    got = spark.sql("SELECT i, keyword FROM phrases LEFT JOIN LATERAL kw_split(t) ON TRUE")
+    assert rows(got) == rows(keywords.explode_words(df, "t"), "i", "keyword")
+
+
+def test_change_records_carry_times(spark):
+    parsed = topics.changes(texts(spark, [change("t", "insert", id="1")]), "seq")
+    near = F.abs(F.unix_seconds("proc_time") - F.unix_seconds(F.current_timestamp())) < 600
+    assert rows(parsed, F.unix_millis("row_time"), near) == [(T0, True)]
+
+
 def test_keyword_windows(spark):
     df = spark.createDataFrame(
         [("search", "keyword", "a b", T0), ("search", "keyword", "a", T0), ("search", "keyword", "??", T0),
