@@ -207,7 +207,11 @@ def _to_console(*steps: Callable[[Warehouse, DataFrame], DataFrame]) -> Step:
     def step(w: Warehouse, batch: DataFrame, batch_id: int) -> None:
         for one in steps:
             batch = one(w, batch)
-        sinks.console(batch)
+        # Showing rows reads some partitions only; the state of every partition must be committed.
+        kept = batch.persist()
+        kept.count()
+        sinks.console(kept)
+        kept.unpersist()
 
     return step
 

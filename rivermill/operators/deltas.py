@@ -25,7 +25,8 @@ def amount_deltas(
     if df.isStreaming:
         return state.amount_deltas(valued, arrival, list(amounts), key)
     seen = skew.previous(valued, [key], arrival, list(amounts), "_before")
-    changes = {n: F.col(n) - F.coalesce(F.col("_before")[n], F.lit(0).cast(MONEY)) for n in amounts}
+    zero = F.lit(0).cast(MONEY)
+    changes = {name: F.col(name) - F.coalesce(F.col("_before")[name], zero) for name in amounts}
     return seen.withColumns(changes).drop("_before")
 
 

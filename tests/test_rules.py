@@ -1,4 +1,4 @@
-"""Hand-made cases, one per rule of the reference jobs."""
+"""Hand-made cases, one per rule of the jobs."""
 
 from __future__ import annotations
 
