@@ -18,8 +18,9 @@ def amount_deltas(
 ) -> DataFrame:
     """Adds each amount minus its value at the row of the same ``key`` that arrived before.
 
-    ``amounts`` are decimals without nulls. The first emission counts from zero. In batch the last amounts never expire; on a stream they
-    do after 30 idle seconds, so a later emission counts in full again.
+    ``amounts`` are decimals without nulls. The first emission counts from zero. In batch the last
+    amounts never expire; on a stream they do after 30 idle seconds, so a later emission counts in
+    full again.
     """
     valued = df.select("*", *[value.alias(name) for name, value in amounts.items()])
     if df.isStreaming:

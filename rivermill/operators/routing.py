@@ -12,7 +12,8 @@ from rivermill.operators import skew
 def _with_rules(changes: DataFrame, rules: DataFrame, keys: dict[str, str]) -> DataFrame:
     """Inner join of change records to the rules of their table (and type), as ``columns``.
 
-    The listed names are split, untrimmed, once per rule. Rules are counted first and broadcast while few; past that bound they join by shuffle.
+    The listed names are split, untrimmed, once per rule. Rules are counted first and broadcast
+    while few; past that bound they join by shuffle.
     """
     renamed = rules.select(
         *[F.col(rule).alias(column) for column, rule in keys.items()],
