@@ -6,9 +6,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -47,3 +51,22 @@ def word_count(text: Column) -> Column:
 def uniform(seed: int, *parts: Column) -> Column:
     """A number in [0, 1) that depends on ``seed`` and ``parts`` alone."""
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *parts), 11) / F.lit(float(1 << 53))
+
+
+def map_texts(
+    docs: DataFrame, make: Callable[[], Callable[[str], tuple]], fields: str, key: str = "doc_id"
+) -> DataFrame:
+    """``key`` and what ``make()`` gives for each text (null: empty), in Arrow batches. ``fields``: DDL of the results."""
+    rows = docs.select(docs[key], docs["text"])
+    schema = StructType([rows.schema[key], *StructType.fromDDL(fields).fields])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            results = [work(text.as_py() or "") for text in batch.column(1)]
+            made = [pa.array(c, f.type) for c, f in zip(zip(*results, strict=True), list(arrow)[1:], strict=True)]
+            if results:
+                yield pa.RecordBatch.from_arrays([batch.column(0), *made], schema=arrow)
+
+    return rows.mapInArrow(run, schema)

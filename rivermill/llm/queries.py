@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivermill.llm import chat, mixing, quality
+from rivermill.llm import chat, mixing, quality, token_counts, token_files, transducer
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,6 +20,11 @@ def query(function: Query) -> Query:
     return function
 
 
+def vocabulary() -> str:
+    """Where the byte-level vocabulary file is on this machine."""
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -49,3 +55,21 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lang"
     )
+
+
+@query
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every text, and the text decoded from them, as digests."""
+    return transducer.round_trip(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every text."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document in token files, read back."""
+    return token_files.read(token_files.write(table(spark, sf_dir, "documents"), vocabulary()))
