@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivermill.llm import chat, mixing, quality, token_counts, token_files, transducer
+from rivermill.llm import chat, mixing, quality, simhash, token_counts, token_files, transducer
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,3 +73,9 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document in token files, read back."""
     return token_files.read(token_files.write(table(spark, sf_dir, "documents"), vocabulary()))
+
+
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of near-duplicates of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
