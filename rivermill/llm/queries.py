@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivermill.llm import chat, mixing, quality, simhash, token_counts, token_files, transducer
+from rivermill.llm import chat, mixing, quality, simhash, token_counts, token_files, topk, transducer
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,3 +79,26 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of near-duplicates of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 vectors of highest inner product with every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.search(vectors, vectors.filter("vec_id % 20 = 0"), k=20, scale=64)
+
+
+ORACLE["op6_topk"] = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: coalesce(p[1] * p[2], 0))) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id, score FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
