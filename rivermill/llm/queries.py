@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivermill.llm import chat, mixing, quality, simhash, token_counts, token_files, topk, transducer
+from rivermill.llm import chat, mixing, pii, quality, simhash, token_counts, token_files, topk, transducer
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,6 +75,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(token_files.write(table(spark, sf_dir, "documents"), vocabulary()))
 
 
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: base spans, and those that the detector adds."""
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of near-duplicates of every document."""
