@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivermill.llm import chat, mixing, pii, quality, simhash, token_counts, token_files, topk, transducer
+from rivermill.llm import chat, mixing, pii, quality, simhash, suffixes, token_counts, token_files, topk, transducer
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -108,3 +108,9 @@ ranked AS (
     vec_id, score FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+
+@query
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 200 bytes that also start elsewhere."""
+    return suffixes.digests(table(spark, sf_dir, "documents"))
