@@ -18,6 +18,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
 from rivermill.llm.common import kept
-from rivermill.llm.vocabulary import Remembered, pre_tokens
+from rivermill.llm.vocabulary import Remembered, byte_letters, pre_tokens
 
 MAGIC = b"DAC1"
 BLOCK = 512  # bits per entry of a rank directory
@@ -131,12 +132,17 @@ class LibraryIds:
         self.library = Tokenizer.from_str(file)
         self.library.no_truncation()
         self.library.no_padding()
-        self.words = Remembered(self.of)
+        self.words = Remembered(self.of_pre_token, words=400_000)
+        self.model, self.letters = self.library.model, dict(enumerate(byte_letters()))
         self.special = {t.content: n for n, t in self.library.get_added_tokens_decoder().items()}
 
     def of(self, text: str) -> tuple[int, ...]:
         return tuple(self.library.encode(text, add_special_tokens=False).ids)
 
+    def of_pre_token(self, word: str) -> tuple[int, ...]:
+        """The library's model on a pre-token, its bytes written as the file's letters."""
+        return tuple([t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))])
+
     def __call__(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
             return np.array(self.of(text), np.uint32)
@@ -144,6 +150,12 @@ class LibraryIds:
         return np.fromiter(chain.from_iterable(found), np.uint32)
 
 
+@lru_cache(maxsize=2)
+def library_ids(file: str) -> LibraryIds:
+    """One encoder per worker process and file: what a task has learnt serves the next."""
+    return LibraryIds(file)
+
+
 def write(docs: DataFrame, vocabulary: str, partitions: int | None = None) -> DataFrame:
     """Encodes, packs and writes ``docs``; gives the written segments as a table."""
     spark = docs.sparkSession
@@ -155,7 +167,7 @@ def write(docs: DataFrame, vocabulary: str, partitions: int | None = None) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, before, encode = TaskContext.get().partitionId(), 0, LibraryIds(sent.value)
+        part, before, encode = TaskContext.get().partitionId(), 0, library_ids(sent.value)
         names, ends, held, total = [], [0], [], 0
 
         def close():
