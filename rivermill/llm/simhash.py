@@ -235,8 +235,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of every group of near-duplicates: that of the smallest doc_id, then text hash; columns as in ``docs``."""
     columns = docs.columns
-    named = docs.withColumn("_key", F.struct(docs["doc_id"], F.xxhash64(docs["text"]).alias("hash")))
-    found = grouped(cut(fingerprints(named.select("_key", "text"), "_key")), "_key")
+    named = docs.select(F.struct(docs["doc_id"], F.xxhash64(docs["text"]).alias("hash")).alias("_key"), docs["text"])
+    found = grouped(cut(fingerprints(named, "_key")), "_key")
     first = F.min_by("_key", F.struct(F.col("_key.doc_id").isNull(), F.col("_key")))
     chosen = found.groupBy("group").agg(first.alias("_first")).select("_first.*")
     chosen = chosen.select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).distinct()
