@@ -57,7 +57,7 @@ def messages(events: DataFrame) -> DataFrame:
         .withColumn("set", F.array_max(F.filter(F.transform("log", lambda e, i: F.when(sets(e), i)), lambda i: i.isNotNull())))
         .withColumn("tail", F.filter("log", lambda e, i: i >= F.coalesce("set", F.lit(0))))
         .withColumn("text", F.array_join(F.transform("tail", lambda e: e["text"]), ""))
-        .withColumn("role", F.element_at(F.filter("log", lambda e: e["rank"] == 1), -1)["role"])
+        .withColumn("role", F.try_element_at(F.filter("log", lambda e: e["rank"] == 1), F.lit(-1))["role"])
         .withColumn("alive", ~F.exists("tail", lambda e: e["rank"] == 5))
         .withColumn("begun", F.element_at("tail", 1)["seq"])
         .withColumn("redone", F.array_max(F.transform(F.filter("log", lambda e: e["rank"] == 2), lambda e: e["seq"])))

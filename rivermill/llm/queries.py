@@ -114,3 +114,46 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without strings of 200 bytes that also start elsewhere."""
     return suffixes.digests(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op2_chat"] = r"""
+WITH rows AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+clean AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM rows),
+sized AS (
+  SELECT *, length('[INST][/INST]</s>') + length(role) + length(text)
+    + length(regexp_replace(role || text, '[^\\<\[]', '', 'g')) AS chars FROM clean),
+listed AS (
+  SELECT conv_id, count(*) AS n_turns, sum(chars) AS chars,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss
+  FROM sized GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+  sha256(loss) AS loss_sha256, CAST(3 + chars AS BIGINT) AS formatted_chars FROM listed
+"""
+
+# Every 200-byte string with its number of starts; covered bytes; then the runs of bytes that are left, in hexadecimal.
+ORACLE["op9_suffixes"] = """
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+sized AS (SELECT *, octet_length(b) AS n FROM texts),
+starts AS (SELECT r, unnest(range(1, n - 198)) AS s FROM sized WHERE n >= 200),
+strings AS (SELECT starts.r, s, hash(hex(array_slice(b, s, s + 199))) AS h,
+  md5(hex(array_slice(b, s, s + 199))) AS m FROM starts JOIN sized USING (r)),
+often AS (SELECT h, m FROM strings GROUP BY h, m HAVING count(*) > 1),
+hits AS (SELECT r, s FROM strings SEMI JOIN often USING (h, m)),
+runs AS (SELECT r, s, sum(CASE WHEN s <= before + 200 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY s) AS run
+  FROM (SELECT r, s, lag(s) OVER (PARTITION BY r ORDER BY s) AS before FROM hits)),
+spans AS (SELECT r, run, min(s) AS a, max(s) + 199 AS z FROM runs GROUP BY r, run),
+gaps AS (SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans),
+pieces AS (
+  SELECT r, a, hex(array_slice(b, before + 1, a - 1)) AS piece FROM gaps JOIN sized USING (r) WHERE a - 1 > before
+  UNION ALL
+  SELECT sized.r, n + 1, hex(array_slice(b, coalesce(z, 0) + 1, n))
+  FROM sized LEFT JOIN (SELECT r, max(z) AS z FROM spans GROUP BY r) USING (r) WHERE n > coalesce(z, 0)),
+rest AS (SELECT r, string_agg(piece, '' ORDER BY a) AS left_over FROM pieces GROUP BY r),
+counted AS (SELECT r, sum(z - a + 1) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(left_over, ''))) AS kept_sha256
+FROM sized LEFT JOIN counted USING (r) LEFT JOIN rest USING (r)
+"""
