@@ -248,7 +248,7 @@ def _sku_dims(w: Warehouse) -> dict[str, DataFrame]:
 JOBS: dict[str, Job] = {
     "dim_app": Job(_changes, _keep_dimensions),
     "dwd_base_log": Job(
-        lambda w: detail.log_topics(topics.logs(w.read(LOG_TOPIC), *w.kept), w.arrival),
+        lambda w: detail.log_records(topics.all_logs(w.read(LOG_TOPIC), *w.kept), w.arrival),
         _to_topics("dwd_base_log"),
     ),
     "dwd_base_db": Job(_changes, _to_topics("dwd_base_db", _route_facts)),

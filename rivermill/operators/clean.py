@@ -31,7 +31,7 @@ def clean_logs(logs: DataFrame) -> DataFrame:
 
 
 def split_dirty(logs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Clean records and dirty ones (bad text or missing fields), from ``wire.parse_all``."""
+    """Clean records and dirty ones (bad text or missing fields), from ``topics.all_logs``."""
     good = F.coalesce(F.col("_bad").isNull() & log_is_clean(), F.lit(False))
     return logs.filter(good).drop("_bad"), logs.filter(~good)
 

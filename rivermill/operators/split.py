@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rivermill.schemas import TEXT_MAP
+
 # Fixed names of the output topics.
 TOPICS = {
     "start": "dwd_traffic_start",
@@ -13,6 +15,8 @@ TOPICS = {
     "display": "dwd_traffic_display",
     "action": "dwd_traffic_action",
 }
+# Records that no job can use; a name of this library's own.
+DIRTY_TOPIC = "dwd_traffic_dirty"
 
 
 def errors(logs: DataFrame) -> DataFrame:
@@ -43,15 +47,17 @@ def actions(logs: DataFrame, *keep: str) -> DataFrame:
 
 
 def _items(logs: DataFrame, column: str, item: str, keep: tuple[str, ...]) -> DataFrame:
-    """One row per array element, with the page it was seen on."""
-    return logs.filter(is_page()).select(F.explode(column).alias(item), "common", "page", "ts", *keep)
+    """One row per array element, as a map and as its whole text, with the page it was seen on."""
+    text = f"{item}_text"
+    rows = logs.filter(is_page()).select(F.explode(column).alias(text), "common", "page", "ts", *keep)
+    return rows.withColumn(item, F.from_json(text, TEXT_MAP))
 
 
 def outputs(logs: DataFrame) -> DataFrame:
     """All five outputs in one pass as ``(topic, value)``, one JSON text per output record."""
 
-    def record(topic: str, *columns: str) -> Column:
-        return F.struct(F.lit(TOPICS[topic]).alias("topic"), F.to_json(F.struct(*columns)).alias("value"))
+    def record(topic: str, **parts: Column) -> Column:
+        return F.struct(F.lit(TOPICS[topic]).alias("topic"), _object(parts).alias("value"))
 
     def items(topic: str, column: str) -> Column:
         def one(entry: Column) -> Column:
@@ -61,8 +67,8 @@ def outputs(logs: DataFrame) -> DataFrame:
 
     err = F.struct(F.lit(TOPICS["err"]).alias("topic"), F.col("err").alias("value"))
     none = F.array().cast("array<struct<topic:string,value:string>>")
-    main = F.when(F.col("start").isNotNull(), F.array(_start_record())).when(
-        is_page(), F.array(record("page", "common", "page", "ts"))
+    main = F.when(F.col("start").isNotNull(), F.array(record("start", common=_common(), start=F.col("start"), ts=_ts()))).when(
+        is_page(), F.array(record("page", common=_common(), page=F.col("page_text"), ts=_ts()))
     )
     parts = [
         F.when(F.col("err").isNotNull(), F.array(err)),
@@ -73,22 +79,36 @@ def outputs(logs: DataFrame) -> DataFrame:
     return logs.select(F.inline(F.concat(*[F.coalesce(part, none) for part in parts])))
 
 
-def _start_record() -> Column:
-    """Start record text; the start object is JSON text already, so it is spliced in."""
-    text = F.concat(
-        F.lit('{"common":'), F.to_json("common"),
-        F.lit(',"start":'), F.col("start"),
-        F.lit(',"ts":'), F.col("ts").cast("string"), F.lit("}"),
-    )
-    return F.struct(F.lit(TOPICS["start"]).alias("topic"), text.alias("value"))
+def _common() -> Column:
+    """The whole common object; of its text only the repaired flag is replaced."""
+    cleared = F.regexp_replace("common_text", r'"is_new":"?1"?(?=[,}])', '"is_new":"0"')
+    return F.when(F.col("common.is_new") == "0", cleared).otherwise(F.col("common_text"))
+
+
+def _ts() -> Column:
+    return F.col("ts").cast("string")
+
+
+def _object(parts: dict[str, Column]) -> Column:
+    """JSON object of members that are JSON text already."""
+    members = [F.concat(F.lit(f'"{name}":'), text) for name, text in parts.items()]
+    return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
 
 
 def _item_text(entry: Column) -> Column:
-    """JSON text of an array element with common, page and ts added."""
-    own = F.to_json(F.map_filter(entry, lambda key, _: ~key.isin("common", "page", "ts")))
-    return F.concat(
-        F.regexp_replace(own, r"\}$", ""), F.when(own == "{}", F.lit("")).otherwise(F.lit(",")),
-        F.lit('"common":'), F.to_json("common"),
-        F.lit(',"page":'), F.to_json("page"),
-        F.lit(',"ts":'), F.col("ts").cast("string"), F.lit("}"),
-    )
+    """JSON text of an array element with common, page and ts added in place of its own."""
+    added = F.substring(_object({"common": _common(), "page": F.col("page_text"), "ts": _ts()}), 2, 2**31 - 1)
+    own_names = F.arrays_overlap(F.json_object_keys(entry), F.array(*map(F.lit, ("common", "page", "ts"))))
+    # Rarely an element has such members of its own: they are left out, at the price of texts for its scalars.
+    rest = F.to_json(F.map_filter(F.from_json(entry, TEXT_MAP), lambda key, _: ~key.isin("common", "page", "ts")))
+    body = F.when(own_names, rest).otherwise(entry)
+    return F.when(
+        F.col("page_text").isNotNull(),
+        F.concat(F.lit("{"), F.regexp_replace(body, r"^\s*\{|\}\s*$", ""), F.when(body.rlike(r"^\s*\{\s*\}"), F.lit("")).otherwise(F.lit(",")), added),
+    )
+
+
+def dirty(logs: DataFrame) -> DataFrame:
+    """Records left out of the outputs, as ``(topic, value)`` with their text; ``logs`` has ``_bad`` and the texts."""
+    kept = F.to_json(F.struct("common_text", "page_text", "start", "err", "ts"))
+    return logs.select(F.lit(DIRTY_TOPIC).alias("topic"), F.coalesce("_bad", kept).alias("value"))

@@ -15,7 +15,7 @@ def repaired_logs(logs: DataFrame, arrival: Arrival) -> DataFrame:
     """Clean logs with the new-visitor flag repaired; keeps the arrival columns."""
     cleaned = clean.clean_logs(logs)
     flat = cleaned.withColumns({"mid": F.col("common.mid"), "is_new": F.col("common.is_new")})
-    body = ["common", "page", "start", "err", "displays", "actions"]
+    body = ["common", "page", "common_text", "page_text", "start", "err", "displays", "actions"]
     if logs.isStreaming:
         # Keyed state hands rows to Python; nested columns travel as one text.
         kept = flat.schema
@@ -34,6 +34,12 @@ def log_topics(logs: DataFrame, arrival: Arrival) -> DataFrame:
     return split.outputs(repaired_logs(logs, arrival))
 
 
+def log_records(logs: DataFrame, arrival: Arrival) -> DataFrame:
+    """The five log outputs and the dirty records, from ``topics.all_logs``."""
+    good, bad = clean.split_dirty(logs)
+    return log_topics(good, arrival).unionByName(split.dirty(bad))
+
+
 def page_rows(pages: DataFrame, *keep: str) -> DataFrame:
     """Page facts with flat columns, as the aggregates read them."""
     return pages.select("common.*", "page.*", "ts", *keep)

@@ -14,14 +14,12 @@ def _texts(*names: str) -> T.StructType:
 COMMON = _texts("mid", "uid", "vc", "ch", "ar", "is_new", "sid")
 PAGE = _texts("page_id", "last_page_id", "item", "item_type", "during_time")
 
+# Objects of a log are read as their own JSON text: whatever else they hold is carried on.
 LOG = T.StructType(
     [
-        T.StructField("common", COMMON),
-        T.StructField("page", PAGE),
-        T.StructField("start", T.StringType()),
-        T.StructField("err", T.StringType()),
-        T.StructField("displays", T.ArrayType(TEXT_MAP)),
-        T.StructField("actions", T.ArrayType(TEXT_MAP)),
+        *_texts("common", "page", "start", "err").fields,
+        T.StructField("displays", T.ArrayType(T.StringType())),
+        T.StructField("actions", T.ArrayType(T.StringType())),
         T.StructField("ts", T.StringType()),
     ]
 )

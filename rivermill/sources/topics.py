@@ -68,8 +68,27 @@ def non_empty(raw: DataFrame) -> DataFrame:
 
 
 def logs(raw: DataFrame, *keep: str) -> DataFrame:
-    """Behaviour logs; ``ts`` is epoch milliseconds."""
-    return wire.parse(raw, schemas.LOG, *keep).withColumn("ts", wire.whole(F.col("ts")))
+    """Readable behaviour logs; ``ts`` is epoch milliseconds."""
+    return all_logs(raw, *keep).filter(F.col("_bad").isNull()).drop("_bad")
+
+
+def all_logs(raw: DataFrame, *keep: str) -> DataFrame:
+    """Like :func:`logs`, with unreadable texts in ``_bad``.
+
+    ``common_text`` and ``page_text`` are the whole objects; ``common`` and ``page`` hold the fields that rules read. Those
+    come from the short texts, again behind a generator, so that no filter repeats the parse.
+    """
+
+    def known(name: str, schema) -> Column:
+        return F.when(F.col(name).startswith("{"), F.from_json(name, schema)).alias(name)
+
+    parsed = wire.parse_all(raw, schemas.LOG, *keep)
+    record = F.struct(
+        known("common", schemas.COMMON), known("page", schemas.PAGE),
+        F.col("common").alias("common_text"), F.col("page").alias("page_text"),
+        "start", "err", "displays", "actions", wire.whole(F.col("ts")).alias("ts"),
+    )
+    return parsed.select(*keep, "_bad", F.inline(F.array(record)))
 
 
 def changes(raw: DataFrame, *keep: str) -> DataFrame:

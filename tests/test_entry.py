@@ -8,16 +8,18 @@ import pytest
 
 import __spark_entry__ as entry
 import check_oracle
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables are not here")
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
     df = entry.queries()[name](spark, SF_DIR)
     got = check_oracle.rows_of(df.columns, [tuple(r) for r in df.collect()])

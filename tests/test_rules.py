@@ -62,7 +62,7 @@ def test_clean_logs(logs):
 
 def test_dirty_logs(spark):
     raw = texts(spark, ["{bad", {"common": {"mid": "a"}, "page": PAGE, "ts": 1}, {"ts": 1}])
-    good, dirty = clean.split_dirty(wire.parse_all(raw, schemas.LOG, "seq"))
+    good, dirty = clean.split_dirty(topics.all_logs(raw, "seq"))
     assert rows(good, "seq") == [(1,)]
     assert rows(dirty, "seq", F.col("_bad").isNotNull()) == [(0, True), (2, False)]
 
@@ -92,6 +92,26 @@ def test_outputs_are_json(logs):
     assert (action["action_id"], action["common"]["mid"], action["ts"]) == ("x", "b", T0)
 
 
+def test_outputs_carry_whole_objects(spark):
+    common = {"mid": "a", "is_new": "0", "os": "x", "ba": {"n": 1}, "note": 'say "is_new":"1"'}
+    item = {"pos_seq": 2, "item": "7", "deep": {"a": [1, 2.5, None]}}
+    record = {"common": common, "page": PAGE | {"from_pos_id": 4, "during_time": 12}, "ts": T0}
+    raw = texts(spark, [record | {"displays": [item, {}, {"ts": "own", "x": 1}], "actions": [item]}])
+    got = [(t, json.loads(v)) for t, v in rows(split.outputs(clean.clean_logs(topics.logs(raw, "seq"))))]
+    shown = [v for t, v in got if t == "dwd_traffic_display"]
+    assert len(got) == 5 and all(v["common"] == common and v["page"] == record["page"] and v["ts"] == T0 for _, v in got)
+    assert [v["deep"] for v in shown if "deep" in v] == [item["deep"]]
+    assert [v["pos_seq"] for v in shown if "pos_seq" in v] == [2]
+    assert [v["x"] for v in shown if "x" in v] == ["1"]
+
+
+def test_dirty_records_are_written(spark):
+    raw = texts(spark, ["{bad", {"common": {"mid": "a"}, "page": PAGE, "ts": T0}, {"common": {"vc": 3}, "ts": 1}])
+    got = rows(detail.log_records(topics.all_logs(raw, "seq"), BY_SEQ), "topic", "value")
+    assert [t for t, _ in got] == ["dwd_traffic_dirty", "dwd_traffic_dirty", "dwd_traffic_page"]
+    assert "{bad" in [v for _, v in got] and any('\\"vc\\":3' in v for _, v in got)
+
+
 @pytest.mark.parametrize("arrival", [BY_SEQ, HOT])
 def test_new_visitor_repair(spark, arrival):
     data = [

@@ -167,7 +167,7 @@ FROM lg WHERE NOT is_start
 
 ORACLE["log_displays"] = f"""
 WITH {LG}
-SELECT event_id, page_id, CAST(k + p - 1 AS VARCHAR) AS item, CAST(p AS VARCHAR) AS pos_id
+SELECT event_id, page_id, CAST(k + p - 1 AS VARCHAR) AS item, CAST(p AS VARCHAR) AS pos_id, CAST(k AS VARCHAR) AS shown_at
 FROM lg CROSS JOIN (VALUES (1), (2)) AS t(p) WHERE event_type = 'view'
 """
 
@@ -178,15 +178,15 @@ SELECT event_id, page_id, CAST(k AS VARCHAR) AS item, 'favor_add' AS action_id F
 
 ORACLE["log_outputs"] = f"""
 WITH {LG}, parts AS (
-  SELECT 'dwd_traffic_err' AS topic, '' AS mid, '' AS is_new, '' AS page_id, '' AS item
+  SELECT 'dwd_traffic_err' AS topic, '' AS mid, '' AS is_new, '' AS page_id, '' AS item, 0 AS systems, 0 AS times, 0 AS places
   FROM fixed WHERE event_type = 'error'
-  UNION ALL SELECT 'dwd_traffic_start', mid, is_new, '', '' FROM fixed WHERE is_start
-  UNION ALL SELECT 'dwd_traffic_page', mid, is_new, page_id, '' FROM fixed WHERE NOT is_start
-  UNION ALL SELECT 'dwd_traffic_display', mid, is_new, page_id, CAST(k AS VARCHAR) FROM fixed WHERE event_type = 'view'
-  UNION ALL SELECT 'dwd_traffic_display', mid, is_new, page_id, CAST(k + 1 AS VARCHAR) FROM fixed WHERE event_type = 'view'
-  UNION ALL SELECT 'dwd_traffic_action', mid, is_new, page_id, CAST(k AS VARCHAR) FROM fixed WHERE event_type = 'click'
+  UNION ALL SELECT 'dwd_traffic_start', mid, is_new, '', '', 1, 0, 0 FROM fixed WHERE is_start
+  UNION ALL SELECT 'dwd_traffic_page', mid, is_new, page_id, '', 1, 1, 0 FROM fixed WHERE NOT is_start
+  UNION ALL SELECT 'dwd_traffic_display', mid, is_new, page_id, CAST(k AS VARCHAR), 1, 1, 1 FROM fixed WHERE event_type = 'view'
+  UNION ALL SELECT 'dwd_traffic_display', mid, is_new, page_id, CAST(k + 1 AS VARCHAR), 1, 1, 1 FROM fixed WHERE event_type = 'view'
+  UNION ALL SELECT 'dwd_traffic_action', mid, is_new, page_id, CAST(k AS VARCHAR), 1, 1, 0 FROM fixed WHERE event_type = 'click'
 )
-SELECT topic, mid, is_new, page_id, item, COUNT(*) AS n FROM parts GROUP BY ALL
+SELECT topic, mid, is_new, page_id, item, systems, times, places, COUNT(*) AS n FROM parts GROUP BY ALL
 """
 
 ORACLE["dimension_clean"] = f"""

@@ -123,7 +123,7 @@ def log_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def log_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = wire.parse_all(s.log_lines(spark, sf_dir), schemas.LOG, "event_id")
+    lines = topics.all_logs(s.log_lines(spark, sf_dir), "event_id")
     _, dirty = clean.split_dirty(lines)
     return dirty.select("event_id", F.col("_bad").isNotNull().cast("int").alias("unreadable"))
 
@@ -154,7 +154,8 @@ def log_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def log_displays(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = split.displays(clean.clean_logs(_logs(spark, sf_dir)), "event_id")
-    return rows.select("event_id", "page.page_id", "display.item", "display.pos_id")
+    shown = F.get_json_object("display_text", "$.shown.at").alias("shown_at")
+    return rows.select("event_id", "page.page_id", "display.item", "display.pos_id", shown)
 
 
 @query
@@ -175,12 +176,19 @@ def log_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.coalesce(read("value", "$.common.is_new"), F.lit("")).alias("is_new"),
             F.coalesce(read("value", "$.page.page_id"), F.lit("")).alias("page_id"),
             F.coalesce(read("value", "$.item"), F.lit("")).alias("item"),
+            # Members that no rule knows, and numbers, come through as they are.
+            F.regexp_count("value", F.lit('"os":"(linux|mac)"')).alias("systems"),
+            F.regexp_count("value", F.lit('"during_time":[0-9]+[,}]')).alias("times"),
+            F.regexp_count("value", F.lit('"pos_seq":[12][,}]')).alias("places"),
         ),
         "topic",
         "mid",
         "is_new",
         "page_id",
         "item",
+        "systems",
+        "times",
+        "places",
     )
 
 

@@ -84,19 +84,28 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.struct(F.lit("icon").alias("entry"), F.col("k").alias("loading_time"))
     err = F.struct(F.col("k").alias("error_code"), F.lit("broken").alias("msg"))
     shown = F.array(
-        F.create_map(F.lit("item"), k, F.lit("pos_id"), F.lit("1")),
-        F.create_map(F.lit("item"), (F.col("k") + 1).cast(TEXT), F.lit("pos_id"), F.lit("2")),
-    )
+        *[
+            F.struct(
+                (F.col("k") + place).cast(TEXT).alias("item"), F.lit(str(place + 1)).alias("pos_id"),
+                F.lit(place + 1).alias("pos_seq"), F.struct(F.col("k").alias("at")).alias("shown"),
+            )
+            for place in (0, 1)
+        ]
+    )
     acted = F.array(F.create_map(F.lit("action_id"), F.lit("favor_add"), F.lit("item"), k))
     is_start = F.col("event_type") == "signup"
     common = F.struct(
-        F.when(F.col("k") < 97, F.col("mid")).alias("mid"), "uid", "vc", "ch", "ar", "is_new"
+        F.when(F.col("k") < 97, F.col("mid")).alias("mid"), "uid", "vc", "ch", "ar", "is_new",
+        F.when(F.col("k") % 2 == 0, "linux").otherwise("mac").alias("os"),
+    )
+    page = F.struct(
+        "page_id", "last_page_id", "item", "item_type", F.col("during_time").cast("bigint").alias("during_time"),
     )
     has_page = ~is_start | (F.col("k") < 30)
     record = F.to_json(
         F.struct(
             common.alias("common"),
-            F.when(has_page, F.struct("page_id", "last_page_id", "item", "item_type", "during_time")).alias("page"),
+            F.when(has_page, page).alias("page"),
             F.when(is_start, start).alias("start"),
             F.when(F.col("event_type") == "error", err).alias("err"),
             F.when(F.col("event_type") == "view", shown).alias("displays"),
