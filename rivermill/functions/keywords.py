@@ -1,8 +1,8 @@
 """Search words out of free text.
 
-A text is cut into *atoms*: runs of ASCII letters and digits, lower-cased, and runs of CJK
-ideographs. A letter run is a word. A CJK run is split by longest match from the left against a
-dictionary of words; ideographs no dictionary word covers are words of their own.
+A text is cut into *atoms*: runs of letters, marks and digits of any script, lower-cased, and runs of
+ideographs. A letter run is a word. A run of ideographs is split by longest match from the left against
+a dictionary of words of any length; ideographs no dictionary word covers are words of their own.
 """
 
 from __future__ import annotations
@@ -12,17 +12,16 @@ from pyspark.sql import functions as F
 
 from rivermill.operators import skew
 
-# The character classes of an atom.
-LATIN = "[a-z0-9]+"
-HAN = "[一-鿿]+"
-HAN_CHARACTER = "[一-鿿]"
-MAX_WORD_LENGTH = 8
+# Classes of characters by their Unicode script and category.
+HAN_CHARACTER = r"\p{IsHan}"
+HAN = rf"{HAN_CHARACTER}+"
+LETTERS = rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{HAN_CHARACTER}]]+"
 
 
 def atoms(text: Column | str) -> Column:
     """All atoms of a text in order; an empty array for none, null for null."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.regexp_extract_all(F.lower(text), F.lit(f"({LATIN}|{HAN})"), F.lit(1))
+    return F.regexp_extract_all(F.lower(text), F.lit(f"({LETTERS}|{HAN})"), F.lit(1))
 
 
 def explode_atoms(df: DataFrame, text: str, out: str = "atom") -> DataFrame:
@@ -35,10 +34,10 @@ def register_sql(spark: SparkSession, name: str = "kw_split") -> None:
 
     The function is SQL itself, so Spark inlines it; it takes no dictionary.
     """
-    pattern = f"({LATIN}|{HAN_CHARACTER})"
+    pattern = f"({LETTERS}|{HAN_CHARACTER})"
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(phrase STRING) RETURNS TABLE(keyword STRING) "
-        f"RETURN SELECT word FROM explode(regexp_extract_all(lower(phrase), '{pattern}', 1)) AS t(word)"
+        f"RETURN SELECT word FROM explode(regexp_extract_all(lower(phrase), r'{pattern}', 1)) AS t(word)"
     )
 
 
@@ -46,47 +45,49 @@ def is_han(atom: str) -> Column:
     return F.col(atom).rlike(f"^{HAN}$")
 
 
-def han_words(
-    runs: DataFrame, dictionary: DataFrame | None, run: str = "atom", max_length: int = MAX_WORD_LENGTH
-) -> DataFrame:
-    """Words of each distinct CJK run as ``(run, words)``.
+def han_words(runs: DataFrame, dictionary: DataFrame | None, run: str = "atom") -> DataFrame:
+    """Words of each distinct run of ideographs as ``(run, words)``.
 
-    All substrings of up to ``max_length`` characters are joined to the ``word`` column of the
-    dictionary; the matches of a run, no more than ``max_length`` per character, are then walked
-    from the left, the longest first.
+    All substrings of the lengths of dictionary words are looked up under a 128-bit hash of their run, so what is
+    shuffled grows with the run and not with its square. Then each run is walked from the left, the longest word first.
     """
     distinct = runs.select(F.col(run).alias("run")).distinct()
-    single = distinct.select("run", F.split("run", "").alias("words"))
     if dictionary is None:
-        return single
-    grams = distinct.select(
-        "run", F.explode(F.sequence(F.lit(1), F.length("run"))).alias("at")
-    ).select(
-        "run",
-        "at",
-        F.explode(F.sequence(F.lit(1), F.least(F.lit(max_length), F.length("run") - F.col("at") + 1))).alias("size"),
-    )
-    grams = grams.withColumn("word", F.substring("run", F.col("at"), F.col("size")))
-    known = grams.join(dictionary.select("word").distinct(), "word", "left_semi")
-    longest = known.groupBy("run", "at").agg(F.max("size").alias("size"))
-    matches = longest.groupBy("run").agg(F.collect_list(F.struct("at", "size")).alias("found"))
-    sizes = F.map_from_entries("found")
-    found = matches.select("run", sizes.alias("sizes"))
-
-    def walk(acc: Column, at: Column) -> Column:
-        size = F.coalesce(F.col("sizes")[at], F.lit(1))
-        here = at >= acc["next"]
-        word = F.substring(F.col("run"), at, size)
+        return distinct.select("run", F.split("run", "").alias("words"))
+    words = dictionary.select("word").filter(F.length("word") > 0).distinct()
+    # One number comes to the driver: the length of the longest word.
+    longest = words.agg(F.max(F.length("word"))).first()[0] or 1
+    named = distinct.withColumn("id", F.struct(F.xxhash64("run"), F.xxhash64(F.lit(1), "run")))
+    places = named.select("id", "run", F.posexplode(F.split("run", "")).alias("at", "_"))
+    sizes = F.sequence(F.lit(1), F.least(F.lit(longest), F.length("run") - F.col("at")))
+    grams = places.select("id", "at", F.explode(F.transform(sizes, lambda n: F.substring("run", F.col("at") + 1, n))).alias("word"))
+    known = grams.join(words, "word", "left_semi").groupBy("id", "at").agg(F.max(F.length("word")).alias("size"))
+    found = known.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("at", "size"))).alias("found"))
+
+    def walk(acc: Column, match: Column) -> Column:
+        free = match["at"] >= acc["next"]
         return F.struct(
-            F.when(here, F.concat(acc["words"], F.array(word))).otherwise(acc["words"]).alias("words"),
-            F.when(here, at + size).otherwise(acc["next"]).alias("next"),
+            F.when(free, F.concat(acc["taken"], F.array(match))).otherwise(acc["taken"]).alias("taken"),
+            F.when(free, match["at"] + match["size"]).otherwise(acc["next"]).alias("next"),
         )
 
-    start = F.struct(F.array().cast("array<string>").alias("words"), F.lit(1).alias("next"))
-    walked = F.aggregate(F.sequence(F.lit(1), F.length("run")), start, walk)["words"]
-    split = distinct.join(found, "run", "left")
-    alone = F.split("run", "")
-    return split.select("run", F.when(F.col("sizes").isNull(), alone).otherwise(walked).alias("words"))
+    start = F.struct(F.array().cast("array<struct<at:int,size:int>>").alias("taken"), F.lit(0).alias("next"))
+    end = F.array(F.struct(F.length("run").alias("at"), F.lit(0).alias("size")))
+
+    def spoken(taken: Column) -> Column:
+        """The taken words, each after the single ideographs since the one before."""
+
+        def piece(match: Column, i: Column) -> Column:
+            before = F.when(i > 0, F.get(taken, i - 1)["at"] + F.get(taken, i - 1)["size"]).otherwise(0)
+            alone = F.substring("run", before + 1, match["at"] - before)
+            own = F.substring("run", match["at"] + 1, match["size"])
+            return F.filter(F.concat(F.split(alone, ""), F.array(own)), lambda w: w != "")
+
+        return F.flatten(F.transform(taken, piece))
+
+    split = named.join(found, "id", "left")
+    taken = F.concat(F.aggregate(F.coalesce("found", F.array().cast("array<struct<at:int,size:int>>")), start, walk)["taken"], end)
+    return split.select("run", F.element_at(F.transform(F.array(taken), spoken), 1).alias("words"))
 
 
 def explode_words(df: DataFrame, text: str, dictionary: DataFrame | None = None, out: str = "keyword") -> DataFrame:
@@ -98,12 +99,13 @@ def explode_words(df: DataFrame, text: str, dictionary: DataFrame | None = None,
 def words_of_atoms(
     df: DataFrame, dictionary: DataFrame | None, atom: str = "atom", out: str = "keyword"
 ) -> DataFrame:
-    """Replaces an atom column by words, with CJK runs split."""
+    """Replaces an atom column by words, with runs of ideographs split."""
     if dictionary is None:
         words = F.when(is_han(atom), F.split(F.col(atom), "")).otherwise(F.array(atom))
         return df.withColumn(out, F.explode(words)).drop(atom)
-    split = han_words(df.filter(is_han(atom)), dictionary, atom)
-    split = split.withColumnRenamed("run", atom)
-    joined = skew.equi_join(df, split, [atom], "left", right_unique=True)
-    words = F.coalesce(F.col("words"), F.array(atom))
-    return joined.withColumn(out, F.explode(words)).drop(atom, "words")
+    # Letter runs are words as they are; only ideographs meet the dictionary.
+    han = df.filter(is_han(atom))
+    split = han_words(han, dictionary, atom).withColumnRenamed("run", atom)
+    joined = skew.equi_join(han, split, [atom], "left", right_unique=True)
+    plain = df.filter(~F.coalesce(is_han(atom), F.lit(False))).withColumn(out, F.col(atom)).drop(atom)
+    return plain.unionByName(joined.withColumn(out, F.explode("words")).drop(atom, "words"))

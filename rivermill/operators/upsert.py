@@ -60,7 +60,8 @@ def fold_dimensions(
         F.when(F.col("_gone").isNull() | (F.col(c)["_at"] > F.col("_gone")), F.col(c)["_value"]).alias(c)
         for c in columns
     ]
-    return folded.select(*key, *living).filter(F.coalesce(*columns).isNotNull())
+    present = F.coalesce(*columns).isNotNull() if columns else F.lit(False)
+    return folded.select(*key, *living).filter(present)
 
 
 def dimension_table(folded: DataFrame, sink_table: str, columns: Sequence[str]) -> DataFrame:

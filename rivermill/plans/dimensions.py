@@ -53,10 +53,14 @@ class DimensionStore:
         """
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            changes = rule_changes()
-            self.apply_rules(changes, rule_order, batch_id)
-            rows = dimension_rows(batch, rules_in_force(changes, rule_order), *order)
-            self._append(rows.withColumn("moment", F.struct(*order)), batch_id)
+            # One reading serves drops and rows, so that both see the same rules.
+            changes = rule_changes().persist()
+            try:
+                self.apply_rules(changes, rule_order, batch_id)
+                rows = dimension_rows(batch, rules_in_force(changes, rule_order), *order)
+                self._append(rows.withColumn("moment", F.struct(*order)), batch_id)
+            finally:
+                changes.unpersist()
 
         return write
 
@@ -78,17 +82,17 @@ class DimensionStore:
         writer.partitionBy("sink_table").parquet(f"{self.rows_path}/batch={batch_id}")
 
     def state(self, columns: Sequence[str], sink_table: str | None = None) -> DataFrame:
-        """Folded rows; for one table only its own directories are read."""
-        rows = self.spark.read.parquet(self.rows_path)
+        """Folded rows; for one table only its own directories are read. Before the first batch there are none."""
+        rows = _read(self.spark, self.rows_path)
+        if rows is None:
+            texts = ", ".join(f"`{c}` string" for c in ("sink_table", "row_key", *columns))
+            return self.spark.createDataFrame([], texts)
         if sink_table:
             rows = rows.filter(F.col("sink_table") == sink_table)
         return upsert.fold_dimensions(rows, ["batch", "moment"], columns, self._drops(rows))
 
     def _recorded_drops(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.drops_path)
-        except AnalysisException:
-            return None
+        return _read(self.spark, self.drops_path)
 
     def _drops(self, rows: DataFrame) -> DataFrame | None:
         drops = self._recorded_drops()
@@ -112,8 +116,23 @@ class DimensionStore:
         )
         target = DimensionStore(self.spark, path)
         target._append(rows.withColumn("moment", F.lit(None).cast(moment)), 0)
+        # Rule changes that were applied stay known, or the next batch would apply them to the rows written here.
+        drops = self._recorded_drops()
+        if drops is not None:
+            known = drops.select("sink_table", "change").distinct()
+            known.write.mode("overwrite").parquet(f"{target.drops_path}/batch=0")
         return target
 
 
+def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``; None if nothing was written there yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def rules_in_force(envelopes: DataFrame, order: Sequence[str]) -> DataFrame:
     return config_log.rules(envelopes, config_log.DIM_KEY, order)

@@ -368,11 +368,21 @@ def test_dimension_store(spark, tmp_path):
     assert rows(store.table("dim_t", ["a", "b"])) == [("1", "z", "y"), ("2", "q", None)]
     compact = store.compact(str(tmp_path / "compact"))
     assert rows(compact.table("dim_t", ["a", "b"])) == [("1", "z", "y"), ("2", "q", None)]
+    assert rows(dimensions.DimensionStore(spark, str(tmp_path / "none")).table("dim_t", ["a"])) == []
     log.append(envelope("u", row, row))
     write(dim_changes(spark, change("t", "insert", id="3", a="new")), 2)
     assert rows(store.table("dim_t", ["a"])) == [("3", "new")]
     write(dim_changes(spark, change("t", "insert", id="4", a="more")), 3)
     assert rows(store.table("dim_t", ["a"])) == [("3", "new"), ("4", "more")]
+    # A store written after a drop remembers it: the next batch keeps what is there.
+    later = store.compact(str(tmp_path / "later"))
+    later.write_batch(rule_changes, ["seq"], ["seq"])(dim_changes(spark, change("t", "insert", id="5", a="last")), 4)
+    assert rows(later.table("dim_t", ["a"])) == [("3", "new"), ("4", "more"), ("5", "last")]
+
+
+def test_fold_without_rules(spark):
+    changes = dim_changes(spark, change("t", "insert", id="1", a="x"))
+    assert dimensions.dimension_state(changes, rules(spark).filter("false"), ["seq"]).collect() == []
 
 
 def test_routing_past_the_broadcast_bound(spark, monkeypatch):
@@ -407,9 +417,23 @@ def test_keywords(spark):
     assert sorted(split_words) == sorted([("红",), ("色手",), ("机",), ("壳",)])
 
 
+def test_keywords_of_any_script_and_length(spark):
+    df = spark.createDataFrame([(0, "Iechä ÉTÉ e\u0301 カナ한글 ＡＢ red红鞋"), (1, "一二三四五六七八九十" * 2)], "i int, t string")
+    plain = [w for _, w in sorted(map(tuple, keywords.explode_words(df.filter("i = 0"), "t").select("i", "keyword").collect()))]
+    assert plain == sorted(["iechä", "été", "e\u0301", "カナ한글", "ａｂ", "red", "红", "鞋"])
+    dictionary = spark.createDataFrame([("一二三四五六七八九十",), ("九十",), ("",)], "word string")
+    assert rows(keywords.explode_words(df.filter("i = 1"), "t", dictionary), "keyword") == [("一二三四五六七八九十",)] * 2
+
+
+def test_a_very_long_run_of_ideographs(spark):
+    df = spark.createDataFrame([("红鞋" * 10_000,)], "t string")
+    dictionary = spark.createDataFrame([("红鞋",)], "word string")
+    assert keywords.explode_words(df, "t", dictionary).groupBy("keyword").count().collect() == [("红鞋", 10_000)]
+
+
 def test_keyword_sql_function(spark):
     keywords.register_sql(spark)
-    df = spark.createDataFrame([(0, "Red-Shoes 红鞋"), (1, "!!"), (2, None)], "i int, t string")
+    df = spark.createDataFrame([(0, "Réd-Shoes 红鞋"), (1, "!!"), (2, None)], "i int, t string")
     df.createOrReplaceTempView("phrases")
     got = spark.sql("SELECT i, keyword FROM phrases LEFT JOIN LATERAL kw_split(t) ON TRUE")
     assert rows(got) == rows(keywords.explode_words(df, "t"), "i", "keyword")

@@ -409,13 +409,15 @@ SELECT {stamps("ts")}, CAST(SUM(home_uv_ct) AS BIGINT) AS home_uv_ct,
 FROM firsts GROUP BY time_bucket(INTERVAL 10 SECOND, ts)
 """
 
-ATOMS = "regexp_extract_all(lower({text}), '[a-z0-9]+|[一-鿿]+')"
+ATOMS = (
+    r"regexp_extract_all(regexp_replace(lower({text}), '(\p{{Han}}+)', ' \1 ', 'g'), '[\p{{L}}\p{{M}}\p{{N}}\p{{Han}}]+')"
+)
 
 
 def words(text: str) -> str:
     """List of words of ``text``, one null when it has none; ideograph runs by character."""
     atoms = ATOMS.format(text=text)
-    split = f"flatten([CASE WHEN regexp_full_match(a, '[一-鿿]+') THEN string_split(a, '') ELSE [a] END FOR a IN {atoms}])"
+    split = f"flatten([CASE WHEN regexp_full_match(a, '\\p{{Han}}+') THEN string_split(a, '') ELSE [a] END FOR a IN {atoms}])"
     return f"unnest(CASE WHEN len({atoms}) = 0 THEN [NULL] ELSE {split} END)"
 
 
@@ -522,22 +524,29 @@ SELECT role, keyword, COUNT(*) AS n FROM w GROUP BY role, keyword
 
 ORACLE["dictionary_keywords"] = f"""
 WITH RECURSIVE dict AS (
-  SELECT DISTINCT translate(CAST(p_size AS VARCHAR), '0123456789', '{HAN_DIGITS}') AS word FROM part
+  SELECT DISTINCT translate(w, '0123456789', '{HAN_DIGITS}') AS word FROM (
+    SELECT CAST(p_size AS VARCHAR) AS w FROM part
+    UNION ALL SELECT lpad(CAST(p_partkey AS VARCHAR), CAST(3 + p_partkey % 10 AS INTEGER), '0') FROM part)
 ), phrase AS (
   SELECT c_custkey, translate(c_name, '0123456789', '{HAN_DIGITS}') AS item FROM customer
 ), atom AS (
   SELECT c_custkey, row_number() OVER () AS n, a FROM (
     SELECT c_custkey, unnest({ATOMS.format(text="item")}) AS a FROM phrase)
+), han AS (
+  SELECT *, length(a) AS chars FROM atom WHERE regexp_full_match(a, '\\p{{Han}}+')
+), places AS (
+  SELECT n, a, unnest(range(1, chars + 1)) AS pos FROM han
+), sizes AS (
+  SELECT n, pos, max(length(word)) AS size FROM places JOIN dict ON word = substr(a, pos, length(word)) GROUP BY n, pos
 ), walk AS (
-  SELECT c_custkey, n, a, 1 AS pos, CAST(NULL AS VARCHAR) AS word FROM atom WHERE regexp_full_match(a, '[一-鿿]+')
+  SELECT c_custkey, n, a, chars, CAST(1 AS BIGINT) AS pos FROM han
   UNION ALL
-  SELECT c_custkey, n, a,
-    pos + CASE WHEN length(substr(a, pos, 2)) = 2 AND substr(a, pos, 2) IN (SELECT word FROM dict) THEN 2 ELSE 1 END,
-    CASE WHEN substr(a, pos, 2) IN (SELECT word FROM dict) THEN substr(a, pos, 2) ELSE substr(a, pos, 1) END
-  FROM walk WHERE pos <= length(a)
+  SELECT c_custkey, walk.n, a, chars, walk.pos + coalesce(size, 1)
+  FROM walk LEFT JOIN sizes ON walk.n = sizes.n AND walk.pos = sizes.pos WHERE walk.pos <= chars
 ), word AS (
-  SELECT c_custkey, word AS keyword FROM walk WHERE word IS NOT NULL
-  UNION ALL SELECT c_custkey, a FROM atom WHERE NOT regexp_full_match(a, '[一-鿿]+')
+  SELECT c_custkey, substr(a, walk.pos, coalesce(size, 1)) AS keyword
+  FROM walk LEFT JOIN sizes ON walk.n = sizes.n AND walk.pos = sizes.pos WHERE walk.pos <= chars
+  UNION ALL SELECT c_custkey, a FROM atom WHERE NOT regexp_full_match(a, '\\p{{Han}}+')
 )
 SELECT c_custkey, keyword, COUNT(*) AS n FROM word GROUP BY c_custkey, keyword
 """

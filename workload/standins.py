@@ -425,6 +425,8 @@ def han_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def han_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part sizes written as ideographs: words of one and two characters."""
-    sizes = table(spark, sf_dir, "part").select(F.col("p_size").cast(TEXT).alias("size")).distinct()
-    return sizes.select(F.translate("size", "0123456789", HAN_DIGITS).alias("word"))
+    """Part sizes and padded part keys written as ideographs: words of one to twelve characters."""
+    parts = table(spark, sf_dir, "part")
+    padded = F.lpad(F.col("p_partkey").cast(TEXT), (3 + F.col("p_partkey") % 10).cast("int"), F.lit("0"))
+    words = parts.select(F.col("p_size").cast(TEXT).alias("w")).unionAll(parts.select(padded)).distinct()
+    return words.select(F.translate("w", "0123456789", HAN_DIGITS).alias("word"))
