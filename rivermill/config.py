@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 # Zone, window and delays the results depend on.
 ZONE = "Asia/Shanghai"
-DATABASE = "gmall"
+DATABASE = "shop"  # the name operators know the source database by
 WINDOW = "10 seconds"
 LOG_DELAY = "3 seconds"
 CHANGE_DELAY = "5 seconds"

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rivermill import schemas
-from rivermill.config import session
+from rivermill.config import DATABASE, session
 from rivermill.functions import wire
 from rivermill.operators import enrich, joins, project, split
 from rivermill.operators.skew import Arrival
@@ -53,8 +53,10 @@ class Warehouse:
     """Where topics, dimensions and results live.
 
     Without ``kafka`` options topics are text files under ``root``, one directory per topic. Rows of
-    file topics carry no offset; their event time stands for arrival. ``finite`` runs every job to
+    file topics carry no offset: they arrive by event time, then by their ``seq`` field if they have one. ``finite`` runs every job to
     the end of its present input. ``words`` is the dictionary of search words, in a column ``word``.
+    ``database`` is the source database whose change records count. ``rule_snapshots`` gives, by rule
+    topic, the rules that stood before its first change.
     """
 
     spark: SparkSession
@@ -63,6 +65,8 @@ class Warehouse:
     day: str | None = None
     finite: bool = False
     words: DataFrame | None = None
+    database: str = DATABASE
+    rule_snapshots: dict[str, DataFrame] = field(default_factory=dict)
     source_options: dict[str, str] = field(default_factory=dict)
 
     @property
@@ -76,7 +80,7 @@ class Warehouse:
     def arrival(self) -> Arrival:
         if self.kafka is not None:
             return Arrival.by_offset(finite=self.finite)
-        return Arrival(("ts",), "ts div 60000", finite=self.finite)
+        return Arrival(("ts", "seq"), "ts div 60000", finite=self.finite)
 
     @property
     def kept(self) -> tuple[str, ...]:
@@ -87,9 +91,10 @@ class Warehouse:
         if self.kafka is not None:
             options = {**self.kafka, **self.source_options, "subscribe": topic}
             return topics.read_topic(self.spark, "kafka", stream=stream, options=options)
-        return topics.read_topic(
+        raw = topics.read_topic(
             self.spark, "text", self.topic_path(topic), stream=stream, options=self.source_options
-        ).select("value")
+        )
+        return raw.select("value", F.get_json_object("value", "$.seq").try_cast("bigint").alias("seq"))
 
     def topic_path(self, topic: str) -> str:
         return f"{self.root}/topics/topic={topic}"
@@ -125,10 +130,11 @@ class Warehouse:
 
     def rule_changes(self, topic: str, row: T.StructType) -> DataFrame:
         """Rule changelog; without offsets its rows carry a ``seq`` field of their own."""
-        raw = self.read(topic, stream=False)
-        if self.kafka is None:
-            raw = raw.withColumn("seq", F.get_json_object("value", "$.seq").try_cast("bigint"))
-        return config_log.envelopes(raw, row, *self.rule_order)
+        changes = config_log.envelopes(self.read(topic, stream=False), row, *self.rule_order)
+        initial = self.rule_snapshots.get(topic)
+        if initial is None:
+            return changes
+        return config_log.with_snapshot(initial.withColumn("op", F.lit("r")), changes, self.rule_order)
 
     @property
     def rule_order(self) -> tuple[str, ...]:
@@ -159,7 +165,8 @@ def start(name: str, warehouse: Warehouse, trigger: dict | None = None) -> Strea
 
 
 def _changes(w: Warehouse) -> DataFrame:
-    return topics.changes(w.read(CHANGE_TOPIC), *w.kept)
+    changes = topics.changes(w.read(CHANGE_TOPIC), *w.kept).filter(F.col("database") == w.database)
+    return changes.withColumn("database", F.lit(DATABASE))
 
 
 def _pages(w: Warehouse) -> DataFrame:

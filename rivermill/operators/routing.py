@@ -6,24 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivermill.functions import wire
-from rivermill.operators import skew
 
 
 def _with_rules(changes: DataFrame, rules: DataFrame, keys: dict[str, str]) -> DataFrame:
     """Inner join of change records to the rules of their table (and type), as ``columns``.
 
-    The listed names are split, untrimmed, once per rule. Rules are counted first and broadcast
-    while few; past that bound they join by shuffle.
+    The listed names are split, untrimmed, once per rule. Spark broadcasts the rules if their size allows it; else a
+    table of many changes is cut by adaptive execution.
     """
     renamed = rules.select(
         *[F.col(rule).alias(column) for column, rule in keys.items()],
         *[c for c in rules.columns if c not in keys.values()],
         F.split("sink_columns", ",").alias("columns"),
     )
-    small = skew.broadcast_if_small(renamed)
-    if small is not None or changes.isStreaming:
-        return changes.join(renamed if small is None else small, list(keys), "inner")
-    return skew.equi_join(changes, renamed, list(keys), right_unique=True)
+    return changes.join(renamed, list(keys), "inner")
 
 
 def route_dimensions(changes: DataFrame, rules: DataFrame, *keep: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 ROWS_PER_TASK = 5_000_000
 MAX_HOT_KEYS = 1_000
 MAX_PIECES = 4_096
-MAX_BROADCAST_ROWS = 100_000
+BY_TIME = 60_000  # units of record time in a chunk
 
 
 @dataclass(frozen=True)
@@ -40,9 +40,12 @@ class Arrival:
 
     @staticmethod
     def by_offset(rows_per_task: int = ROWS_PER_TASK, finite: bool = False) -> Arrival:
-        """Order of a partitioned topic whose records of one key share a partition."""
-        piece = f"struct(partition, offset div {rows_per_task})"
-        return Arrival(("partition", "offset"), piece, rows_per_task, finite)
+        """Order of a partitioned topic: by record time, then partition and offset.
+
+        A key may stand in several partitions, of which a catch-up reads one after the other; only the records' own time
+        puts those in order.
+        """
+        return Arrival(("ts", "partition", "offset"), f"ts div {BY_TIME}", rows_per_task, finite)
 
 
 def hot_keys(
@@ -185,14 +188,3 @@ def equi_join(
 
     on = [*keys, "_l_piece", "_r_piece"]
     return cut(left, "_l", "_r").join(cut(right, "_r", "_l"), on, how).drop("_l_piece", "_r_piece")
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
-    """``df`` marked for broadcast when it has at most ``max_rows`` rows, else None.
-
-    Reads at most ``max_rows + 1`` rows. For tables without size statistics, such as a
-    configuration table over JDBC; files need no mark, as Spark checks their size itself.
-    """
-    if df.limit(max_rows + 1).count() > max_rows:
-        return None
-    return F.broadcast(df)

@@ -62,11 +62,13 @@ def keyed_topic(facts: DataFrame, keys: Sequence[str], hidden: Sequence[str] = (
 
 
 def console(df: DataFrame, checkpoint: str | None = None) -> StreamingQuery | None:
-    """Prints rows, for looking at a job."""
+    """Prints all rows, for looking at a job; rows of a batch come one partition at a time."""
     if not df.isStreaming:
-        df.show(truncate=False)
+        print(*df.columns, sep=" | ")
+        for row in df.toLocalIterator():
+            print(*row, sep=" | ")
         return None
-    writer = df.writeStream.format("console").option("truncate", "false")
+    writer = df.writeStream.format("console").option("truncate", "false").option("numRows", 2**31 - 1)
     return (writer.option("checkpointLocation", checkpoint) if checkpoint else writer).start()
 
 

@@ -385,13 +385,6 @@ def test_fold_without_rules(spark):
     assert dimensions.dimension_state(changes, rules(spark).filter("false"), ["seq"]).collect() == []
 
 
-def test_routing_past_the_broadcast_bound(spark, monkeypatch):
-    changes = dim_changes(spark, change("t", "insert", id="1", a="x"), change("u", "insert", id="2"))
-    small = rows(routing.route_dimensions(changes, rules(spark)), "row_key")
-    monkeypatch.setattr(skew, "broadcast_if_small", lambda df: None)
-    assert rows(routing.route_dimensions(changes, rules(spark)), "row_key") == small == [("1",)]
-
-
 def test_routed_facts(spark, tmp_path):
     config = spark.createDataFrame(
         [("t", "insert", "topic_new", "id, a"), ("t", "update", "topic_old", "id,a")],

@@ -94,8 +94,3 @@ def test_paid_lines_against_all_pairs(spark, rows_per_task):
     want = [(i, ko, tp) for ko, tp in pays for i, kl, tl in lines if ko == kl and tl - 900 <= tp <= tl + 5]
     assert rows(got, "id", "order_id", "ts") == sorted(want, key=repr)
     assert [r for r in rows(got, "id", "ts") if r[0] == 100] == [(100, 1100), (100, 2005)]
-
-
-def test_broadcast_only_when_small(spark):
-    assert skew.broadcast_if_small(spark.range(10), 10) is not None
-    assert skew.broadcast_if_small(spark.range(11), 10) is None

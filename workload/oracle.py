@@ -70,8 +70,32 @@ def stamps(column: str) -> str:
     )
 
 
-ORACLE["topic_text"] = """
-SELECT 1 AS whole, COUNT(*) AS n FROM events WHERE event_id > 0
+# The raw text of a log record, written out as it stands in the topic.
+RAW = PG + """,
+raw AS (
+  SELECT event_id, k, '{"common":{' || CASE WHEN k < 97 THEN '"mid":"' || mid || '",' ELSE '' END ||
+    '"uid":"' || uid || '","vc":"' || vc || '","ch":"' || ch || '","ar":"' || ar || '","is_new":"' || is_new ||
+    '","os":"' || CASE WHEN k % 2 = 0 THEN 'linux' ELSE 'mac' END || '"}' ||
+    CASE WHEN has_page THEN ',"page":{"page_id":"' || page_id || '",' ||
+      CASE WHEN last_page_id IS NULL THEN '' ELSE '"last_page_id":"' || last_page_id || '",' END ||
+      '"item":"' || item || '","item_type":"' || item_type || '","during_time":' || CAST(during_time AS VARCHAR) || '}'
+      ELSE '' END ||
+    CASE WHEN is_start THEN ',"start":{"entry":"icon","loading_time":' || CAST(k AS VARCHAR) || '}' ELSE '' END ||
+    CASE WHEN event_type = 'error' THEN ',"err":{"error_code":' || CAST(k AS VARCHAR) || ',"msg":"broken"}' ELSE '' END ||
+    CASE WHEN event_type = 'view' THEN ',"displays":[' ||
+      '{"item":"' || CAST(k AS VARCHAR) || '","pos_id":"1","pos_seq":1,"shown":{"at":' || CAST(k AS VARCHAR) || '}},' ||
+      '{"item":"' || CAST(k + 1 AS VARCHAR) || '","pos_id":"2","pos_seq":2,"shown":{"at":' || CAST(k AS VARCHAR) || '}}]'
+      ELSE '' END ||
+    CASE WHEN event_type = 'click' THEN ',"actions":[{"action_id":"favor_add","item":"' || CAST(k AS VARCHAR) || '"}]'
+      ELSE '' END ||
+    ',"ts":' || CAST(CAST(epoch_ms(ts) AS BIGINT) AS VARCHAR) || '}' AS value
+  FROM pg
+)"""
+
+ORACLE["topic_text"] = f"""
+WITH {RAW}
+SELECT event_id, CAST(CASE WHEN k = 96 THEN 30 ELSE length(value) END AS INTEGER) AS chars, substr(value, 1, 24) AS head
+FROM raw WHERE event_id > 0
 """
 
 CART = LN + """,
@@ -92,11 +116,22 @@ ORACLE["config_rules"] = """
 WITH r AS (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM orders
 )
+SELECT 't' || CAST(c_custkey AS VARCHAR) AS source_table, 'dim_n' || CAST(c_nationkey AS VARCHAR) AS sink_table,
+  'id' AS sink_columns, 'id' AS sink_row_key
+FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
+UNION ALL
 SELECT 't' || CAST(o_custkey AS VARCHAR) AS source_table, 'dim_' || substr(o_orderpriority, 1, 1) AS sink_table,
   'id,name' AS sink_columns, 'id' AS sink_row_key
 FROM r WHERE rn = 1 AND o_orderstatus <> 'F'
 """
 
+ORACLE["order_topic_read"] = f"""
+WITH {LN}
+SELECT id, order_id, sku_id, CAST(cnt AS VARCHAR) AS sku_num, CAST(price AS VARCHAR) AS split_total_amount,
+  create_time AS time
+FROM ln WHERE line NOT IN (4, 5)
+"""
+
 ORACLE["upsert_latest"] = f"""
 WITH {LN}, r AS (SELECT *, {NEWEST} AS rn FROM ln)
 SELECT id, sku_id, CAST(cnt AS VARCHAR) AS sku_num, CAST(price AS VARCHAR) AS split_total_amount
@@ -127,6 +162,24 @@ SELECT sink_table, id AS row_key, arg_max(name, pos) FILTER (WHERE name IS NOT N
 FROM live GROUP BY sink_table, id
 """
 
+ORACLE["dimension_point_read"] = f"""
+WITH {DIM}, r AS (
+  SELECT *, 'dim_' || tbl AS sink_table,
+    ROW_NUMBER() OVER (PARTITION BY tbl, id ORDER BY arrived, n1, n2, n3) AS pos
+  FROM dim WHERE tbl <> 'cart_info'
+), gone AS (
+  SELECT tbl, id, MAX(pos) AS pos FROM r WHERE kind = 'delete' GROUP BY tbl, id
+), live AS (
+  SELECT r.* FROM r LEFT JOIN gone g ON r.tbl = g.tbl AND r.id = g.id
+  WHERE r.kind <> 'delete' AND (g.pos IS NULL OR r.pos > g.pos)
+)
+SELECT n.id, d.name, d.price, CASE WHEN d.id IS NULL THEN 0 ELSE 1 END AS found
+FROM (SELECT DISTINCT id FROM ln) n LEFT JOIN (
+  SELECT id, arg_max(name, pos) FILTER (WHERE name IS NOT NULL) AS name, arg_max(CAST(price AS VARCHAR), pos) AS price
+  FROM live WHERE sink_table = 'dim_sku_info' GROUP BY id
+) d ON n.id = d.id
+"""
+
 START_TEXT = """'{"entry":"icon","loading_time":' || CAST(k AS VARCHAR) || '}'"""
 
 ORACLE["log_clean"] = f"""

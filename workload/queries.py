@@ -52,14 +52,12 @@ def _counted(df: DataFrame, *keys: str) -> DataFrame:
 
 @query
 def topic_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw log topic with blank records dropped, texts counted by length."""
+    """Raw log topic with blank records dropped: every text that is left, as a digest with its length."""
     lines = s.log_lines(spark, sf_dir).withColumn(
         "value", F.when(F.col("event_id") > 0, F.col("value")).otherwise(F.lit(" "))
     )
     kept = topics.non_empty(lines)
-    return kept.select(F.col("value").startswith('{"common":').cast("int").alias("whole")).groupBy("whole").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    return kept.select("event_id", F.length("value").alias("chars"), F.substring("value", 1, 24).alias("head"))
 
 
 @query
@@ -82,12 +80,34 @@ def change_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def config_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rules in force after folding change envelopes."""
+    """Rules in force after folding the snapshot and change envelopes."""
     changes = config_log.envelopes(s.rule_envelopes(spark, sf_dir), schemas.DIM_RULE, "o_orderkey")
+    changes = config_log.with_snapshot(s.rule_snapshot(spark, sf_dir), changes, ["o_orderkey"])
     in_force = config_log.rules(changes, config_log.DIM_KEY, ["o_orderkey"])
     return in_force.select("source_table", "sink_table", "sink_columns", "sink_row_key")
 
 
+@query
+def order_topic_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order facts read back from the texts of their keyed topic, tombstones skipped."""
+    rows = topics.order_facts(s.order_texts(spark, sf_dir))
+    return rows.select(
+        "id", "order_id", "sku_id", "sku_num", "split_total_amount",
+        times.ms_to_date_time(F.col("ts") * 1000).alias("time"),
+    )
+
+
+@query
+def dimension_point_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One dimension of the fold looked up by the keys of all order lines; missing rows keep the line."""
+    changes, rules = s.dimension_changes(spark, sf_dir), s.dimension_rules(spark)
+    folded = dimensions.dimension_state(changes, rules, s.LINE_ORDER)
+    names = upsert.dimension_table(folded, "dim_sku_info", ["name", "price"])
+    keys = s.line_changes(spark, sf_dir).select("id").distinct()
+    read = keys.join(names, F.col("id") == F.col("key"), "left")
+    return read.select("id", "name", "price", F.col("key").isNotNull().cast("int").alias("found"))
+
+
 @query
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest emission of every order line."""

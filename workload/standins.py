@@ -404,6 +404,28 @@ def rule_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", F.to_json(record).alias("value"))
 
 
+def rule_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules as they stood before any change, one per customer."""
+    return table(spark, sf_dir, "customer").select(
+        F.lit("r").alias("op"),
+        F.concat(F.lit("t"), F.col("c_custkey").cast(TEXT)).alias("source_table"),
+        F.concat(F.lit("dim_n"), F.col("c_nationkey").cast(TEXT)).alias("sink_table"),
+        F.lit("id").alias("sink_columns"),
+        F.lit("info").alias("sink_family"),
+        F.lit("id").alias("sink_row_key"),
+    )
+
+
+def order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order facts as texts of a keyed topic; every fifth line has a tombstone or a blank instead of its text."""
+    lines = line_changes(spark, sf_dir)
+    fact = F.struct(
+        "id", "order_id", "sku_id", F.col("count").cast(TEXT).alias("sku_num"), F.col("price").alias("split_total_amount"), "ts",
+    )
+    gone = F.when(F.col("line") == 4, F.lit(None).cast(TEXT)).when(F.col("line") == 5, F.lit("  "))
+    return lines.select(F.when(F.col("line").isin(4, 5), gone).otherwise(F.to_json(fact)).alias("value"))
+
+
 def document_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as one search phrase, one per second."""
     at = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, doc_id)")
