@@ -32,6 +32,10 @@ REGISTER_TOPIC = "dwd_user_register"
 DIM_RULE_TOPIC = "table_process_dim"
 FACT_RULE_TOPIC = "table_process_dwd"
 
+# Bounds of a micro-batch, so that the first one is not the whole topic; ``source_options`` may set others.
+MAX_RECORDS = "10000000"
+MAX_FILES = "1000"
+
 # Fixed columns of the dimension tables the jobs look up.
 DIMENSION_COLUMNS = {
     "dim_sku_info": ("category3_id", "tm_id", "spu_id", "sku_name"),
@@ -89,11 +93,10 @@ class Warehouse:
 
     def read(self, topic: str, stream: bool = True) -> DataFrame:
         if self.kafka is not None:
-            options = {**self.kafka, **self.source_options, "subscribe": topic}
+            options = {"maxOffsetsPerTrigger": MAX_RECORDS, **self.kafka, **self.source_options, "subscribe": topic}
             return topics.read_topic(self.spark, "kafka", stream=stream, options=options)
-        raw = topics.read_topic(
-            self.spark, "text", self.topic_path(topic), stream=stream, options=self.source_options
-        )
+        options = {"maxFilesPerTrigger": MAX_FILES, **self.source_options}
+        raw = topics.read_topic(self.spark, "text", self.topic_path(topic), stream=stream, options=options)
         return raw.select("value", F.get_json_object("value", "$.seq").try_cast("bigint").alias("seq"))
 
     def topic_path(self, topic: str) -> str:
@@ -111,7 +114,9 @@ class Warehouse:
 
     def write_table(self, rows: DataFrame, table: str, batch_id: int) -> None:
         named = wire.to_snake(rows).withColumn("batch", F.lit(batch_id))
-        writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # A micro-batch has few aggregate rows: they go into few files, not one per shuffle partition.
+        merged = named.hint("rebalance", "cur_date")
+        writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("cur_date", "batch").parquet(self.table_path(table))
 
     def table_path(self, table: str) -> str:

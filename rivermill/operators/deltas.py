@@ -25,7 +25,7 @@ def amount_deltas(
     valued = df.select("*", *[value.alias(name) for name, value in amounts.items()])
     if df.isStreaming:
         return state.amount_deltas(valued, arrival, list(amounts), key)
-    seen = skew.previous(valued, [key], arrival, list(amounts), "_before")
+    seen = skew.previous(valued, [key], arrival, list(amounts), "_before", few=True)
     zero = F.lit(0).cast(MONEY)
     changes = {name: F.col(name) - F.coalesce(F.col("_before")[name], zero) for name in amounts}
     return seen.withColumns(changes).drop("_before")

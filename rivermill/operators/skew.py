@@ -71,14 +71,19 @@ def previous(
     values: Sequence[str],
     out: str,
     hot: DataFrame | None = None,
+    few: bool = False,
 ) -> DataFrame:
     """Adds struct ``out``: ``values`` of the row that arrived before within the key, else null.
 
     Hot keys are windowed per chunk; the first row of a chunk takes the last row of the key's
     chunk before it, from a summary with one row per hot key and chunk. Without hot keys adaptive
     execution drops the summary and its scan. Null keys form one group, as in any window.
-    ``hot`` gives the result of :func:`hot_keys` where a cheaper input than ``df`` can tell it.
+    ``hot`` gives the result of :func:`hot_keys` where a cheaper input than ``df`` can tell it. ``few`` says that a key
+    has few rows by its nature, such as the id of an order line: then nothing is counted and one window does it.
     """
+    if few:
+        order = Window.partitionBy(*keys).orderBy(*arrival.order)
+        return df.withColumn(out, F.lag(F.struct(*values)).over(order))
     chunk = F.expr(arrival.chunk)
     if hot is None:
         hot = hot_keys(df, keys, arrival.rows_per_task)
