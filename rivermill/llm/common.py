@@ -6,7 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +19,24 @@ from pyspark.sql.types import StructType
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package's code to the executors once per application, as ``--py-files`` would."""
+    context, root = spark.sparkContext, Path(__file__).resolve().parents[2]
+    if context.applicationId in _shipped or not (root / "rivermill").is_dir():
+        return
+    folder = tempfile.mkdtemp(prefix="rivermill-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/rivermill-code.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted((root / "rivermill").rglob("*.py")):
+            out.write(path, path.relative_to(root))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``; a folder of this run where unset (tests)."""
     context = spark.sparkContext

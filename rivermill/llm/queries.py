@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivermill.llm import chat, mixing, pii, quality, simhash, suffixes, token_counts, token_files, topk, transducer
+from rivermill.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -16,8 +18,13 @@ ORACLE: dict[str, str] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def vocabulary() -> str:

@@ -77,9 +77,15 @@ def test_anchors_agree_wherever_a_string_stands():
 
 def test_suffix_order_and_previous_factors():
     rng = random.Random(6)
-    data = bytes(rng.choice(b"ab") for _ in range(600)) * 2
-    ranks = suffixes.suffix_ranks(data, 40)
-    cut = [data[i : i + 40].ljust(40, b"\0") for i in range(len(data))]
-    assert (np.argsort(ranks, kind="stable") == sorted(range(len(data)), key=lambda i: (cut[i], i))).all()
-    earlier = suffixes.earlier_match(ranks, np.arange(len(data)))
-    assert earlier.tolist() == [cut[i] in cut[:i] for i in range(len(data))]
+    texts = [bytes(rng.choice(b"\0ab") for _ in range(rng.randint(0, 12))) for _ in range(500)]
+    groups = [rng.randrange(4) for _ in texts]
+    order, common = suffixes.suffix_order(texts, groups, 10)
+    assert order.tolist() == sorted(range(500), key=lambda i: (groups[i], texts[i]))
+    for length in range(11):
+        classes = suffixes.prefix_classes(order, common, length)
+        names = [(g, t.ljust(10, b"\0")[:length]) for g, t in zip(groups, texts, strict=True)]
+        first = {}
+        assert all(first.setdefault(n, c) == c for n, c in zip(names, classes, strict=True))
+        assert len(set(classes.tolist())) == len(set(names))
+        earlier = suffixes.earlier_match(classes, np.arange(500))
+        assert earlier.tolist() == [n in names[:i] for i, n in enumerate(names)]
