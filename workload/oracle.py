@@ -162,6 +162,23 @@ SELECT sink_table, id AS row_key, arg_max(name, pos) FILTER (WHERE name IS NOT N
 FROM live GROUP BY sink_table, id
 """
 
+ORACLE["dimension_lifecycle"] = f"""
+WITH {DIM}, r AS (
+  SELECT *, 'dim_' || tbl AS sink_table,
+    ROW_NUMBER() OVER (PARTITION BY tbl, id ORDER BY arrived, n1, n2, n3) AS pos
+  FROM dim WHERE tbl <> 'cart_info'
+    AND arrived >= CASE tbl WHEN 'sku_info' THEN DATE '1997-01-01' ELSE DATE '1996-03-01' END
+), gone AS (
+  SELECT tbl, id, MAX(pos) AS pos FROM r WHERE kind = 'delete' GROUP BY tbl, id
+), live AS (
+  SELECT r.* FROM r LEFT JOIN gone g ON r.tbl = g.tbl AND r.id = g.id
+  WHERE r.kind <> 'delete' AND (g.pos IS NULL OR r.pos > g.pos)
+)
+SELECT sink_table, id AS row_key, arg_max(name, pos) FILTER (WHERE name IS NOT NULL) AS name,
+  CASE WHEN sink_table = 'dim_sku_info' THEN arg_max(CAST(price AS VARCHAR), pos) END AS price
+FROM live GROUP BY sink_table, id
+"""
+
 ORACLE["dimension_point_read"] = f"""
 WITH {DIM}, r AS (
   SELECT *, 'dim_' || tbl AS sink_table,

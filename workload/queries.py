@@ -97,6 +97,16 @@ def order_topic_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def dimension_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both dimension tables after rule changes dropped each at its moment and made it anew."""
+    changes, rules = s.dimension_changes(spark, sf_dir), s.dimension_rules(spark)
+    rows = dimensions.dimension_rows(changes, rules, *s.LINE_ORDER)
+    drops = s.dimension_drops(spark, rows)
+    folded = upsert.fold_dimensions(rows, s.LINE_ORDER, ["id", "name", "price"], drops)
+    return folded.select("sink_table", "row_key", "name", "price")
+
+
 @query
 def dimension_point_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dimension of the fold looked up by the keys of all order lines; missing rows keep the line."""

@@ -404,6 +404,15 @@ def rule_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", F.to_json(record).alias("value"))
 
 
+def dimension_drops(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Moments at which rule changes drop the dimension tables, as arrival columns of ``rows``; one table twice."""
+    days = [("dim_sku_info", "1995-06-01"), ("dim_sku_info", "1997-01-01"), ("dim_spu_info", "1996-03-01")]
+    drops = spark.createDataFrame(days, "sink_table string, day string")
+    kind = rows.select(F.struct(*LINE_ORDER).alias("moment")).schema["moment"].dataType
+    moment = F.struct(F.col("day").cast("timestamp"), F.lit(0), F.lit(0), F.lit(0)).cast(kind)
+    return drops.select("sink_table", moment.alias("moment"))
+
+
 def rule_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules as they stood before any change, one per customer."""
     return table(spark, sf_dir, "customer").select(
