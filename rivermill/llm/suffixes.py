@@ -3,13 +3,14 @@
 A byte is removed if it lies in a string of ``LENGTH`` bytes that also starts elsewhere: anywhere (``keep="none"``), or at an
 earlier place by (doc_id, place) (``keep="first"``, which leaves the first copy). In suffix order, the longest earlier
 match of a suffix is found at its previous or next smaller position: among suffixes that agree on ``LENGTH`` bytes, that is
-any one but the first in text order. Suffixes are ordered by doubling: ranks of 8 bytes give ranks of 16, and so on.
+any one but the first in text order.
 
 Only places that can repeat need ordering. Each window of ``LENGTH`` bytes picks an anchor, the place in it whose next
 ``GRAM`` bytes have the least hash; equal windows pick equal anchors. So a window repeats only if the bytes of its anchor do.
 Counting anchors leaves those that occur twice or more. An anchor with its whole context (all windows it can serve) equal to
 another's is settled by counting too. What is left, mostly the ends of repeated passages, is one context for each
-different one, and goes through suffix order, grouped by anchor. A group of more than ``HOT`` contexts is not gathered:
+different one, and goes through suffix order, grouped by anchor: what follows the anchor and, backwards, what precedes it
+are sorted, and common lengths of neighbours give the strings that agree. A group of more than ``HOT`` contexts is not gathered:
 its windows are counted one by one under a 128-bit hash, combined before the shuffle.
 
 Defined cases: a null text is empty; texts shorter than ``LENGTH`` keep all bytes; matches never cross documents, but may lie
@@ -176,20 +177,25 @@ def _contexts(named: DataFrame, chosen: DataFrame, length: int) -> DataFrame:
     return _mapped(_with_lists(named, rows, "inner"), work, fields)
 
 
-def suffix_ranks(data: bytes, length: int = LENGTH) -> np.ndarray:
-    """Rank of the ``length``-byte string at every place, in byte order; equal strings share a rank (length >= 8).
+def suffix_order(texts: list[bytes], groups: list[int], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffix array of ``texts`` by group, and how many bytes each has in common with the one before it.
 
-    Strings that pass the end of ``data`` count as filled with zeros.
+    Common bytes are counted up to ``width``, shorter texts filled with zeros; the first of a group has -1.
     """
-    padded = data + bytes(length)
-    ranks = np.unique(np.ndarray((len(data) + length - 7,), ">u8", padded, strides=(1,)), return_inverse=True)[1]
-    width = 8
-    while width < length:
-        step = min(width, length - width)
-        ahead = ranks[step:]
-        ranks = np.unique(ranks[: len(ahead)] * (1 << 32) + ahead, return_inverse=True)[1]
-        width += step
-    return ranks[: len(data)]
+    order = np.array(sorted(range(len(texts)), key=lambda i: (groups[i], texts[i])))
+    table = np.frombuffer(b"".join(t[:width].ljust(width, b"\0") for t in texts), np.uint8).reshape(-1, width)[order]
+    same = table[1:] == table[:-1]
+    common = np.where(same.all(axis=1), width, same.argmin(axis=1))
+    owner = np.array(groups)[order]
+    common[owner[1:] != owner[:-1]] = -1
+    return order, np.append(-1, common)
+
+
+def prefix_classes(order: np.ndarray, common: np.ndarray, length: int) -> np.ndarray:
+    """A number per text that texts of a group share exactly if they agree on ``length`` bytes: runs in suffix order."""
+    classes = np.empty(len(order), np.int64)
+    classes[order] = np.cumsum(common < length)
+    return classes
 
 
 def earlier_match(ranks: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -212,37 +218,50 @@ def _starts(p: int, low: int, size: int, length: int) -> range:
 
 
 def _repeats(rows: list[tuple], length: int, keep: str) -> list[tuple]:
-    """(doc_id, h, start, end) of what repeats among contexts (group, n, doc_id, h, low, p, bytes)."""
-    offsets = np.cumsum([0] + [len(r[6]) for r in rows])
-    ranks = suffix_ranks(b"".join(r[6] for r in rows), length)
-    spans = [_starts(r[5], r[4], len(r[6]), length) for r in rows]
-    context = np.repeat(np.arange(len(rows)), list(map(len, spans)))
-    inside = np.concatenate([np.arange(s.start, s.stop) for s in spans])
-    groups = np.unique(np.array([r[0] for r in rows]), return_inverse=True)[1]
-    # Null ids come first; h and start order the rest.
-    owners = np.unique(
-        np.array([(r[2] is not None, r[2] or 0, r[3]) for r in rows], dtype="i8").view("i8,i8,i8"), return_inverse=True
-    )[1].ravel()
-    start = np.array([r[4] for r in rows])[context] + inside
-    place = owners[context] * (int(start.max()) + 1) + start  # text order
-    classes = groups[context] * (len(ranks) + 1) + ranks[offsets[context] + inside]
+    """(doc_id, h, start, end) of what repeats among contexts (group, n, doc_id, h, low, p, bytes).
+
+    Equal windows of a group start equally far before the anchor. So the window ``ahead`` bytes before it is known by
+    its class among what precedes the anchor, read backwards, and by its class among what follows it.
+    """
+    width, count = length - GRAM, len(rows)
+    groups = np.unique([r[0] for r in rows], return_inverse=True)[1].tolist()
+    befores = [r[6][: r[5] - r[4]][::-1] for r in rows]
+    afters = [r[6][r[5] - r[4] + GRAM :] for r in rows]
+    left, right = suffix_order(befores, groups, width), suffix_order(afters, groups, width)
+    left_size, right_size = np.array(list(map(len, befores))), np.array(list(map(len, afters)))
+    anchor = np.array([r[5] for r in rows])
+    classes, context, start = [], [], []
+    for ahead in range(width + 1):
+        a, b = prefix_classes(*left, ahead), prefix_classes(*right, width - ahead)
+        # A window that is alone on either side is alone.
+        usable = (left_size >= ahead) & (right_size >= width - ahead)
+        usable &= (np.bincount(a)[a] > 1) & (np.bincount(b)[b] > 1)
+        chosen = np.flatnonzero(usable)
+        classes.append((ahead * (count + 1) + a[chosen]) * (count + 1) + b[chosen])
+        context.append(chosen)
+        start.append(anchor[chosen] - ahead)
+    classes, context, start = map(np.concatenate, (classes, context, start))
+    if not len(classes):
+        return []
+    # Text order: null ids come first; h and start order the rest.
+    named = np.array([(r[2] is not None, r[2] or 0, r[3]) for r in rows], "i8").view("i8,i8,i8")
+    owners = np.unique(named, return_inverse=True)[1].ravel()
+    place = owners[context] * (int(start.max()) + 1) + start
     hit = earlier_match(classes, place)
     if keep == "none":
         # The first of a run repeats too if another place follows, or if its context has copies.
         hit |= earlier_match(classes, -place)
         many = np.array([r[1] > 1 for r in rows])[context]
-        known = np.unique(classes[many])
-        hit |= np.isin(classes, known)
-    out = []
+        hit |= np.isin(classes, np.unique(classes[many]))
     chosen = np.flatnonzero(hit)
     if not len(chosen):
-        return out
+        return []
+    chosen = chosen[np.lexsort((start[chosen], context[chosen]))]
     # Neighbouring starts of one context make one span.
     breaks = np.flatnonzero((np.diff(context[chosen]) != 0) | (np.diff(start[chosen]) > length)) + 1
-    for piece in np.split(chosen, breaks):
-        row = rows[context[piece[0]]]
-        out.append((row[2], row[3], int(start[piece[0]]), int(start[piece[-1]]) + length))
-    return out
+    firsts, lasts = np.append(0, breaks), np.append(breaks, len(chosen)) - 1
+    spans = zip(context[chosen[firsts]].tolist(), start[chosen[firsts]].tolist(), start[chosen[lasts]].tolist(), strict=True)
+    return [(rows[i][2], rows[i][3], first, last + length) for i, first, last in spans]
 
 
 SPANS = "doc_id bigint, h bigint, first bigint, last bigint"
