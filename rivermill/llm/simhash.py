@@ -238,11 +238,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     named = docs.select(F.struct(docs["doc_id"], F.xxhash64(docs["text"]).alias("hash")).alias("_key"), docs["text"])
     found = grouped(cut(fingerprints(named, "_key")), "_key")
     first = F.min_by("_key", F.struct(F.col("_key.doc_id").isNull(), F.col("_key")))
-    chosen = found.groupBy("group").agg(first.alias("_first")).select("_first.*")
-    chosen = chosen.select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).distinct()
+    chosen = found.groupBy("group").agg(first.alias("_chosen")).select("_chosen").distinct()
     rows = docs.select(
-        F.struct(*[docs[c] for c in columns]).alias("_doc"), docs["doc_id"].alias("_own"), F.xxhash64(docs["text"]).alias("_h")
+        F.struct(*[docs[c] for c in columns]).alias("_doc"),
+        F.struct(docs["doc_id"], F.xxhash64(docs["text"]).alias("hash")).alias("_key"),
     )
-    once = rows.groupBy("_own", "_h").agg(F.first("_doc").alias("_doc"))
-    kept = once.join(chosen, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash")), "left_semi")
-    return kept.select("_doc.*")
+    # One key for both steps, so that texts are shuffled once; structs are equal where their nulls are.
+    once = rows.groupBy("_key").agg(F.first("_doc").alias("_doc"))
+    return once.join(chosen, F.col("_key") == F.col("_chosen"), "left_semi").select("_doc.*")
