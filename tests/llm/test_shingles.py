@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+from itertools import combinations
+from random import Random
+
+import pytest
+
+from rivermill.llm import shingles, simhash
+
+
+def sets(text):
+    words = (text or "").encode().lower().split()
+    size = min(5, len(words))
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set()
+
+
+def brute(rows):
+    """The doc_ids that stay when all pairs are compared; rows: (doc_id, text)."""
+    found, parent = {name: sets(text) for name, text in rows}, {name: name for name, _ in rows}
+
+    def find(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for a, b in combinations(found, 2):
+        least, most = sorted((len(found[a]), len(found[b])))
+        if 5 * least < 4 * most:
+            continue
+        union = len(found[a] | found[b])
+        if union == 0 or 5 * len(found[a] & found[b]) >= 4 * union:
+            low, high = sorted((find(a), find(b)))
+            parent[high] = low
+    return sorted({find(v) for v in parent})
+
+
+def planted(rng):
+    """Texts with near-copies on both sides of 0.8, chains of links, a passage in all texts, short and empty ones."""
+    passage, vocabulary = [f"p{i}" for i in range(30)], [f"w{i}" for i in range(400)]
+    texts = []
+    for size in (3, 8, 20, 60, 200):
+        for _ in range(6):
+            base = rng.choices(vocabulary, k=size)
+            texts.append(base + passage if rng.random() < 0.5 else base)
+            for _ in range(6):
+                near = list(rng.choice(texts[-3:]))
+                for _ in range(rng.randint(0, 1 + len(near) // 40)):
+                    near[rng.randrange(len(near))] = rng.choice(vocabulary)
+                texts.append(near)
+    rows = [" ".join(t) for t in texts] + [None, "", " \n ", "One", "one", "one two"]
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize(("seed", "often"), [(1, 16), (2, 2)])
+def test_keep_one_finds_all_similar(spark, monkeypatch, seed, often):
+    monkeypatch.setattr(shingles, "OFTEN", often)
+    monkeypatch.setattr(shingles, "STAR", 2)
+    rows = planted(Random(seed))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == brute(rows)
+
+
+def test_tables(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [tuple(r) for r in table.select("doc_id", "text").collect()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == brute(rows)
