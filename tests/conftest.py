@@ -23,9 +23,3 @@ def spark():
     built.sparkContext.setLogLevel("ERROR")
     yield built
     built.stop()
-
-
-def rows(df, *names):
-    """Rows as sorted tuples of the named columns."""
-    picked = df.select(*names) if names else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

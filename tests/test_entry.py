@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -30,3 +33,16 @@ def test_query(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("gone", [["rivermill/llm", "tests/llm", "corpus_pipeline.py"], ["rivermill/llm", "tests/llm"]])
+def test_rest_stands_alone(tmp_path, gone):
+    root = Path(__file__).resolve().parents[1]
+    skipped = shutil.ignore_patterns(".git", "__pycache__", ".pytest_cache", "spark-warehouse")
+    copy = shutil.copytree(root, tmp_path / "copy", ignore=skipped)
+    for name in gone:
+        path = copy / name
+        shutil.rmtree(path, ignore_errors=True) if path.suffix == "" else path.unlink(missing_ok=True)
+    code = "import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e.QUERIES) == sorted(e.oracle_sql()))"
+    said = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True)
+    assert said.stdout.strip() == "True", said.stderr

@@ -6,7 +6,7 @@ import json
 import uuid
 
 import pytest
-from conftest import rows
+from frames import rows
 
 from rivermill.config import DATABASE
 from rivermill.jobs import JOBS, Warehouse, start

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import rows
+from frames import rows
 
 from rivermill.operators import joins, skew, upsert
 from rivermill.operators.skew import Arrival
