@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivermill.llm import chat, mixing, pii, quality, simhash, suffixes, token_counts, token_files, topk, transducer
+from rivermill.llm import chat, merkle, mixing, pii, quality, simhash, suffixes, token_counts, token_files, topk, transducer
 from rivermill.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +123,12 @@ def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether it still verifies after tampering with some."""
+    return merkle.verified(merkle.manifest(table(spark, sf_dir, "documents")))
+
+
 ORACLE["op2_chat"] = r"""
 WITH rows AS (
   SELECT conv_id, turn, role, text FROM conversations
@@ -164,3 +170,69 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGI
   CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(left_over, ''))) AS kept_sha256
 FROM sized LEFT JOIN counted USING (r) LEFT JOIN rest USING (r)
 """
+
+
+def _merkle_sql() -> str:
+    """Checksums bit by bit; then the levels of all languages' trees, and of the tree over their subroots, one after another."""
+
+    def field(name: str) -> str:
+        return f"coalesce(CAST(strlen(CAST({name} AS VARCHAR)) AS VARCHAR) || ':' || CAST({name} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        fields = [field(name) for name in ("doc_id", "source", "lang", "n_chars")]
+        return f"sha256({' || '.join([*fields, field(text)])})"
+
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps = "xor(c, ascii(d)::BIGINT)"
+    for _ in range(8):
+        steps = f"list_transform([{steps}], lambda x: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)[1]"
+    parts = [
+        f"""WITH RECURSIVE crc AS (
+  SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR) AS rest, 4294967295::BIGINT AS c FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL
+  SELECT doc_id, rest[2:], {steps} FROM (SELECT doc_id, rest, c, rest[1] AS d FROM crc WHERE rest <> '')),
+checked AS (SELECT doc_id AS id, xor(c, 4294967295) % 3 = 0 AS tampered FROM crc WHERE rest = ''),
+rows AS (
+  SELECT doc_id, lang, {leaf("text")} AS leaf, CASE WHEN tampered THEN {leaf("lowered")} END AS folded
+  FROM (SELECT *, {lowered} AS lowered FROM documents) LEFT JOIN checked ON doc_id = id),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM rows),
+down0 AS (
+  SELECT doc_id, lang, i, i AS at, leaf, leaf AS node, coalesce(folded, leaf) AS folded, '' AS proof FROM placed),
+n0 AS (SELECT lang, i, leaf AS node, count(*) OVER (PARTITION BY lang) AS n FROM placed)"""
+    ]
+
+    def level(k: int, tree: str, n: str, down: str) -> str:
+        """One level up for ``n`` (nodes by tree) and ``down`` (documents with the node over them)."""
+        on = f"s.{tree} IS NOT DISTINCT FROM d.{tree} AND s.i // 8 = d.at // 8" if tree else "s.i // 8 = d.at // 8"
+        by = f"{tree}, " if tree else ""
+        part = f"PARTITION BY {tree}" if tree else ""
+        return f"""{n}{k + 1} AS (
+  SELECT {by}i, node, count(*) OVER ({part}) AS n FROM (
+    SELECT {by}i // 8 AS i, CASE WHEN any_value(n) = 1 THEN any_value(node) ELSE sha256(string_agg(node, '' ORDER BY i)) END AS node
+    FROM {n}{k} GROUP BY {by}i // 8)),
+r{n}{k} AS (SELECT {by}i // 8 AS i, any_value(n) AS n, list(node ORDER BY i) AS run FROM {n}{k} GROUP BY {by}i // 8),
+{down}{k + 1} AS (
+  SELECT d.doc_id, d.lang, d.i, d.at // 8 AS at, d.leaf, {"d.node" if tree else "d.subroot"},
+    CASE WHEN r.n = 1 THEN d.folded ELSE sha256(array_to_string(r.run[:d.at % 8], '') || d.folded
+      || array_to_string(r.run[d.at % 8 + 2:], '')) END AS folded,
+    d.proof || CASE WHEN r.n = 1 THEN '' ELSE array_to_string(r.run[:d.at % 8], '') || array_to_string(r.run[d.at % 8 + 2:], '') END
+      AS proof
+  FROM {down}{k} d JOIN r{n}{k} r ON {on.replace("s.i // 8", "r.i").replace("s.", "r.")})"""
+
+    depth = 9
+    parts += [level(k, "lang", "n", "down") for k in range(depth)]
+    parts.append(f"""m0 AS (
+  SELECT row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, lang, node, count(*) OVER () AS n FROM n{depth}),
+up0 AS (
+  SELECT d.doc_id, d.lang, d.i, m.i AS at, d.leaf, m.node AS subroot, d.folded, d.proof
+  FROM down{depth} d JOIN m0 m ON m.lang IS NOT DISTINCT FROM d.lang)""")
+    parts += [level(k, "", "m", "up") for k in range(depth)]
+    parts.append(f"""last AS (
+  SELECT u.*, m.node AS root FROM up{depth} u, m{depth} m)""")
+    return ",\n".join(parts) + """
+SELECT doc_id, lang, i AS place, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root,
+  folded = root AS verified FROM last"""
+
+
+ORACLE["op11_merkle"] = _merkle_sql()
