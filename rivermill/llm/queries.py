@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivermill.llm import chat, merkle, mixing, pii, quality, simhash, suffixes, token_counts, token_files, topk, transducer
+from rivermill.llm import chat, lexical, merkle, mixing, pii, quality, simhash, suffixes, token_counts, token_files, topk, transducer
 from rivermill.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,6 +129,12 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(merkle.manifest(table(spark, sf_dir, "documents")))
 
 
+@query
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 ORACLE["op2_chat"] = r"""
 WITH rows AS (
   SELECT conv_id, turn, role, text FROM conversations
@@ -236,3 +242,29 @@ SELECT doc_id, lang, i AS place, leaf, subroot, root, sha256(proof) AS proof_sha
 
 
 ORACLE["op11_merkle"] = _merkle_sql()
+
+ORACLE["op12_lexical"] = r"""
+WITH found AS (
+  SELECT doc_id, r, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT *, row_number() OVER () AS r FROM documents)),
+asked AS (
+  SELECT DISTINCT item_id, r, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT *, row_number() OVER () AS r FROM benchmark)),
+counted AS (SELECT doc_id, r, term, count(*) AS tf FROM found GROUP BY doc_id, r, term),
+sized AS (SELECT r, count(*) AS n FROM found GROUP BY r),
+means AS (SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS total FROM sized),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(documents) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counted, means GROUP BY term),
+factors AS (SELECT r, 100 - 50 + ((50 * n * documents) // total) AS m FROM sized, means),
+scored AS (
+  SELECT a.r AS q, item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM asked a JOIN counted c USING (term) JOIN weights USING (term) JOIN factors f ON f.r = c.r
+  GROUP BY a.r, item_id, c.r, doc_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
