@@ -1,13 +1,16 @@
 """Ranked lexical search by hashed max-sketches: exact, with upper bounds first.
 
-**Index.** One pass over the texts writes a row per document: number of terms, a 128-bit digest of its text, and a sketch. Each
-distinct term falls on ``HASHES`` of the sketch's coordinates, a power of two of at least ``SPREAD`` for each distinct term. A
-coordinate keeps the maximum over its terms. In one document the impact of a term grows with its occurrences alone, so the
-maxima are kept as occurrences (one byte, rounded up beyond ``PLAIN``) and read as impacts once the corpus's means are known.
-The same pass counts in how many documents of the task each term occurs; the sums are the document frequencies.
-
-**Search.** Queries come in blocks of about ``BLOCK_TERMS`` terms and ``BLOCK_QUERIES`` texts, with each term's weight. Looking up all terms of a block
-in the sketches of a batch, the least of a term's coordinates bounds its impact, and the weighted sum bounds the score.
+**Statistics.** One pass over the texts counts documents, terms, and in how many documents each term occurs.
+
+**Sketches.** A second pass writes a row per document: number of terms, a 128-bit digest of its text, and a sketch. A term's impact
+is its whole share of a score, weight included. Each distinct term falls on ``HASHES`` coordinates of the sketch, a power of
+two of at least ``SPREAD`` for each distinct term; a coordinate keeps the maximum over its terms, rounded up to one byte.
+Weights are exact for the ``COMMON`` most frequent terms, which every task gets; a rarer term counts with the weight of a term of
+one document, which is never too low.
+
+**Search.** Queries come in blocks of about ``BLOCK_TERMS`` terms and ``BLOCK_QUERIES`` texts, with each term's weight. Looking up all
+terms of a block in the sketches of a batch, the least of a term's coordinates bounds its impact; occurrences are whole, so it
+is the greatest impact of a whole number of them that fits, often none. The sum bounds the score.
 Documents are rescored from their texts in descending order of bounds: first the best by bound of each query, whose exact scores
 give the query a threshold, then every other document whose bound reaches it. Nothing below can enter the ranking, so the
 result is exact whatever the hashes are.
@@ -42,9 +45,9 @@ from rivermill.llm.common import kept
 K = 50
 SPREAD = 4
 HASHES = 2
-PLAIN = 199  # occurrences up to this number are kept as they are
+COMMON = 50_000
 BLOCK_TERMS = 20_000
-FLUSH = 500_000  # distinct terms that a task counts before it hands them on
+FLUSH = 200_000  # distinct terms that a task counts before it hands them on
 LOOKUPS = 2_000_000  # sketch coordinates that are looked up at a time
 BLOCK_QUERIES = 1_000
 SENT_ROWS = 200_000  # rows of two numbers at most that are broadcast; more of them are joined by a shuffle
@@ -53,8 +56,8 @@ SENT_ROWS = 200_000  # rows of two numbers at most that are broadcast; more of t
 _SPLIT = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)
 )
-#: What a sketch byte stands for: occurrences, at least as many as were met.
-OCCURRENCES = np.array([c if c <= PLAIN else math.ceil(PLAIN * 1.5 ** (c - PLAIN)) for c in range(256)], np.float64)
+#: What a sketch byte stands for: impacts, from 10^5 up in steps of about 5 %, beyond all that occur. 0 stands for no term.
+IMPACTS = np.append(0.0, 1e5 * 1.053 ** np.arange(255))
 
 
 def terms(text: str | None) -> list[bytes]:
@@ -62,26 +65,26 @@ def terms(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_SPLIT).split()
 
 
-def code(occurrences: int) -> int:
-    """The least sketch byte that stands for at least so many occurrences."""
-    return occurrences if occurrences <= PLAIN else int(np.searchsorted(OCCURRENCES, occurrences))
-
-
 def places(term: bytes) -> tuple[int, int]:
     """Two hashes of a term; coordinates are their last bits."""
     return zlib.crc32(term), zlib.crc32(term, 0x9E3779B9)
 
 
-def sketch(counts: dict[bytes, int]) -> bytes:
-    """Coordinatewise maxima over the terms of a document."""
+def shares(weights: np.ndarray, occurrences: np.ndarray, m: np.ndarray | int) -> np.ndarray:
+    """Impacts before they are rounded down: never less than the exact ones."""
+    return weights * (1e9 * occurrences / (1e3 * occurrences + 20 * m))
+
+
+def sketch(counts: dict[bytes, int], m: int, common: dict[bytes, int], rare: int) -> bytes:
+    """Coordinatewise maxima of the impacts of a document's terms, as bytes of ``IMPACTS``."""
     size = 1 << max(4, (SPREAD * len(counts) - 1).bit_length())
-    out, mask = bytearray(size), size - 1
-    for term, occurrences in counts.items():
-        value = code(occurrences)
-        for place in places(term):
-            if out[place & mask] < value:
-                out[place & mask] = value
-    return bytes(out)
+    weights = np.array([common.get(term, rare) for term in counts], np.float64)
+    values = np.searchsorted(IMPACTS, shares(weights, np.array(list(counts.values()), np.float64), m)).astype(np.uint8)
+    at = np.array([places(term) for term in counts], np.int64) & (size - 1)
+    out = np.zeros(size, np.uint8)
+    for number in range(HASHES):
+        np.maximum.at(out, at[:, number], values)
+    return out.tobytes()
 
 
 def impact(occurrences: int, m: int) -> int:
@@ -115,31 +118,44 @@ def _mapped(df: DataFrame, work, ddl: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-ENTRY = "doc_id bigint, t1 bigint, t2 bigint, n bigint, sketch binary, term binary, documents bigint"
+def statistics(docs: DataFrame) -> DataFrame:
+    """Rows of (term, documents, occurrences) counted per task; a null term counts the documents with terms, and all terms."""
+
+    def work(batches):
+        seen: Counter[bytes] = Counter()
+        documents = occurrences = 0
+        for batch in batches:
+            for text in batch.column(0):
+                found = terms(text.as_py())
+                occurrences += len(found)
+                documents += bool(found)
+                seen.update(set(found))
+            if len(seen) > FLUSH:
+                yield [(term, number, None) for term, number in seen.items()]
+                seen.clear()
+        yield [(None, documents, occurrences), *[(term, number, None) for term, number in seen.items()]]
+
+    return _mapped(docs.select(docs["text"]), work, "term binary, documents bigint, occurrences bigint")
 
 
-def index(docs: DataFrame) -> DataFrame:
-    """A row per document with terms (``term`` is null), and rows of (term, documents) counted per task."""
+def sketches(docs: DataFrame, documents: int, total: int, common: dict[bytes, int]) -> DataFrame:
+    """doc_id, t1 and t2 (digest of the text), n and sketch of every document with terms; ``common``: weights."""
+    rare = weight(1, documents)
 
     def work(batches):
-        seen: Counter[bytes] = Counter()
         for batch in batches:
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 data = (text.as_py() or "").encode()
                 counts = Counter(data.translate(_SPLIT).split())
                 if counts:
-                    seen.update(counts.keys())
-                    out.append((doc_id, *_digest(data), counts.total(), sketch(counts), None, None))
-            if len(seen) > FLUSH:
-                out += [(None, None, None, None, None, *item) for item in seen.items()]
-                seen.clear()
+                    n = counts.total()
+                    m = length_factor(n, documents, total)
+                    out.append((doc_id, *_digest(data), n, sketch(counts, m, common, rare)))
             yield out
-        items = list(seen.items())
-        for at in range(0, len(items), 10_000):
-            yield [(None, None, None, None, None, *item) for item in items[at : at + 10_000]]
 
-    return _mapped(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]), work, ENTRY)
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
+    return _mapped(rows, work, "doc_id bigint, t1 bigint, t2 bigint, n bigint, sketch binary")
 
 
 class Block:
@@ -159,15 +175,18 @@ class Block:
         self.place = np.array([places(term) for _, term, _ in held], np.int64).reshape(-1, HASHES)
 
     def bounds(self, sketches: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Upper bounds of the scores of documents (rows) under the queries (columns): an impact is one too high at least."""
+        """Upper bounds of the scores of documents (rows) under the queries (columns)."""
         at = self.place & (sketches.shape[1] - 1)
         met = sketches[:, at[:, 0]]
         for other in range(1, HASHES):
             met = np.minimum(met, sketches[:, at[:, other]])
-        often = OCCURRENCES[met]
+        most = IMPACTS[met]
         m = np.array([length_factor(x, self.documents, self.total) for x in n.tolist()], np.float64)[:, None]
-        impacts = 1e9 * often / (1e3 * often + 20 * m)
-        return np.add.reduceat((impacts + (often > 0)) * self.weight, self.first, axis=1)
+        # share = weight * 10^9 * o / (1000 * o + 20 * m) solved for the occurrences o; where no o is too many, ``most`` stands.
+        room = 1e9 * self.weight - 1e3 * most
+        often = np.floor(20 * m * most / np.maximum(room, 1e-3) * (1 + 1e-9))
+        fits = np.where(room > 0, np.minimum(shares(self.weight, often, m), most), most)
+        return np.add.reduceat(fits, self.first, axis=1) * (1 + 1e-9)
 
     def score(self, q: int, counts: dict[bytes, int], n: int) -> int:
         m = length_factor(n, self.documents, self.total)
@@ -303,11 +322,16 @@ def _searched(docs: DataFrame, entries: DataFrame, block: Block, k: int) -> Data
 def search(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """item_id, rank, doc_id and score: the ``k`` best documents for every row of ``queries`` (item_id, text)."""
     spark = docs.sparkSession
-    entries = kept(index(docs), "lexical-index")
-    documents = entries.filter("term is null")
+    counted = kept(statistics(docs), "term-counts")
     # Two numbers come to the driver: documents with terms, and their terms.
-    count, total = documents.agg(F.count(F.lit(1)), F.sum("n")).first()
-    frequencies = entries.filter("term is not null").groupBy("term").agg(F.sum("documents").alias("documents"))
+    sums = counted.filter("term is null").agg(F.sum("documents"), F.sum("occurrences")).first()
+    count, total = sums[0] or 0, sums[1] or 0
+    frequencies = kept(
+        counted.filter("term is not null").groupBy("term").agg(F.sum("documents").alias("documents")), "frequencies"
+    )
+    often = frequencies.orderBy(F.desc("documents"), "term").limit(COMMON).collect()
+    common = {bytes(term): weight(number, count) for term, number in often}
+    documents = kept(sketches(docs, count, total, common), "sketches")
 
     asked = queries.select(queries["item_id"].alias("item_id"), queries["text"].alias("text"))
 
