@@ -3,17 +3,17 @@
 **Statistics.** One pass over the texts counts documents, terms, and in how many documents each term occurs.
 
 **Sketches.** A second pass writes a row per document: number of terms, a 128-bit digest of its text, and a sketch. A term's impact
-is its whole share of a score, weight included. Each distinct term falls on ``HASHES`` coordinates of the sketch, a power of
-two of at least ``SPREAD`` for each distinct term; a coordinate keeps the maximum over its terms, rounded up to one byte.
+is its whole share of a score, weight included. Each distinct term falls on ``HASHES`` coordinates of the sketch, which has
+``SPREAD`` for each distinct term; a coordinate keeps the maximum over its terms, rounded up to one byte.
 Weights are exact for the ``COMMON`` most frequent terms, which every task gets; a rarer term counts with the weight of a term of
 one document, which is never too low.
 
-**Search.** Queries come in blocks of about ``BLOCK_TERMS`` terms and ``BLOCK_QUERIES`` texts, with each term's weight. Looking up all
-terms of a block in the sketches of a batch, the least of a term's coordinates bounds its impact; occurrences are whole, so it
+**Search.** Queries come in blocks of about ``BLOCK_TERMS`` terms and ``BLOCK_QUERIES`` texts, with each term's weight. All terms of a
+block are looked up in the sketches of a batch. The least of a term's coordinates bounds its impact; occurrences are whole, so it
 is the greatest impact of a whole number of them that fits, often none. The sum bounds the score.
-Documents are rescored from their texts in descending order of bounds: first the best by bound of each query, whose exact scores
-give the query a threshold, then every other document whose bound reaches it. Nothing below can enter the ranking, so the
-result is exact whatever the hashes are.
+First the documents of the highest expected score (bounds, times how likely a hit is no collision) are rescored from their
+texts; the k-th best exact score is the query's threshold. Then every other document whose bound reaches it is rescored. Nothing
+below can enter the ranking, so the result is exact whatever the hashes are.
 
 Texts that are equal have equal scores. So candidates are distinct texts, and only the texts that reach a ranking are
 laid out as documents, of each the ``k`` smallest doc_ids: a group of copies never meets in one task.
@@ -27,7 +27,6 @@ scores. Extra columns of any name are ignored.
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from heapq import nlargest
@@ -43,8 +42,10 @@ from pyspark.sql.types import StructType
 from rivermill.llm.common import kept
 
 K = 50
-SPREAD = 4
-HASHES = 2
+SPREAD = 16
+HASHES = 4
+FIRST = 4  # documents rescored first, times k
+COLLISION = 1e-3  # about how often a term hits that is not there; a guess, for expected scores only
 COMMON = 50_000
 BLOCK_TERMS = 20_000
 FLUSH = 200_000  # distinct terms that a task counts before it hands them on
@@ -65,9 +66,11 @@ def terms(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_SPLIT).split()
 
 
-def places(term: bytes) -> tuple[int, int]:
-    """Two hashes of a term; coordinates are their last bits."""
-    return zlib.crc32(term), zlib.crc32(term, 0x9E3779B9)
+def hashes(found: list[bytes]) -> np.ndarray:
+    """``HASHES`` 32-bit hashes of every term, a row each."""
+    whole = np.array([xxhash.xxh3_64_intdigest(term) for term in found], np.uint64)[:, None]
+    low, high = whole & np.uint64(0xFFFFFFFF), whole >> np.uint64(32) | np.uint64(1)
+    return (low + np.arange(HASHES, dtype=np.uint64) * high & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 def shares(weights: np.ndarray, occurrences: np.ndarray, m: np.ndarray | int) -> np.ndarray:
@@ -77,13 +80,15 @@ def shares(weights: np.ndarray, occurrences: np.ndarray, m: np.ndarray | int) ->
 
 def sketch(counts: dict[bytes, int], m: int, common: dict[bytes, int], rare: int) -> bytes:
     """Coordinatewise maxima of the impacts of a document's terms, as bytes of ``IMPACTS``."""
-    size = 1 << max(4, (SPREAD * len(counts) - 1).bit_length())
     weights = np.array([common.get(term, rare) for term in counts], np.float64)
     values = np.searchsorted(IMPACTS, shares(weights, np.array(list(counts.values()), np.float64), m)).astype(np.uint8)
-    at = np.array([places(term) for term in counts], np.int64) & (size - 1)
-    out = np.zeros(size, np.uint8)
+    out = np.zeros(SPREAD * len(counts), np.uint8)
+    at = hashes(list(counts)) * len(out) >> 32
+    order = np.argsort(values, kind="stable")  # of several values for a coordinate the last, the greatest, stays
     for number in range(HASHES):
-        np.maximum.at(out, at[:, number], values)
+        mine = np.zeros_like(out)
+        mine[at[order, number]] = values[order]
+        np.maximum(out, mine, out)
     return out.tobytes()
 
 
@@ -170,69 +175,75 @@ class Block:
             self.terms[number[text]][term] = weight(frequency, documents)
         held = [(q, term, w) for q, chosen in enumerate(self.terms) for term, w in sorted(chosen.items())]
         self.owner = np.array([q for q, _, _ in held], np.int64)
-        self.first = np.flatnonzero(np.append(True, np.diff(self.owner) != 0)) if held else self.owner
         self.weight = np.array([w for _, _, w in held], np.float64)
-        self.place = np.array([places(term) for _, term, _ in held], np.int64).reshape(-1, HASHES)
-
-    def bounds(self, sketches: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Upper bounds of the scores of documents (rows) under the queries (columns)."""
-        at = self.place & (sketches.shape[1] - 1)
-        met = sketches[:, at[:, 0]]
-        for other in range(1, HASHES):
-            met = np.minimum(met, sketches[:, at[:, other]])
-        most = IMPACTS[met]
-        m = np.array([length_factor(x, self.documents, self.total) for x in n.tolist()], np.float64)[:, None]
+        self.hash = hashes([term for _, term, _ in held]).T.copy() if held else np.zeros((HASHES, 0), np.int64)
+        known = {term: frequency / max(1, documents) for _, term, frequency in rows}
+        chance = np.array([known[term] for _, term, _ in held])
+        self.trust = chance / (chance + COLLISION)
+
+    def sums(self, data: np.ndarray, first: np.ndarray, size: np.ndarray, n: np.ndarray, expected: bool) -> np.ndarray:
+        """Upper bounds, or ``expected`` scores, of documents (rows) under the queries (columns).
+
+        The documents' sketches lie in ``data`` from ``first`` on, ``size`` bytes each.
+        """
+        met = data[first[:, None] + (self.hash[0] * size[:, None] >> 32)]
+        row, term = np.nonzero(met)
+        value = met[row, term]
+        for place in self.hash[1:]:
+            value = np.minimum(value, data[first[row] + (place[term] * size[row] >> 32)])
+            held = np.flatnonzero(value)
+            row, term, value = row[held], term[held], value[held]
+        most, weights = IMPACTS[value], self.weight[term]
+        m = np.array([length_factor(x, self.documents, self.total) for x in n.tolist()], np.float64)[row]
         # share = weight * 10^9 * o / (1000 * o + 20 * m) solved for the occurrences o; where no o is too many, ``most`` stands.
-        room = 1e9 * self.weight - 1e3 * most
+        room = 1e9 * weights - 1e3 * most
         often = np.floor(20 * m * most / np.maximum(room, 1e-3) * (1 + 1e-9))
-        fits = np.where(room > 0, np.minimum(shares(self.weight, often, m), most), most)
-        return np.add.reduceat(fits, self.first, axis=1) * (1 + 1e-9)
+        fits = np.where(room > 0, np.minimum(shares(weights, often, m), most), most) * (1 + 1e-9)
+        if expected:
+            fits *= self.trust[term]
+        cells = len(n) * len(self.queries)
+        return np.bincount(row * len(self.queries) + self.owner[term], fits, cells).reshape(len(n), -1)
 
     def score(self, q: int, counts: dict[bytes, int], n: int) -> int:
         m = length_factor(n, self.documents, self.total)
         return sum(w * impact(counts[t], m) for t, w in self.terms[q].items() if t in counts)
 
 
-def _bounded(batch: pa.RecordBatch, block: Block) -> Iterator[tuple[list[int], np.ndarray]]:
-    """Rows of a batch (doc_id, t1, t2, n, sketch) with their bounds, some at a time and one size of sketch at a time."""
-    sizes = np.array([len(x) for x in batch.column(4).to_pylist()])
+def _summed(batch: pa.RecordBatch, block: Block, expected: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """Sums of the rows of a batch (doc_id, t1, t2, n, sketch), some at a time, each with the number of their first row."""
     n = batch.column(3).to_numpy()
-    step = max(1, LOOKUPS // max(1, len(block.weight)))
-    for size in np.unique(sizes).tolist():
-        rows = np.flatnonzero(sizes == size)
-        for at in range(0, len(rows), step):
-            chosen = rows[at : at + step]
-            data = b"".join(batch.column(4)[i].as_py() for i in chosen.tolist())
-            yield chosen.tolist(), block.bounds(np.frombuffer(data, np.uint8).reshape(-1, size), n[chosen])
+    for at in range(0, len(n), step := max(1, LOOKUPS // max(1, len(block.weight)))):
+        found = batch.column(4).slice(at, step).to_pylist()
+        size = np.array([len(x) for x in found], np.int64)
+        data = np.frombuffer(b"".join(found), np.uint8)
+        yield at, block.sums(data, np.cumsum(size) - size, size, n[at : at + step], expected)
 
 
-CANDIDATE = "q int, t1 bigint, t2 bigint, doc_id bigint, bound double"
+CANDIDATE = "q int, t1 bigint, t2 bigint, doc_id bigint, value double"
 
 
 def _best(entries: DataFrame, block: Block, first: int) -> DataFrame:
-    """The ``first`` distinct texts of highest bound for every query."""
+    """The ``first`` distinct texts of highest expected score for every query."""
 
     def work(batches):
         held: list[dict] = [{} for _ in block.queries]
+        least = np.zeros(len(held))
         for batch in batches:
             ids, t1, t2 = (batch.column(i).to_pylist() for i in range(3))
-            for rows, bounds in _bounded(batch, block):
-                for q, known in enumerate(held):
-                    column = bounds[:, q]
-                    least = min(known.values())[0] if len(known) >= first else 0.0
-                    for at in np.flatnonzero(column > least).tolist():
-                        i = rows[at]
-                        known.setdefault((t1[i], t2[i]), (float(column[at]), ids[i]))
-                    if len(known) > 4 * first:
+            for at, sums in _summed(batch, block, True):
+                for row, q in np.argwhere(sums > least).tolist():
+                    i, known = at + row, held[q]
+                    known.setdefault((t1[i], t2[i]), (float(sums[row, q]), ids[i]))
+                    if len(known) >= 4 * first:
                         held[q] = dict(nlargest(first, known.items(), key=lambda x: x[1][0]))
-                    del known
+                        least[q] = min(held[q].values(), key=lambda x: x[0])[0]
         for q, known in enumerate(held):
             top = nlargest(first, known.items(), key=lambda x: x[1][0])
-            yield [(q, *text, doc_id, bound) for text, (bound, doc_id) in top]
+            yield [(q, *text, doc_id, value) for text, (value, doc_id) in top]
 
     found = _mapped(entries, work, CANDIDATE)
-    texts = found.groupBy("q", "t1", "t2").agg(F.max("bound").alias("bound"), F.min("doc_id").alias("doc_id"))
-    order = Window.partitionBy("q").orderBy(F.desc("bound"), "t1", "t2")
+    texts = found.groupBy("q", "t1", "t2").agg(F.max("value").alias("value"), F.min("doc_id").alias("doc_id"))
+    order = Window.partitionBy("q").orderBy(F.desc("value"), "t1", "t2")
     return texts.withColumn("_at", F.row_number().over(order)).filter(F.col("_at") <= first).drop("_at")
 
 
@@ -243,15 +254,14 @@ def _reaching(entries: DataFrame, block: Block, thresholds: np.ndarray) -> DataF
         for batch in batches:
             ids, t1, t2 = (batch.column(i).to_pylist() for i in range(3))
             found = {}
-            for rows, bounds in _bounded(batch, block):
-                hits = np.argwhere(bounds >= thresholds)
-                for at, q in hits.tolist():
-                    i = rows[at]
-                    found[q, t1[i], t2[i]] = ids[i], float(bounds[at, q])
+            for at, bounds in _summed(batch, block, False):
+                for row, q in np.argwhere(bounds >= thresholds).tolist():
+                    i = at + row
+                    found[q, t1[i], t2[i]] = ids[i], float(bounds[row, q])
             yield [(*key, *value) for key, value in found.items()]
 
     found = _mapped(entries, work, CANDIDATE)
-    return found.groupBy("q", "t1", "t2").agg(F.max("bound").alias("bound"), F.min("doc_id").alias("doc_id"))
+    return found.groupBy("q", "t1", "t2").agg(F.max("value").alias("value"), F.min("doc_id").alias("doc_id"))
 
 
 def _among(rows: DataFrame, few: DataFrame, **keys: str) -> DataFrame:
@@ -291,7 +301,7 @@ def _rescored(docs: DataFrame, candidates: DataFrame, block: Block) -> DataFrame
 def _searched(docs: DataFrame, entries: DataFrame, block: Block, k: int) -> DataFrame:
     """q, rank, doc_id and score for the queries of a block."""
     columns = entries.select("doc_id", "t1", "t2", "n", "sketch")
-    first = kept(_best(columns, block, 2 * k), "first-candidates")
+    first = kept(_best(columns, block, FIRST * k), "first-candidates")
     known = kept(_rescored(docs, first, block), "first-scores")
     # One number a query comes to the driver: the k-th best of the exact scores so far, or 1 while there are fewer.
     order = Window.partitionBy("q").orderBy(F.desc("score"), "t1", "t2")
