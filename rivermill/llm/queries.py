@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivermill.llm import chat, lexical, merkle, mixing, pii, quality, simhash, suffixes, token_counts, token_files, topk, transducer
+from rivermill.llm import (
+    chat,
+    lexical,
+    merkle,
+    mixing,
+    pii,
+    quality,
+    repeats,
+    simhash,
+    suffixes,
+    token_counts,
+    token_files,
+    topk,
+    transducer,
+)
 from rivermill.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,6 +149,12 @@ def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without windows of 13 words that an earlier document has."""
+    return repeats.digests(table(spark, sf_dir, "documents"))
+
+
 ORACLE["op2_chat"] = r"""
 WITH rows AS (
   SELECT conv_id, turn, role, text FROM conversations
@@ -268,3 +288,19 @@ ranked AS (
   FROM scored WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
 """
+
+ORACLE["op13_repeats"] = r"""
+WITH said AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+starts AS (SELECT r, doc_id, words, unnest(range(1, len(words) - 11)) AS s FROM said WHERE len(words) >= 13),
+windows AS (SELECT r, doc_id, s, md5(array_to_string(words[s:s + 12], ' ')) AS w FROM starts),
+least AS (SELECT w, min(doc_id) AS least FROM windows GROUP BY w),
+late AS (SELECT r, s FROM windows JOIN least USING (w) WHERE least < doc_id),
+gone AS (SELECT DISTINCT r, unnest(range(s, s + 13)) AS place FROM late),
+each AS (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM said),
+remaining AS (
+  SELECT r, string_agg(word, ' ' ORDER BY place) AS rest, count(*) AS n FROM each ANTI JOIN gone USING (r, place) GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(rest, '')) AS kept_sha256
+FROM said LEFT JOIN remaining USING (r)
+"""
