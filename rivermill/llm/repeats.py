@@ -4,8 +4,10 @@ A word is removed if it lies in a window of ``LENGTH`` words that also starts in
 as they came.
 
 **Seeds.** Every window picks an anchor: of its runs of ``GRAM`` words, the one of least hash, the leftmost of equal ones. Equal windows
-pick the same run at the same distance, so a window can repeat only if its anchor occurs in another document. Anchors are
-counted by hash with map-side combining; documents are joined on those that occur in several.
+pick the same run at the same distance, so a window can repeat only if its anchor occurs in another document. A first pass sends the
+hashes of anchors alone, at most two of a value from each batch, to find those that occur in several documents. They set
+bits in a bitmap of ``FILTER_BITS`` bits, whatever the corpus's size, which every task of a second pass gets: most anchors that
+occur once go no further, and documents are joined on the others.
 
 **Contexts.** What an anchor's windows can cover is its context: the words up to ``LENGTH`` - ``GRAM`` before and after it. Where a
 context occurs whole in an earlier document, as in copies, all its windows go; nothing is gathered for that. Of every
@@ -30,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -38,10 +41,12 @@ from pyspark.sql.types import StructType
 from rivermill.llm.common import kept
 
 LENGTH = 13
-GRAM = 6
+GRAM = 4
 HOT = 20_000
-WORDS = 200_000  # words whose hashes a task remembers
-SLICE = 1 << 20  # words of a text whose windows are winnowed at a time
+PLACE = 20  # bits of a place in a slice of words that is winnowed at a time
+LONG = 256  # bytes from which a word is hashed by itself
+FILTER_BITS = 26  # the bitmap is 8 MB; with very many shared anchors it lets more through, and the shuffle grows
+PENDING = 1 << 22  # anchors that a task holds
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -51,38 +56,54 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode().split()
 
 
-class Hasher:
-    """64-bit hashes of words; remembers those of common words."""
-
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-
-    def __call__(self, found: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > WORDS:
-            known.clear()
-        for word in set(found).difference(known):
-            known[word] = xxhash.xxh3_64_intdigest(word)
-        return np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """A 64-bit hash of every word, eight bytes of all words at a time."""
+    blank = np.concatenate([[True], _SPACE[np.frombuffer(data, np.uint8)], [True]])
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    start, size = edges[::2], edges[1::2] - edges[::2]
+    eights = np.ndarray((len(data) + 1,), "<u8", data + bytes(8), strides=(1,))
+    out = size.astype(np.uint64) * _MIX
+    some, at = np.flatnonzero(size < LONG), 0
+    while len(some):
+        left = size[some] - at
+        spare = (np.maximum(8 - left, 0) * 8).astype(np.uint64)
+        value = eights[start[some] + at] << spare
+        mixed = (out[some] ^ value) * _MIX
+        out[some] = mixed ^ mixed >> np.uint64(29)
+        some, at = some[left > 8], at + 8
+    for i in np.flatnonzero(size >= LONG).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[start[i] : start[i] + size[i]])
+    return out
 
 
-def _mixed(values: np.ndarray, width: int) -> np.ndarray:
-    """A hash of every run of ``width`` neighbours."""
-    count = len(values) - width + 1
-    out = np.full(count, width, np.uint64)
-    for at in range(width):
-        out ^= values[at : at + count]
-        out *= _MIX
-        out ^= out >> np.uint64(31)
-    return out
+def _joined(values: np.ndarray, first: np.ndarray | None, width: int) -> np.ndarray:
+    """A hash of ``width`` neighbours from every place, or from the places ``first``."""
+    factors = np.cumprod(np.full(width, _MIX)) + np.arange(width, dtype=np.uint64) * np.uint64(2)
+    out = np.uint64(width)
+    for at, factor in enumerate(factors):
+        part = values[at : len(values) - width + 1 + at] if first is None else values[first + at]
+        out = out + part * factor
+    out = (out ^ out >> np.uint64(31)) * _MIX
+    return out ^ out >> np.uint64(32)
 
 
 def anchors(grams: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
     """Places of the anchors of all windows, ascending, from the hashes of all runs of ``gram`` words."""
     span, found = length - gram + 1, []
-    for first in range(0, max(0, len(grams) - span + 1), SLICE):
-        views = np.lib.stride_tricks.sliding_window_view(grams[first : first + SLICE + span - 1], span)
-        found.append(np.unique(first + np.arange(len(views)) + views.argmin(axis=1)))
+    mask = np.uint64((1 << PLACE) - 1)
+    step = (1 << PLACE) - span
+    for first in range(0, max(0, len(grams) - span + 1), step):
+        least = grams[first : first + step + span - 1] & ~mask
+        least |= np.arange(len(least), dtype=np.uint64)  # of equal hashes the leftmost is least
+        count, width = len(least) - span + 1, 1
+        while 2 * width <= span:
+            least = np.minimum(least[:-width], least[width:])
+            width *= 2
+        least = np.minimum(least[:count], least[span - width : span - width + count]) & mask
+        found.append(first + least[np.append(True, least[1:] != least[:-1])].astype(np.int64))
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
@@ -104,26 +125,87 @@ def _named(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("h"), docs["text"])
 
 
-def _seeds(named: DataFrame, length: int, gram: int) -> DataFrame:
-    """a (hash of the anchor), c (hash of its context), doc_id, h and p (its place) of every anchor."""
+def _shared(named: DataFrame, length: int, gram: int) -> Broadcast:
+    """A bitmap, by their first bits, of the hashes of anchors that occur in several rows."""
+    spark = named.sparkSession
+    # A bucket is one task's work: several for each partition.
+    bits = max(10, (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+    slots = max(0, FILTER_BITS - bits)
+
+    def send(batches):
+        def dealt(found):
+            value, count = np.unique(np.concatenate(found), return_counts=True)
+            value = np.repeat(value, np.minimum(count, 2))
+            bucket = (value >> np.uint64(64 - bits)).astype(np.int64)
+            rest = (value << np.uint64(bits) >> np.uint64(32)).astype("<u4")
+            edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            ends = np.append(edges[1:], len(bucket))
+            return [bucket[edges], [rest[a:z].tobytes() for a, z in zip(edges, ends, strict=True)]]
+
+        for batch in batches:
+            found, held = [], 0
+            for doc_id, text in zip(batch.column(0), batch.column(2), strict=True):
+                hashed = word_hashes((text.as_py() or "").encode())
+                if len(hashed) >= length and doc_id.is_valid:
+                    grams = _joined(hashed, None, gram)
+                    found.append(np.unique(grams[anchors(grams, length, gram)]))
+                    held += len(found[-1])
+                if held > PENDING:
+                    yield dealt(found)
+                    found, held = [], 0
+            if found:
+                yield dealt(found)
+
+    def meet(batches):
+        def slice_of(parts):
+            value = np.sort(np.frombuffer(b"".join(parts), "<u4"))
+            twice = value[1:][value[1:] == value[:-1]]
+            out = np.zeros(1 << slots, np.uint8)
+            out[twice >> np.uint32(32 - slots)] = 1
+            return np.packbits(out).tobytes()
+
+        bucket, parts = None, []
+        for batch in batches:
+            out = [[], []]
+            for number, part in zip(*map(pa.Array.to_pylist, batch.columns), strict=True):
+                if number != bucket and parts:
+                    out[0].append(bucket)
+                    out[1].append(slice_of(parts))
+                    parts = []
+                bucket = number
+                parts.append(part)
+            yield out
+        if parts:
+            yield [[bucket], [slice_of(parts)]]
+
+    sent = _mapped(named, send, "bucket bigint, part binary")
+    met = _mapped(sent.repartition("bucket").sortWithinPartitions("bucket"), meet, "bucket bigint, part binary")
+    whole = np.zeros((1 << bits, max(1, (1 << slots) // 8)), np.uint8)
+    for bucket, part in met.collect():
+        whole[bucket] = np.frombuffer(part, np.uint8)
+    return spark.sparkContext.broadcast((bits + slots, whole.ravel()))
+
+
+def _seeds(named: DataFrame, shared: Broadcast, length: int, gram: int) -> DataFrame:
+    """a (hash of the anchor), c (hash of its context), doc_id, h and p (its place) of anchors in the bitmap ``shared``."""
     reach = length - gram
 
     def work(batches):
-        hasher = Hasher()
+        bits, bitmap = shared.value
         for batch in batches:
             out = [[] for _ in range(5)]
             for doc_id, h, text in zip(*batch.columns, strict=True):
-                found = words(text.as_py())
-                if len(found) < length or not doc_id.is_valid:
+                hashed = word_hashes((text.as_py() or "").encode())
+                if len(hashed) < length or not doc_id.is_valid:
                     continue
-                hashed = hasher(found)
-                grams = _mixed(hashed, gram)
+                grams = _joined(hashed, None, gram)
                 places = anchors(grams, length, gram)
+                bit = (grams[places] >> np.uint64(64 - bits)).astype(np.int64)
+                places = places[bitmap[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1 == 1]
                 # Contexts at the ends of a text are shorter, and filled up with a hash of no word.
                 padded = np.concatenate([np.zeros(reach, np.uint64), hashed, np.zeros(reach, np.uint64)])
-                contexts = _mixed(padded, 2 * reach + gram)
                 out[0].append(grams[places].view(np.int64))
-                out[1].append(contexts[places].view(np.int64))
+                out[1].append(_joined(padded, places, 2 * reach + gram).view(np.int64))
                 out[2].append(np.full(len(places), doc_id.as_py()))
                 out[3].append(np.full(len(places), h.as_py()))
                 out[4].append(places.astype(np.int32))
@@ -294,27 +376,25 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
         raise ValueError("gram must be shorter than length")
     reach = length - gram
     named = _named(docs)
-    seeds = kept(_seeds(named, length, gram), "seeds")
+    seeds = kept(_seeds(named, _shared(named, length, gram), length, gram), "seeds")
     # Of each anchor and context: the earliest document, and whether there are others.
     least = F.min("doc_id").alias("least")
     contexts = kept(seeds.groupBy("a", "c").agg(least, F.max("doc_id").alias("most")), "contexts")
-    shared = contexts.groupBy("a").agg(
-        F.min("least").alias("least"), F.max("most").alias("most"), F.count(F.lit(1)).alias("m")
-    ).filter("least < most")
-    # Whole contexts that an earlier document has.
-    copied = contexts.filter("least < most").select(F.col("a").alias("_a"), F.col("c").alias("_c"), F.col("least").alias("_least"))
-    whole = seeds.join(copied, (F.col("a") == F.col("_a")) & (F.col("c") == F.col("_c"))).filter("doc_id > _least")
-    spans = whole.select(
-        "doc_id", "h", F.greatest(F.lit(0), F.col("p") - reach).alias("first"), (F.col("p") + length).alias("last")
+    # Anchors of different contexts that several documents have.
+    mixed = contexts.groupBy(F.col("a").alias("_a")).agg(
+        F.min("least").alias("_first"), F.max("most").alias("_last"), F.count(F.lit(1)).alias("m")
+    ).filter("_first < _last and m > 1")
+    joined = contexts.join(mixed, F.col("a") == F.col("_a"), "left")
+    told = joined.filter("least < most or m is not null").select(
+        F.col("a").alias("_a"), F.col("c").alias("_c"), "least", (F.col("m") > hot).alias("hot")
     )
-    # Different contexts of an anchor that several documents have, each in its earliest document.
-    groups = shared.filter("m > 1").select(F.col("a").alias("_a"), (F.col("m") > hot).alias("hot"))
-    mixed = contexts.join(groups, F.col("a") == F.col("_a")).select(
-        F.col("a").alias("_a"), F.col("c").alias("_c"), F.col("least").alias("_least"), "hot"
+    # A context that an earlier document has goes whole; of the others the earliest document's is to be settled.
+    same = (F.col("a") == F.col("_a")) & (F.col("c") == F.col("_c"))
+    met = kept(seeds.join(told, same).select("doc_id", "h", "p", "a", "least", "hot"), "met")
+    spans = met.filter("doc_id > least").select(
+        "doc_id", "h", F.greatest(F.lit(0), F.col("p") - reach).alias("first"), (F.col("p") + length).alias("last")
     )
-    chosen = seeds.join(
-        mixed, (F.col("a") == F.col("_a")) & (F.col("c") == F.col("_c")) & (F.col("doc_id") == F.col("_least"))
-    ).select("doc_id", "h", "p", "a", "hot")
+    chosen = met.filter("doc_id = least and hot is not null").select("doc_id", "h", "p", "a", "hot")
     around = kept(_contexts(named, chosen, length, gram), "context-words")
     spans = spans.unionByName(_extended(around.filter("not hot"), length, gram))
     return spans.unionByName(_counted(around.filter("hot"), length, gram))
