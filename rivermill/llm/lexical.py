@@ -48,8 +48,8 @@ FIRST = 4  # documents rescored first, times k
 COLLISION = 1e-3  # about how often a term hits that is not there; a guess, for expected scores only
 COMMON = 50_000
 BLOCK_TERMS = 20_000
-FLUSH = 200_000  # distinct terms that a task counts before it hands them on
-LOOKUPS = 2_000_000  # sketch coordinates that are looked up at a time
+FLUSH = 100_000  # distinct terms that a task counts before it hands them on
+LOOKUPS = 1_000_000  # sketch coordinates that are looked up at a time
 BLOCK_QUERIES = 1_000
 SENT_ROWS = 200_000  # rows of two numbers at most that are broadcast; more of them are joined by a shuffle
 
