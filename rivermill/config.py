@@ -11,6 +11,7 @@ WINDOW = "10 seconds"
 LOG_DELAY = "3 seconds"
 CHANGE_DELAY = "5 seconds"
 JOIN_RETENTION = "5 minutes"
+JOIN_RETENTION_MS = 5 * 60 * 1000
 PAY_BEFORE = "15 minutes"
 PAY_AFTER = "5 seconds"
 DAY_MS = 24 * 60 * 60 * 1000

@@ -20,11 +20,11 @@ from pyspark.sql.streaming import StreamingQuery
 from rivermill import schemas
 from rivermill.config import DATABASE, session
 from rivermill.functions import wire
-from rivermill.operators import enrich, joins, project, split
+from rivermill.operators import enrich, joins, project, split, upsert
 from rivermill.operators.skew import Arrival
 from rivermill.plans import aggregates, detail, dimensions
 from rivermill.sources import config_log, tables, topics
-from rivermill.streaming import sinks
+from rivermill.streaming import processors, sinks
 
 LOG_TOPIC = "topic_log"
 CHANGE_TOPIC = "topic_db"
@@ -197,6 +197,15 @@ def _as_keyed_topic(topic: str, *hidden: str) -> Callable[[Warehouse, DataFrame]
     return records
 
 
+def _order_changes(w: Warehouse, batch: DataFrame) -> DataFrame:
+    """The changelog of order lines; where the topic numbers no records, a line's versions order its texts."""
+    facts = batch.drop(*w.kept)
+    if w.kafka is None:
+        facts = facts.withColumn("seq", F.col("version"))
+    sent = sinks.keyed_topic(facts, ["id"], ("op", "version"), F.col("op") == processors.RETRACT)
+    return sent.withColumn("topic", F.lit("dwd_trade_order_detail"))
+
+
 def _to_topics(name: str, *steps: Callable[[Warehouse, DataFrame], DataFrame]) -> Step:
     def step(w: Warehouse, batch: DataFrame, batch_id: int) -> None:
         for one in steps:
@@ -276,13 +285,14 @@ JOBS: dict[str, Job] = {
         lambda w: detail.cart_facts(_changes(w)), _to_topics("cart", _as_topic("dwd_trade_cart_add"))
     ),
     "dwd_trade_order_detail": Job(
-        lambda w: detail.order_facts_stream(_changes(w)),
-        _to_topics("orders", _as_keyed_topic("dwd_trade_order_detail", "row_time")),
+        lambda w: detail.order_changelog(_changes(w), w.arrival), _to_topics("orders", _order_changes)
     ),
     "dwd_trade_order_pay_suc_detail": Job(
         _paid_lines,
         _to_topics(
             "payments",
+            # A line that was corrected pays once: its last version in the micro-batch.
+            lambda w, batch: upsert.latest(batch, ["id"], w.kept),
             lambda w, batch: detail.named_payments(batch, w.dictionary()),
             _as_keyed_topic("dwd_trade_order_payment_success"),
         ),

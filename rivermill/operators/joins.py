@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivermill import schemas
-from rivermill.config import JOIN_RETENTION, PAY_AFTER, PAY_BEFORE
+from rivermill.config import JOIN_RETENTION, JOIN_RETENTION_MS, PAY_AFTER, PAY_BEFORE
 from rivermill.operators import skew, upsert
 from rivermill.operators.skew import Arrival
+from rivermill.streaming import processors
 
 
 def order_facts(
@@ -37,6 +39,97 @@ def order_facts(
     return joined.select(*dict.fromkeys([*schemas.ORDER_FACT_COLUMNS, *order]))
 
 
+def order_changelog(
+    details: DataFrame,
+    infos: DataFrame,
+    activities: DataFrame,
+    coupons: DataFrame,
+    arrival: Arrival,
+    retention_ms: int | None = JOIN_RETENTION_MS,
+) -> DataFrame:
+    """Every change of the joined order lines: early rows, retractions and corrected rows.
+
+    A line comes out as soon as its order is known, without activity and coupon if they are not there yet. Each later row that
+    changes it sends a retraction (``op`` is ``retract``, with the columns sent before) and the new row (``reinsert``). ``version`` numbers
+    what was sent of a line, from 0; the arrival columns are those of the row that caused it. Rows that change nothing send nothing.
+    The last row of each line that is no retraction is the row of :func:`order_facts`.
+
+    All inputs carry the arrival columns. On a stream a line, its order, activity and coupon meet as long as their state is
+    alive: ``retention_ms`` of processing time since it was last used, or for ever where the arrival is ``finite``. In batch
+    state never expires; a line and what belongs to it are few rows, so one window per line id gives the same changes.
+    """
+    order = list(arrival.order)
+
+    def slot(df: DataFrame, name: str, order_id: Column) -> DataFrame:
+        value = F.to_json(F.struct(*_fields(df, name)))
+        return df.select("id", order_id.alias("order_id"), F.lit(name).alias("slot"), value.alias("value"), *order)
+
+    nothing = F.lit(None).cast("string")
+    lines = slot(details, "line", F.col("order_id"))
+    records = slot(infos, "info", F.col("id")).withColumn("id", nothing)
+    others = slot(activities, "activity", nothing).unionByName(slot(coupons, "coupon", nothing))
+    if details.isStreaming:
+        rows = lines.unionByName(records).unionByName(others)
+        changes = processors.fact_changes(rows, order, None if arrival.finite else retention_ms)
+    else:
+        owners = lines.filter(F.col("id").isNotNull()).select("id", "order_id").distinct()
+        records = skew.equi_join(owners, records.drop("id"), ["order_id"], rows_per_task=arrival.rows_per_task)
+        keyed = lines.filter(F.col("order_id").isNotNull()).unionByName(others).unionByName(records)
+        changes = _changes_in_batch(keyed.filter(F.col("id").isNotNull()), order)
+    return _typed_changes(changes, {"line": details, "info": infos, "activity": activities, "coupon": coupons}, order)
+
+
+def _fields(df: DataFrame, slot: str) -> list[str]:
+    """The columns of order facts that a slot's rows bring; an arrival column of the same name belongs to the line."""
+    own = ("id", "ts") if slot != "line" else ("id",)
+    return [c for c in schemas.ORDER_FACT_COLUMNS if c in df.columns and c not in own]
+
+
+def _changes_in_batch(rows: DataFrame, order: list[str]) -> DataFrame:
+    """What the stateful form sends for rows (id, slot, value, ``order``), from running last values."""
+    number = F.array_position(F.array(*[F.lit(s) for s in processors.SLOTS]), F.col("slot"))
+    by_arrival = Window.partitionBy("id").orderBy(*order, number)
+    so_far = by_arrival.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = [
+        F.last(F.when(F.col("slot") == slot, F.col("value")), ignorenulls=True).over(so_far).alias(slot)
+        for slot in processors.SLOTS
+    ]
+    known = rows.select("id", *order, number.alias("_slot"), F.struct(*last).alias("now"))
+    whole = F.col("now.info").isNotNull() & F.col("now.line").isNotNull()
+    again = Window.partitionBy("id").orderBy(*order, "_slot")
+    seen = known.filter(whole).withColumn("before", F.lag("now").over(again))
+    changed = seen.filter(F.col("before").isNull() | (~F.col("now").eqNullSafe(F.col("before"))))
+    sent = changed.withColumn("_nth", F.row_number().over(again).cast("long") - 1)
+
+    def row(op: Column, version: Column, fact: str) -> Column:
+        return F.struct(op.alias("op"), version.alias("version"), F.col(fact).alias("fact"))
+
+    nth = F.col("_nth")
+    first = F.array(row(F.lit(processors.INSERT), nth, "now"))
+    later = F.array(
+        row(F.lit(processors.RETRACT), nth * 2 - 1, "before"), row(F.lit(processors.REINSERT), nth * 2, "now")
+    )
+    rows_sent = sent.select("id", *order, F.explode(F.when(nth == 0, first).otherwise(later)).alias("sent"))
+    return rows_sent.select("id", "sent.op", "sent.version", "sent.fact.*", *order)
+
+
+def _typed_changes(changes: DataFrame, inputs: dict[str, DataFrame], order: list[str]) -> DataFrame:
+    """The slots' texts as the columns of order facts."""
+    columns = {"id": F.col("id")}
+    for slot, df in inputs.items():
+        fields = _fields(df, slot)
+        changes = changes.withColumn(slot, F.from_json(slot, T.StructType([df.schema[c] for c in fields])))
+        columns |= {c: F.col(slot)[c] for c in fields}
+    chosen = [columns[c].alias(c) for c in schemas.ORDER_FACT_COLUMNS]
+    return changes.select("op", "version", *chosen, *[c for c in order if c not in schemas.ORDER_FACT_COLUMNS])
+
+
+def fold_changelog(changes: DataFrame, arrival: Arrival) -> DataFrame:
+    """The table that a changelog of facts leaves: the last row of each line, unless that is a retraction."""
+    kept = upsert.latest_live(changes, ["id"], ["version"], F.col("op") == processors.RETRACT)
+    return kept.select(*dict.fromkeys([*schemas.ORDER_FACT_COLUMNS, *arrival.order]))
+
+
 def order_facts_stream(
     details: DataFrame,
     infos: DataFrame,

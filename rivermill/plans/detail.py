@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivermill import schemas
+from rivermill.config import JOIN_RETENTION_MS
 from rivermill.operators import clean, enrich, joins, project, routing, split, visitors
 from rivermill.operators.skew import Arrival
 
@@ -79,6 +80,20 @@ def order_facts(changes: DataFrame, arrival: Arrival) -> DataFrame:
     )
 
 
+def order_changelog(
+    changes: DataFrame, arrival: Arrival, retention_ms: int | None = JOIN_RETENTION_MS
+) -> DataFrame:
+    """Every change of the order lines, in batch and on a stream: ``joins.order_changelog``."""
+    return joins.order_changelog(
+        project.order_details(changes, *[c for c in arrival.order if c != "ts"]),
+        project.order_infos(changes, *arrival.order),
+        project.order_activities(changes, *arrival.order),
+        project.order_coupons(changes, *arrival.order),
+        arrival,
+        retention_ms,
+    )
+
+
 def order_facts_stream(changes: DataFrame) -> DataFrame:
     """Streaming form of :func:`order_facts`; ``changes`` has a watermarked ``row_time``."""
     return joins.order_facts_stream(

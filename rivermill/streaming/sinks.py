@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
@@ -53,12 +53,18 @@ def fact_topic(facts: DataFrame, hidden: Sequence[str] = ()) -> DataFrame:
     return wire.as_json(facts, hidden)
 
 
-def keyed_topic(facts: DataFrame, keys: Sequence[str], hidden: Sequence[str] = ()) -> DataFrame:
-    """Facts as JSON texts with the primary key in ``key``; a later text of a key replaces it."""
+def keyed_topic(
+    facts: DataFrame, keys: Sequence[str], hidden: Sequence[str] = (), retracted: Column | None = None
+) -> DataFrame:
+    """Facts as JSON texts with the primary key in ``key``; a later text of a key replaces it.
+
+    A row that is ``retracted`` has a null text: the key's tombstone.
+    """
     shown = [c for c in facts.columns if c not in set(hidden)]
-    return facts.select(
-        F.to_json(F.struct(*keys)).alias("key"), F.to_json(F.struct(*shown)).alias("value")
-    )
+    value = F.to_json(F.struct(*shown))
+    if retracted is not None:
+        value = F.when(~F.coalesce(retracted, F.lit(False)), value)
+    return facts.select(F.to_json(F.struct(*keys)).alias("key"), value.alias("value"))
 
 
 def console(df: DataFrame, checkpoint: str | None = None) -> StreamingQuery | None:

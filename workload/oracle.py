@@ -88,14 +88,14 @@ raw AS (
       ELSE '' END ||
     CASE WHEN event_type = 'click' THEN ',"actions":[{"action_id":"favor_add","item":"' || CAST(k AS VARCHAR) || '"}]'
       ELSE '' END ||
-    ',"ts":' || CAST(CAST(epoch_ms(ts) AS BIGINT) AS VARCHAR) || '}' AS value
+    ',"ts":' || CAST(epoch_us(ts) // 1000 AS VARCHAR) || '}' AS value
   FROM pg
 )"""
 
 ORACLE["topic_text"] = f"""
 WITH {RAW}
-SELECT event_id, CAST(CASE WHEN k = 96 THEN 30 ELSE length(value) END AS INTEGER) AS chars, substr(value, 1, 24) AS head
-FROM raw WHERE event_id > 0
+SELECT event_id, CAST(length(sent) AS INTEGER) AS chars, sha256(sent) AS digest
+FROM (SELECT event_id, CASE WHEN k = 96 THEN substr(value, 1, 30) ELSE value END AS sent FROM raw) WHERE event_id > 0
 """
 
 CART = LN + """,
@@ -338,6 +338,54 @@ LEFT JOIN c ON c.id = d.id AND c.rn = 1
 WHERE d.rn = 1
 """
 
+# Every row of a line, its order, activity and coupon in order of arrival, with the last value of each so far.
+SENT = LN + """,
+came AS (
+  SELECT id, order_id, arrived, n1, n2, n3, 2 AS slot, struct_pack(sku_id, price, cnt, create_time) AS l,
+    CAST(NULL AS BIGINT) AS i, NULL AS a, CAST(NULL AS VARCHAR) AS c FROM ln
+  UNION ALL SELECT id, order_id, arrived, n1, n2, n3, 3, NULL, NULL, struct_pack(supplier, line), NULL FROM ln WHERE flag = 'A'
+  UNION ALL SELECT id, order_id, arrived, n1, n2, n3, 4, NULL, NULL, NULL, supplier FROM ln WHERE status = 'O'
+  UNION ALL SELECT id, order_id, o_orderdate, o_orderkey, 0, 0.0, 1, NULL, o_custkey, NULL, NULL
+  FROM (SELECT DISTINCT id, order_id FROM ln) JOIN orders ON order_id = CAST(o_orderkey AS VARCHAR)
+),
+so_far AS (
+  SELECT id, order_id, arrived, n1, n2, n3, slot,
+    struct_pack(l := last_value(l IGNORE NULLS) OVER w, i := last_value(i IGNORE NULLS) OVER w,
+      a := last_value(a IGNORE NULLS) OVER w, c := last_value(c IGNORE NULLS) OVER w) AS fact
+  FROM came WINDOW w AS (PARTITION BY id ORDER BY arrived, n1, n2, n3, slot ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+),
+whole AS (
+  SELECT *, lag(fact) OVER (PARTITION BY id ORDER BY arrived, n1, n2, n3, slot) AS before
+  FROM so_far WHERE fact.l IS NOT NULL AND fact.i IS NOT NULL
+),
+changed AS (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY arrived, n1, n2, n3, slot) - 1 AS nth
+  FROM whole WHERE before IS NULL OR fact IS DISTINCT FROM before
+),
+sent AS (
+  SELECT id, order_id, 'retract' AS op, 2 * nth - 1 AS version, before AS fact FROM changed WHERE nth > 0
+  UNION ALL SELECT id, order_id, CASE WHEN nth = 0 THEN 'insert' ELSE 'reinsert' END, 2 * nth, fact FROM changed
+)"""
+
+ORACLE["order_changelog"] = f"""
+WITH {SENT}
+SELECT id, op, CAST(version AS BIGINT) AS version, order_id, fact.l.sku_id AS sku_id, CAST(fact.i AS VARCHAR) AS user_id,
+  CAST(fact.i % 34 AS VARCHAR) AS province_id, fact.a.supplier AS activity_id, CAST(fact.a.line AS VARCHAR) AS activity_rule_id,
+  fact.c AS coupon_id, CAST(fact.l.price AS VARCHAR) AS order_price, CAST(fact.l.cnt AS VARCHAR) AS sku_num,
+  fact.l.create_time AS create_time, CAST(fact.l.price AS VARCHAR) AS split_total_amount
+FROM sent
+"""
+
+ORACLE["changelog_sku_deltas"] = f"""
+WITH {SENT},
+moved AS (
+  SELECT fact.l.sku_id AS sku_id,
+    fact.l.price - coalesce(lag(fact.l.price) OVER (PARTITION BY id ORDER BY version), 0) AS amount
+  FROM sent WHERE op <> 'retract'
+)
+SELECT sku_id, CAST(sum(amount) AS DOUBLE) AS order_amount FROM moved GROUP BY sku_id
+"""
+
 PAY = EV + """,
 pay AS (
   SELECT CAST(event_id AS VARCHAR) AS id, user_id AS order_id, date_trunc('second', ts) AS arrived,

@@ -57,7 +57,7 @@ def topic_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value", F.when(F.col("event_id") > 0, F.col("value")).otherwise(F.lit(" "))
     )
     kept = topics.non_empty(lines)
-    return kept.select("event_id", F.length("value").alias("chars"), F.substring("value", 1, 24).alias("head"))
+    return kept.select("event_id", F.length("value").alias("chars"), F.sha2("value", 256).alias("digest"))
 
 
 @query
@@ -284,6 +284,26 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def order_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every change that the order join sends: early rows, retractions, corrected rows."""
+    rows = detail.order_changelog(s.order_changes(spark, sf_dir), s.BY_LINE)
+    return rows.select(
+        "id", "op", "version", "order_id", "sku_id", "user_id", "province_id", "activity_id", "activity_rule_id",
+        "coupon_id", "order_price", "sku_num", "create_time", "split_total_amount",
+    )
+
+
+@query
+def changelog_sku_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amount changes summed over the whole changelog, as its readers see it: retractions carry no text."""
+    changes = detail.order_changelog(s.order_changes(spark, sf_dir), s.BY_LINE)
+    sent = clean.clean_sku_orders(changes.filter(F.col("op") != "retract"))
+    rows = deltas.sku_deltas(sent, skew.Arrival.by_number("version"))
+    summed = rows.groupBy("sku_id").agg(F.sum("order_amount").alias("order_amount"))
+    return _doubles(summed, "order_amount")
+
+
 @query
 def payment_success(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = project.payments(topics.changes(s.payment_lines(spark, sf_dir)))
