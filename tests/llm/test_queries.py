@@ -13,7 +13,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     assert all(sum(q.startswith(n) for q in entry.queries()) == 1 for n in names) and "pipeline" in entry.queries()
     assert set(queries.ORACLE) <= set(entry.oracle_sql())
 
