@@ -1,31 +1,61 @@
-"""Streaming forms of the per-key rules, on Spark's keyed state.
+"""Streaming forms of the per-key rules, on Spark's keyed state with its own expiry.
 
-A key's rows of one micro-batch arrive as Arrow batches and are put in arrival order before the
-rule runs over them column-wise, so results equal the batch form whatever the micro-batches are.
-The state of a key is a few scalars. Expiry counts from processing time and, as in the batch
-form's source rules, from the last write; bound a micro-batch with the source's trigger options.
+A key's rows of one micro-batch are put in arrival order and taken one by one; the state is a row of a few scalars. Expiry counts
+from processing time and, as in the rules' source, from the last write. A replay that stops at the end of its input (a
+``finite`` arrival) keeps all state, as Spark's expiry would keep such a query running.
+
+Order holds inside a micro-batch. Where rows may come later than others of their key that follow them, let :func:`in_order` go
+before a rule: it holds rows until the watermark has passed them.
 """
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from decimal import Decimal
 from functools import partial
+from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from rivermill.config import DAILY_TTL_MS, DAY_MS, DELTA_TTL_MS, RETURN_AFTER_MS
 from rivermill.functions import times
 from rivermill.operators.skew import Arrival
 
-# A rule takes a key's rows in arrival order and its live state, and gives the output rows and
-# the values to store, or None to leave the state as it is.
-Rule = Callable[[pd.DataFrame, tuple | None], tuple[pd.DataFrame, tuple | None]]
+# A rule takes a row and the key's live state, and gives the columns it adds or replaces (None drops the row) and the
+# state to write (None leaves it, and its expiry, as it is).
+Rule = Callable[[Row, tuple | None], tuple[dict[str, Any] | None, tuple | None]]
+
+
+def arrival_key(names: Sequence[str]) -> Callable[[Row], tuple]:
+    """Sort key of rows by columns, null first."""
+    return lambda row: tuple((row[c] is not None, row[c]) if row[c] is not None else (False,) for c in names)
+
+
+class KeyedRule(StatefulProcessor):
+    def __init__(self, rule: Rule, order: Sequence[str], state_type: T.StructType, ttl_ms: int | None, names: list[str]):
+        self.rule, self.order, self.names = rule, tuple(order), names
+        self.state_type, self.ttl_ms = state_type, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("state", self.state_type, self.ttl_ms)
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        out = Row(*self.names)
+        live, stored = tuple(self.state.get()) if self.state.exists() else None, None
+        for row in sorted(rows, key=arrival_key(self.order)):
+            added, new = self.rule(row, live)
+            if new is not None:
+                live = stored = new
+            if added is not None:
+                yield out(*[added[c] if c in added else row[c] for c in self.names])
+        if stored is not None:
+            self.state.update(stored)
+
+    def close(self) -> None:
+        pass
 
 
 def run_rule(
@@ -37,40 +67,65 @@ def run_rule(
     state_type: T.StructType,
     ttl_ms: int | None = None,
 ) -> DataFrame:
-    """Applies ``rule`` per key; output has the columns of ``df`` and the ``added`` ones.
-
-    State past ``ttl_ms`` counts as absent. Spark evicts it by a timeout, except for a ``finite``
-    arrival (a replay that stops at the end of its input), which a timeout would keep running.
-    """
-    evict = bool(ttl_ms) and not arrival.finite
+    """Applies ``rule`` per key; output has the columns of ``df`` and the ``added`` ones."""
     kept = [f for f in df.schema.fields if f.name not in {a.name for a in added}]
     out_type = T.StructType([*kept, *added])
-    names = out_type.fieldNames()
-    stored_type = T.StructType([*state_type.fields, T.StructField("expires", T.LongType())])
-
-    def step(_key, batches, state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(batches), ignore_index=True)
-        rows = rows.sort_values(list(arrival.order), kind="stable", ignore_index=True)
-        now = state.getCurrentProcessingTimeMs() if evict else int(time.time() * 1000)
-        live, expires = None, 0
-        if state.exists:
-            *values, expires = state.get
-            if not ttl_ms or now < expires:
-                live = tuple(values)
-        out, stored = rule(rows, live)
-        if stored is not None:
-            expires = now + ttl_ms if ttl_ms else 0
-            state.update((*stored, expires))
-        if evict and state.exists:
-            state.setTimeoutDuration(max(expires - now, 1))
-        if len(out):
-            yield out[names]
-
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if evict else GroupStateTimeout.NoTimeout
-    return df.groupBy(*keys).applyInPandasWithState(step, out_type, stored_type, "append", timeout)
+    expiring = None if arrival.finite else ttl_ms
+    processor = KeyedRule(rule, arrival.order, state_type, expiring, out_type.fieldNames())
+    mode = "ProcessingTime" if expiring else "None"
+    return df.groupBy(*keys).transformWithState(processor, out_type, "Append", mode)
+
+
+class InOrder(StatefulProcessor):
+    """Holds a key's rows until the watermark has passed their event time, then lets them out in arrival order."""
+
+    def __init__(self, order: Sequence[str], schema: T.StructType):
+        self.order, self.schema = tuple(order), schema
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getListState("held", self.schema)
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        came = list(rows)
+        self.held.appendList([tuple(r) for r in came])
+        # One timer a key, at its earliest row.
+        first = min(r["_ms"] for r in came)
+        waiting = list(self.handle.listTimers())
+        if not waiting or first < min(waiting):
+            for timer in waiting:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(first)
+        return iter(())
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        rows = [Row(*self.schema.fieldNames())(*r) for r in self.held.get()]
+        due = [r for r in rows if r["_ms"] <= passed]
+        late = [r for r in rows if r["_ms"] > passed]
+        if late:
+            self.held.put([tuple(r) for r in late])
+            self.handle.registerTimer(min(r["_ms"] for r in late))
+        else:
+            self.held.clear()
+        yield from sorted(due, key=arrival_key(self.order))
+
+    def close(self) -> None:
+        pass
+
+
+def in_order(df: DataFrame, keys: Sequence[str], arrival: Arrival, event_time: str = "row_time") -> DataFrame:
+    """Rows of a stream, those of a key in arrival order across micro-batches, once the watermark has passed them.
+
+    ``df`` is watermarked on ``event_time``, which must not run against the arrival order within a key. Rows later than the
+    watermark allows are dropped. Rows come out with their event time, so that rules and windows can follow.
+    """
+    timed = df.filter(F.col(event_time).isNotNull()).withColumn("_ms", F.unix_millis(event_time))
+    processor = InOrder(arrival.order, timed.schema)
+    held = timed.groupBy(*keys).transformWithState(
+        processor, timed.schema, "Append", "EventTime", eventTimeColumnName=event_time
+    )
+    return held.drop("_ms")
 
 
 def _dated(df: DataFrame, ts: str) -> DataFrame:
@@ -86,14 +141,12 @@ def _flag(name: str) -> T.StructField:
     return T.StructField(name, T.LongType())
 
 
-def _repair(flag: str, rows: pd.DataFrame, live: tuple | None):
-    says_new = rows[flag] == "1"
+def _repair(flag: str, row: Row, live: tuple | None):
+    says_new = row[flag] == "1"
     stored = None
     if live is None:
-        start = int(rows["_day"].iloc[0] if says_new.iloc[0] else rows["_before"].iloc[0])
-        live = stored = (start,)
-    rows.loc[says_new & (rows["_day"] != live[0]), flag] = "0"
-    return rows, stored
+        live = stored = (row["_day"] if says_new else row["_before"],)
+    return {flag: "0"} if says_new and row["_day"] != live[0] else {}, stored
 
 
 def repair_new_visitors(df: DataFrame, arrival: Arrival, key: str, flag: str, ts: str) -> DataFrame:
@@ -104,14 +157,10 @@ def repair_new_visitors(df: DataFrame, arrival: Arrival, key: str, flag: str, ts
     return result.drop("_day", "_before")
 
 
-def _daily(out: str, rows: pd.DataFrame, live: tuple | None):
-    before = rows["_day"].shift()
-    if live is not None:
-        before.iloc[0] = live[0]
-    rows[out] = (before != rows["_day"]).astype("int64")
+def _daily(out: str, row: Row, live: tuple | None):
     # The state is written on a change of day only: its expiry must not move otherwise.
-    stored = (int(rows["_day"].iloc[-1]),) if rows[out].any() else None
-    return rows, stored
+    new = live is None or live[0] != row["_day"]
+    return {out: int(new)}, (row["_day"],) if new else None
 
 
 def daily_first(
@@ -122,14 +171,12 @@ def daily_first(
     return flagged.drop("_day")
 
 
-def _login(ts: str, rows: pd.DataFrame, live: tuple | None):
-    before, midnight = rows["_day"].shift(), rows["_midnight"].shift()
-    if live is not None:
-        before.iloc[0], midnight.iloc[0] = live
-    rows["uu_ct"] = (before != rows["_day"]).astype("int64")
-    rows["back_ct"] = (rows[ts] - midnight > RETURN_AFTER_MS).astype("int64")
-    stored = (int(rows["_day"].iloc[-1]), int(rows["_midnight"].iloc[-1]))
-    return rows[rows["uu_ct"] == 1], stored
+def _login(ts: str, row: Row, live: tuple | None):
+    stored = (row["_day"], row["_midnight"])
+    if live is not None and live[0] == row["_day"]:
+        return None, stored
+    back = live is not None and row[ts] - live[1] > RETURN_AFTER_MS
+    return {"back_ct": int(back), "uu_ct": 1}, stored
 
 
 def unique_and_returning(df: DataFrame, arrival: Arrival, key: str, ts: str) -> DataFrame:
@@ -139,17 +186,13 @@ def unique_and_returning(df: DataFrame, arrival: Arrival, key: str, ts: str) ->
     return run_rule(dated, [key], arrival, partial(_login, ts), added, stored).drop("_day", "_midnight")
 
 
-def _delta(names: Sequence[str], rows: pd.DataFrame, live: tuple | None):
-    last = tuple(str(rows[name].iloc[-1]) for name in names)
-    for i, name in enumerate(names):
-        before = rows[name].shift()
-        before.iloc[0] = Decimal(live[i]) if live is not None else Decimal(0)
-        rows[name] = rows[name] - before
-    return rows, last
+def _delta(names: Sequence[str], row: Row, live: tuple | None):
+    before = live or (Decimal(0),) * len(names)
+    return {name: row[name] - b for name, b in zip(names, before, strict=True)}, tuple(row[name] for name in names)
 
 
 def amount_deltas(df: DataFrame, arrival: Arrival, names: Sequence[str], key: str) -> DataFrame:
     money = T.DecimalType(38, 2)
     added = [T.StructField(name, money) for name in names]
-    stored = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    stored = T.StructType([T.StructField(name, money) for name in names])
     return run_rule(df, [key], arrival, partial(_delta, list(names)), added, stored, DELTA_TTL_MS)
