@@ -71,11 +71,14 @@ def sku_amounts(rows: DataFrame, day: str | None = None) -> DataFrame:
 def province_orders(rows: DataFrame, day: str | None = None) -> DataFrame:
     """Exact number of orders and amount per province.
 
-    Batch counts distinct orders in two hash stages; a stream keeps the set of order ids.
+    Batch counts distinct orders in two hash stages. A stream does the same with two windows in a row: one row of state per
+    order of a window, then, as windows close, a count of them; no row of state grows with its window.
     """
-    if rows.isStreaming:
-        orders = F.size(F.collect_set("order_id")).cast("bigint")
-    else:
-        orders = F.count_distinct("order_id")
-    measures = [orders.alias("order_count"), *_money_sums("order_amount")]
-    return tumble(with_log_time(rows, delay=CHANGE_DELAY), ["province_id"], measures, day)
+    timed = with_log_time(rows, delay=CHANGE_DELAY)
+    amount = _money_sums("order_amount")
+    if not rows.isStreaming:
+        return tumble(timed, ["province_id"], [F.count_distinct("order_id").alias("order_count"), *amount], day)
+    window = F.window("row_time", WINDOW).alias("_orders")
+    orders = timed.groupBy(window, "province_id", "order_id").agg(*amount)
+    closed = orders.withColumn("row_time", F.window_time("_orders")).drop("_orders")
+    return tumble(closed, ["province_id"], [F.count("order_id").alias("order_count"), *amount], day)

@@ -166,6 +166,24 @@ def test_province_windows(spark, facts, tmp_path):
     _closed(want, got)
 
 
+def test_orders_of_a_window_are_rows_of_their_own(spark, tmp_path):
+    """Many orders, lines of one order in several micro-batches: counted once, and no set of them is kept."""
+    path = str(tmp_path / "many")
+    made = [
+        (n, f"d{n}", f"o{n % 700}", f"p{n % 2}", "s", "1.00", "1", "1.00", None, None, START // 1000 + (n // 1500) * 10)
+        for n in range(3000)
+    ]
+    ends = [(9000 + n, f"e{n}", "oe", "pe", "s", "1.00", "1", "1.00", None, None, START // 1000 + 900 + n * 60) for n in range(3)]
+    write_batches(spark, path, FACTS, [made[i : i + 1000] for i in range(0, 3000, 1000)] + [[e] for e in ends])
+    names = spark.createDataFrame([("p1", "North")], "key string, name string")
+    stream = aggregates.province_orders(as_stream(spark, path, FACTS), names, ARRIVAL, "20240101")
+    assert "collect_set" not in stream._jdf.queryExecution().logical().toString()
+    want = aggregates.province_orders(spark.read.schema(FACTS).json(path), names, ARRIVAL, "20240101")
+    shown = ("stt", "province_id", "order_count", "order_amount")
+    got = [r for r in rows(run(stream, tmp_path, "many_orders"), *shown) if r[1] != "pe"]
+    assert got == [r for r in rows(want, *shown) if r[1] != "pe"] and {r[2] for r in got} == {350}
+
+
 def _texts(records):
     return [(json.dumps(r),) for r in records]
 
