@@ -123,11 +123,14 @@ class Warehouse:
         return f"{self.root}/tables/{table}"
 
     @property
-    def store(self) -> dimensions.DimensionStore:
-        return dimensions.DimensionStore(self.spark, f"{self.root}/dimensions")
+    def store(self) -> dimensions.BucketedStore:
+        return dimensions.BucketedStore(self.spark, f"{self.root}/dimensions")
 
-    def dimension(self, table: str) -> DataFrame:
-        return self.store.table(table, DIMENSION_COLUMNS[table])
+    def dimension(self, table: str, keys: DataFrame | None = None) -> DataFrame:
+        """Current rows of a dimension; with ``keys``, those in the buckets of the keys of a micro-batch."""
+        if keys is None:
+            return self.store.table(table, DIMENSION_COLUMNS[table])
+        return self.store.read_keys(table, DIMENSION_COLUMNS[table], keys)
 
     def dictionary(self) -> DataFrame:
         named = self.dimension(tables.DICTIONARY)
@@ -183,6 +186,10 @@ def _order_facts(w: Warehouse) -> DataFrame:
     return topics.order_facts(w.read("dwd_trade_order_detail"), *w.kept)
 
 
+def _order_fact_rows(w: Warehouse) -> DataFrame:
+    return topics.order_fact_rows(w.read("dwd_trade_order_detail"), *w.kept)
+
+
 def _as_topic(topic: str, *hidden: str) -> Callable[[Warehouse, DataFrame], DataFrame]:
     def records(_: Warehouse, batch: DataFrame) -> DataFrame:
         return sinks.fact_topic(batch, hidden).withColumn("topic", F.lit(topic))
@@ -217,22 +224,15 @@ def _to_topics(name: str, *steps: Callable[[Warehouse, DataFrame], DataFrame]) -
 
 def _to_table(table: str, *steps: Callable[[Warehouse, DataFrame], DataFrame]) -> Step:
     def step(w: Warehouse, batch: DataFrame, batch_id: int) -> None:
-        for one in steps:
-            batch = one(w, batch)
-        w.write_table(batch, table, batch_id)
-
-    return step
-
-
-def _to_console(*steps: Callable[[Warehouse, DataFrame], DataFrame]) -> Step:
-    def step(w: Warehouse, batch: DataFrame, batch_id: int) -> None:
-        for one in steps:
-            batch = one(w, batch)
-        # Showing rows reads some partitions only; the state of every partition must be committed.
+        # Lookups read the micro-batch's keys before its rows: it is computed, and its state committed, once.
         kept = batch.persist()
-        kept.count()
-        sinks.console(kept)
-        kept.unpersist()
+        try:
+            out = kept
+            for one in steps:
+                out = one(w, out)
+            w.write_table(out, table, batch_id)
+        finally:
+            kept.unpersist()
 
     return step
 
@@ -262,8 +262,10 @@ def _cart_adds(w: Warehouse) -> DataFrame:
     return adds.withColumn("ts", wire.whole(F.col("ts")))
 
 
-def _sku_dims(w: Warehouse) -> dict[str, DataFrame]:
-    return {table: w.dimension(table) for table in tables.SKU_DIMENSIONS}
+def _sku_dims(w: Warehouse, batch: DataFrame) -> dict[str, DataFrame]:
+    """The product's dimensions; products themselves, which are many, by the keys of the micro-batch."""
+    dims = {table: w.dimension(table) for table in tables.SKU_DIMENSIONS if table != "dim_sku_info"}
+    return {"dim_sku_info": w.dimension("dim_sku_info", batch.select("sku_id")), **dims}
 
 
 JOBS: dict[str, Job] = {
@@ -325,20 +327,24 @@ JOBS: dict[str, Job] = {
         _to_table("dws_trade_cart_add_uu_window"),
     ),
     "dws_trade_sku_order_window": Job(
-        lambda w: aggregates.sku_amounts(_order_facts(w), w.arrival, w.day),
+        lambda w: aggregates.sku_amounts(_order_fact_rows(w), w.arrival, w.day),
         _to_table(
-            "dws_trade_sku_order_window", lambda w, batch: enrich.sku_snowflake(batch, _sku_dims(w))
+            "dws_trade_sku_order_window", lambda w, batch: enrich.sku_snowflake(batch, _sku_dims(w, batch))
         ),
     ),
     "dws_trade_sku_order_window_sync": Job(
-        lambda w: aggregates.sku_amounts(_order_facts(w), w.arrival, w.day),
-        _to_console(lambda w, batch: enrich.sku_names(batch, _sku_dims(w))),
+        lambda w: aggregates.sku_amounts(_order_fact_rows(w), w.arrival, w.day),
+        _to_table(
+            "dws_trade_sku_order_window_sync", lambda w, batch: enrich.sku_names(batch, _sku_dims(w, batch))
+        ),
     ),
     "dws_trade_province_order_window": Job(
-        lambda w: aggregates.province_amounts(_order_facts(w), w.arrival, w.day),
+        lambda w: aggregates.province_amounts(_order_fact_rows(w), w.arrival, w.day),
         _to_table(
             "dws_trade_province_order_window",
-            lambda w, batch: enrich.province_names(batch, w.dimension(tables.PROVINCES)),
+            lambda w, batch: enrich.province_names(
+                batch, w.dimension(tables.PROVINCES, batch.select("province_id"))
+            ),
         ),
     ),
 }

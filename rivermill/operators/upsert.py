@@ -64,6 +64,36 @@ def fold_dimensions(
     return folded.select(*key, *living).filter(present)
 
 
+def merge_dimensions(state: DataFrame | None, rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The dimension rows ``(sink_table, row_key, data)`` that ``rows`` leave of an earlier ``state`` of the same form.
+
+    What :func:`fold_dimensions` does over a whole history, step by step: every row of ``rows`` is newer than the state, so the state
+    needs no moments, and what is read and written follows the keys at hand. ``data`` keeps columns that no rule lists any more.
+    """
+    key = ["sink_table", "row_key"]
+    moment = F.struct(*[F.col(c) for c in order])
+    removes = F.coalesce(F.col("type") == "delete", F.lit(False))
+    known = rows.filter(F.col("row_key").isNotNull()).select(*key, moment.alias("_at"), removes.alias("_removes"), "data")
+    if state is not None:
+        at = F.lit(None).cast(known.schema["_at"].dataType)
+        known = known.unionByName(state.select(*key, at.alias("_at"), F.lit(False).alias("_removes"), "data"))
+    cells = F.map_entries(F.map_filter("data", lambda _, value: value.isNotNull()))
+    mark = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")))
+    each = known.select(*key, "_at", F.explode(F.when(F.col("_removes"), mark).otherwise(cells)).alias("_cell"))
+    newest = each.groupBy(*key, F.col("_cell.key").alias("column")).agg(
+        F.max(F.struct(F.col("_at").isNotNull().alias("new"), "_at", F.col("_cell.value").alias("value"))).alias("last")
+    )
+    gone = F.max(F.when(F.col("column").isNull(), F.struct("last.new", "last._at"))).alias("_gone")
+    put = F.when(F.col("column").isNotNull(), F.struct("column", "last"))
+    row = newest.groupBy(*key).agg(gone, F.collect_list(put).alias("_puts"))
+    living = F.filter(
+        "_puts",
+        lambda p: F.col("_gone").isNull() | (F.struct(p["last"]["new"], p["last"]["_at"]) > F.col("_gone")),
+    )
+    data = F.map_from_entries(F.transform(living, lambda p: F.struct(p["column"], p["last"]["value"])))
+    return row.select(*key, data.alias("data")).filter(F.size("data") > 0)
+
+
 def dimension_table(folded: DataFrame, sink_table: str, columns: Sequence[str]) -> DataFrame:
     """All-text table ``(key, *columns)`` of one folded dimension."""
     chosen = folded.filter(F.col("sink_table") == sink_table)

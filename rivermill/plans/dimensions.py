@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivermill.operators import clean, routing, upsert
@@ -124,6 +124,105 @@ class DimensionStore:
         return target
 
 
+class BucketedStore(DimensionStore):
+    """Dimension tables as current rows in buckets of their keys, one version of a bucket for each micro-batch that touched it.
+
+    A micro-batch reads the last version of its keys' buckets, merges its rows into it and writes those buckets anew, so its cost
+    follows its keys and no reader folds history. The index of a version names, for every bucket, the version that holds its
+    rows: a read as of an earlier version sees the tables as they were. A micro-batch that is repeated reads what it read before
+    and overwrites what it wrote. The index has a row per table and bucket, which is what comes to the driver.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64) -> None:
+        super().__init__(spark, path)
+        self.state_path, self.index_path, self.buckets = f"{path}/state", f"{path}/index", buckets
+
+    def _bucket(self, key: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(self.buckets)).cast("int")
+
+    def index(self, version: int | None = None) -> dict[tuple[str, int], int]:
+        """The version that holds each bucket's rows, as of ``version`` (the last one if none is named)."""
+        written = _read(self.spark, self.index_path)
+        if written is None:
+            return {}
+        asked = written if version is None else written.filter(F.col("version") <= version)
+        last = asked.agg(F.max("version")).first()[0]
+        rows = asked.filter((F.col("version") == last) & F.col("sink_table").isNotNull()).collect()
+        return {(r["sink_table"], r["bucket"]): r["held"] for r in rows}
+
+    def _append(self, rows: DataFrame, batch_id: int) -> None:
+        placed = rows.filter(F.col("row_key").isNotNull()).withColumn("bucket", self._bucket("row_key")).persist()
+        try:
+            touched = {tuple(r) for r in placed.select("sink_table", "bucket").distinct().collect()}
+            held = self.index(batch_id - 1)
+            for table in self._dropped_at(batch_id):
+                held = {place: version for place, version in held.items() if place[0] != table}
+            old = self._rows({place: held[place] for place in touched if place in held})
+            merged = upsert.merge_dimensions(old, placed, ["moment"]).withColumn("bucket", self._bucket("row_key"))
+            out = f"{self.state_path}/version={batch_id}"
+            merged.hint("rebalance", "sink_table", "bucket").write.mode("overwrite").partitionBy(
+                "sink_table", "bucket"
+            ).parquet(out)
+        finally:
+            placed.unpersist()
+        filled = _read(self.spark, out)
+        now = set() if filled is None else {tuple(r) for r in filled.select("sink_table", "bucket").distinct().collect()}
+        held = {place: version for place, version in held.items() if place not in touched} | dict.fromkeys(now, batch_id)
+        # A version without any rows has one row without a table.
+        listed = [(*place, version) for place, version in sorted(held.items())] or [(None, None, batch_id)]
+        named = self.spark.createDataFrame(listed, "sink_table string, bucket int, held bigint")
+        named.coalesce(1).write.mode("overwrite").parquet(f"{self.index_path}/version={batch_id}")
+
+    def _dropped_at(self, batch_id: int) -> list[str]:
+        drops = self._recorded_drops()
+        if drops is None:
+            return []
+        return [r[0] for r in drops.filter(F.col("batch") == batch_id).select("sink_table").distinct().collect()]
+
+    def _rows(self, places: dict[tuple[str, int], int]) -> DataFrame | None:
+        """Rows of buckets in the versions that hold them; only their directories are read."""
+        if not places:
+            return None
+        paths = [
+            f"{self.state_path}/version={version}/sink_table={table}/bucket={bucket}"
+            for (table, bucket), version in sorted(places.items())
+        ]
+        return self.spark.read.schema(STORED).option("basePath", self.state_path).parquet(*paths)
+
+    def state(self, columns: Sequence[str], sink_table: str | None = None, version: int | None = None) -> DataFrame:
+        places = self.index(version)
+        return self._shown({p: v for p, v in places.items() if sink_table in (None, p[0])}, columns)
+
+    def _shown(self, places: dict[tuple[str, int], int], columns: Sequence[str]) -> DataFrame:
+        rows = self._rows(places)
+        if rows is None:
+            rows = self.spark.createDataFrame([], STORED)
+        return rows.select("sink_table", "row_key", *[F.col("data")[c].alias(c) for c in columns])
+
+    def read_keys(
+        self, sink_table: str, columns: Sequence[str], keys: DataFrame, version: int | None = None
+    ) -> DataFrame:
+        """The table's rows ``(key, *columns)`` in the buckets of ``keys`` (its first column), for a join on them."""
+        wanted = {r[0] for r in keys.select(self._bucket(keys.columns[0])).distinct().collect()}
+        places = {p: v for p, v in self.index(version).items() if p[0] == sink_table and p[1] in wanted}
+        return upsert.dimension_table(self._shown(places, columns), sink_table, columns)
+
+    def compact(self, path: str) -> DimensionStore:
+        """The last version of all buckets as the first of a new store at ``path``."""
+        target = BucketedStore(self.spark, path, self.buckets)
+        rows = self._rows(self.index())
+        moment = F.struct(F.lit(None).cast("bigint").alias("at"))
+        if rows is not None:
+            target._append(rows.select("sink_table", "row_key", F.lit("bootstrap-insert").alias("type"), "data", moment.alias("moment")), 0)
+        drops = self._recorded_drops()
+        if drops is not None:
+            drops.select("sink_table", "change").distinct().write.mode("overwrite").parquet(f"{target.drops_path}/batch=0")
+        return target
+
+
+STORED = "row_key string, data map<string, string>, version bigint, sink_table string, bucket int"
+
+
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``; None if nothing was written there yet."""
     try:

@@ -97,10 +97,15 @@ def changes(raw: DataFrame, *keep: str) -> DataFrame:
     return with_row_time(parsed.withColumn("ts", wire.whole(F.col("ts"))))
 
 
-def order_facts(raw: DataFrame, *keep: str) -> DataFrame:
-    """Order-detail facts read back from their upsert topic, tombstones skipped."""
+def order_fact_rows(raw: DataFrame, *keep: str) -> DataFrame:
+    """Order-detail facts read back from their upsert topic, tombstones skipped; rules and windows set their own event time."""
     parsed = wire.parse(non_empty(raw), schemas.ORDER_FACT, *keep)
-    return with_row_time(parsed.withColumn("ts", wire.whole(F.col("ts"))))
+    return parsed.withColumn("ts", wire.whole(F.col("ts")))
+
+
+def order_facts(raw: DataFrame, *keep: str) -> DataFrame:
+    """The same with event time and watermark, for joins."""
+    return with_row_time(order_fact_rows(raw, *keep))
 
 
 def with_row_time(df: DataFrame, seconds: Column | str = "ts", delay: str = CHANGE_DELAY) -> DataFrame:

@@ -67,14 +67,12 @@ def keyed_topic(
     return facts.select(F.to_json(F.struct(*keys)).alias("key"), value.alias("value"))
 
 
-def console(df: DataFrame, checkpoint: str | None = None) -> StreamingQuery | None:
-    """Prints all rows, for looking at a job; rows of a batch come one partition at a time."""
+def console(df: DataFrame, checkpoint: str | None = None, rows: int = 20) -> StreamingQuery | None:
+    """Shows the first ``rows`` rows (of a stream, of every micro-batch), for looking at a job; tables are written by the jobs."""
     if not df.isStreaming:
-        print(*df.columns, sep=" | ")
-        for row in df.toLocalIterator():
-            print(*row, sep=" | ")
+        df.show(rows, truncate=False)
         return None
-    writer = df.writeStream.format("console").option("truncate", "false").option("numRows", 2**31 - 1)
+    writer = df.writeStream.format("console").option("truncate", "false").option("numRows", rows)
     return (writer.option("checkpointLocation", checkpoint) if checkpoint else writer).start()
 
 

@@ -162,6 +162,8 @@ SELECT sink_table, id AS row_key, arg_max(name, pos) FILTER (WHERE name IS NOT N
 FROM live GROUP BY sink_table, id
 """
 
+ORACLE["dimension_merge"] = ORACLE["dimension_fold"]
+
 ORACLE["dimension_lifecycle"] = f"""
 WITH {DIM}, r AS (
   SELECT *, 'dim_' || tbl AS sink_table,

@@ -133,6 +133,16 @@ def dimension_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folded.select("sink_table", "row_key", "name", "price")
 
 
+@query
+def dimension_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both dimension tables, with each year's changes merged into the state before them."""
+    rows = dimensions.dimension_rows(s.dimension_changes(spark, sf_dir), s.dimension_rules(spark), *s.LINE_ORDER)
+    state, year = None, F.year("at")
+    for part in (year < 1997, (year >= 1997) & (year < 2000), year >= 2000):
+        state = upsert.merge_dimensions(state, rows.filter(part), s.LINE_ORDER)
+    return state.select("sink_table", "row_key", F.col("data")["name"].alias("name"), F.col("data")["price"].alias("price"))
+
+
 # --- log layer ---------------------------------------------------------------------------------
 
 
