@@ -23,12 +23,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from rivermill.llm.common import cut, map_texts
+from rivermill.llm.common import cut, kept, map_texts
 
 SIZE = 5
 SEED = 42
@@ -122,7 +123,7 @@ def nodes(named: DataFrame) -> DataFrame:
     printed = map_texts(named, make, "digest binary, n long, prefix array<bigint>", "_key")
     least = F.min(F.struct(F.col("_key.doc_id").isNull(), F.col("_key"))).alias("least")
     merged = printed.groupBy("digest").agg(least, F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    return cut(merged.select(F.monotonically_increasing_id().alias("id"), "least._key", "n", "prefix"))
+    return kept(merged.select(F.monotonically_increasing_id().alias("id"), "least._key", "n", "prefix"), "nodes")
 
 
 def _can(n: Column, at: Column, m: Column, place: Column) -> Column:
@@ -132,7 +133,7 @@ def _can(n: Column, at: Column, m: Column, place: Column) -> Column:
 
 
 def _among(named: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of ``named`` with a _key of ``keys``, and some others: what a filter of 2^``BITS`` bits lets through."""
+    """_key and packed text of rows of ``named`` with a _key of ``keys``, and of some others: what a filter of 2^``BITS`` bits lets through."""
     place = F.xxhash64("_key").bitwiseAND(F.lit((1 << BITS) - 1))
     bits = keys.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("at"))
     bits = bits.agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("set")).toArrow()
@@ -140,15 +141,19 @@ def _among(named: DataFrame, keys: DataFrame) -> DataFrame:
     table[bits["at"].to_numpy()] = bits["set"].to_numpy()
     sent = named.sparkSession.sparkContext.broadcast(table)
     placed = named.select("_key", "text", place.alias("place"))
+    schema = StructType([placed.schema["_key"], *StructType.fromDDL("packed binary").fields])
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = sent.value
+        table, pack = sent.value, zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             places = batch.column(2).to_numpy()
             let = table[places >> 6] >> (places & 63) & 1
-            yield batch.filter(pc.equal(pa.array(let), 1))
+            some = batch.filter(pc.equal(pa.array(let), 1))
+            packed = pa.array([pack((t.as_py() or "").encode()) for t in some.column(1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([some.column(0), packed], schema=arrow)
 
-    return placed.mapInArrow(run, placed.schema).select("_key", "text")
+    return placed.mapInArrow(run, schema)
 
 
 def confirmed(named: DataFrame, known: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -158,20 +163,21 @@ def confirmed(named: DataFrame, known: DataFrame, pairs: DataFrame) -> DataFrame
     others = sized.select("a", F.pmod(F.xxhash64("b"), "parts").alias("part"), F.col("b").alias("id"))
     # The one that others are compared with comes first: once in each part.
     leads = others.select("a", "part", F.col("a").alias("id")).distinct()
-    members = cut(others.unionByName(leads))
-    keys = cut(members.select("id").distinct().join(known.select("id", "_key"), "id"))
-    read = _among(named, keys.select("_key")).join(keys, "_key").groupBy("id").agg(F.first("text").alias("text"))
-    dealt = members.join(read, "id").select("a", "part", "id", "text")
+    members = kept(others.unionByName(leads).join(known.select("id", "_key"), "id"), "members")
+    # Texts are packed once, dealt by their key to meet their members, and then by what they are compared with.
+    read = _among(named, members.select("_key").distinct()).groupBy("_key").agg(F.first("packed").alias("packed"))
+    dealt = members.join(read, "_key").select("a", "part", "id", "packed")
     schema = StructType.fromDDL("a bigint, b bigint")
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead, now = np.zeros(0, np.uint64), None
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = []
-            for a, one, text in zip(*[batch.column(i) for i in (0, 2, 3)], strict=True):
+            for a, one, packed in zip(*[batch.column(i) for i in (0, 2, 3)], strict=True):
                 a, one = a.as_py(), one.as_py()
-                found = hashes(words_of(text.as_py() or ""))
+                found = hashes(words_of(unpack(packed.as_py()).decode()))
                 if a == one:
                     lead, now = found, a
                 elif now != a:
@@ -192,7 +198,7 @@ def links(named: DataFrame, known: DataFrame, components) -> DataFrame:
     met = tokens.withColumns(
         {"met": F.count(F.lit(1)).over(of_token), "lead": F.min(F.struct("n", "id", "at")).over(of_token)}
     )
-    met = cut(met.filter("met > 1").select("token", "id", "n", "at", "met", "lead"))
+    met = kept(met.filter("met > 1").select("token", "id", "n", "at", "met", "lead"), "met")
     stars = met.filter(F.col("id") != F.col("lead.id")).filter(_can(*map(F.col, ("lead.n", "lead.at", "n", "at"))))
     stars = cut(stars.select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct())
     first = cut(confirmed(named, known, stars))
@@ -200,7 +206,8 @@ def links(named: DataFrame, known: DataFrame, components) -> DataFrame:
     left = met.filter((F.col("met") > 2) & (F.col("id") != F.col("lead.id")))
     left = left.join(roots, F.col("id") == F.col("v"), "left").withColumn("root", F.coalesce("root", "id"))
     several = F.min("root").over(of_token) != F.max("root").over(of_token)
-    left = cut(left.select("token", "id", "n", "at", "root").withColumn("several", several).filter("several"))
+    left = left.select("token", "id", "n", "at", "root").withColumn("several", several).filter("several")
+    left = kept(left, "left")
     x, y = left.alias("x"), left.alias("y")
     pairs = x.join(y, F.col("x.token") == F.col("y.token")).filter(
         (F.col("x.root") != F.col("y.root"))
