@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from rivermill.llm import shingles
 from rivermill.llm.common import cut, map_texts
 
 SEED = 42
@@ -234,19 +233,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of every group of near-copies (see ``shingles``): that of the smallest doc_id, then text hash; columns as in
-    ``docs``. Fingerprints have no part in it: texts of a similarity of 0.8 mostly differ in more than ``RADIUS`` bits."""
+    """One row of every group of near-duplicates: that of the smallest doc_id, then text hash; columns as in ``docs``."""
     columns = docs.columns
-    named = docs.select(F.struct(docs["doc_id"], F.xxhash64(docs["text"]).alias("hash")).alias("_key"), docs["text"])
-    known = shingles.nodes(named)
-    roots = stars(shingles.links(named, known, stars))
-    first = F.min(F.struct(F.col("_key.doc_id").isNull(), F.col("_key"))).alias("_first")
-    found = known.select("id", "_key").join(roots, F.col("id") == F.col("v"), "left")
-    chosen = found.groupBy(F.coalesce("root", "id")).agg(first).select(F.col("_first._key").alias("_chosen"))
-    rows = docs.select(
-        F.struct(*[docs[c] for c in columns]).alias("_doc"),
-        F.struct(docs["doc_id"], F.xxhash64(docs["text"]).alias("hash")).alias("_key"),
-    )
-    # One key for both steps, so that texts are shuffled once; structs are equal where their nulls are.
-    once = rows.groupBy("_key").agg(F.first("_doc").alias("_doc"))
-    return once.join(chosen.distinct(), F.col("_key") == F.col("_chosen"), "left_semi").select("_doc.*")
+    key = F.struct(docs["doc_id"], F.xxhash64(docs["text"]).alias("hash")).alias("_key")
+    found = grouped(cut(fingerprints(docs.select(key, docs["text"]), "_key")), "_key")
+    first = F.min_by("_key", F.struct(F.col("_key.doc_id").isNull(), F.col("_key")))
+    chosen = found.groupBy("group").agg(first.alias("_chosen")).select("_chosen").distinct()
+    rows = docs.select(key, F.struct(*[docs[c] for c in columns]).alias("_doc"))
+    # Rows that repeat a doc_id and a text are one.
+    met = rows.join(chosen, F.col("_key") == F.col("_chosen"), "left_semi")
+    return met.groupBy("_key").agg(F.first("_doc").alias("_doc")).select("_doc.*")
