@@ -157,6 +157,9 @@ def sketches(docs: DataFrame, documents: int, total: int, common: dict[bytes, in
                     n = counts.total()
                     m = length_factor(n, documents, total)
                     out.append((doc_id, *_digest(data), n, sketch(counts, m, common, rare)))
+                if len(out) >= 1_000:  # sketches are larger than texts: few are held at a time
+                    yield out
+                    out = []
             yield out
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
