@@ -73,7 +73,7 @@ def stamps(column: str) -> str:
 # The raw text of a log record, written out as it stands in the topic.
 RAW = PG + """,
 raw AS (
-  SELECT event_id, k, '{"common":{' || CASE WHEN k < 97 THEN '"mid":"' || mid || '",' ELSE '' END ||
+  SELECT event_id, k, ts, '{"common":{' || CASE WHEN k < 97 THEN '"mid":"' || mid || '",' ELSE '' END ||
     '"uid":"' || uid || '","vc":"' || vc || '","ch":"' || ch || '","ar":"' || ar || '","is_new":"' || is_new ||
     '","os":"' || CASE WHEN k % 2 = 0 THEN 'linux' ELSE 'mac' END || '"}' ||
     CASE WHEN has_page THEN ',"page":{"page_id":"' || page_id || '",' ||
@@ -94,8 +94,9 @@ raw AS (
 
 ORACLE["topic_text"] = f"""
 WITH {RAW}
-SELECT event_id, CAST(length(sent) AS INTEGER) AS chars, sha256(sent) AS digest
-FROM (SELECT event_id, CASE WHEN k = 96 THEN substr(value, 1, 30) ELSE value END AS sent FROM raw) WHERE event_id > 0
+SELECT event_id, CAST(length(sent) AS INTEGER) AS chars, sha256(regexp_replace(sent, '"ts":[0-9]+', '"ts"')) AS digest,
+  CASE WHEN k <> 96 THEN strftime(ts, {TIME}) END AS time
+FROM (SELECT event_id, k, ts, CASE WHEN k = 96 THEN substr(value, 1, 30) ELSE value END AS sent FROM raw) WHERE event_id > 0
 """
 
 CART = LN + """,

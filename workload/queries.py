@@ -57,7 +57,12 @@ def topic_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value", F.when(F.col("event_id") > 0, F.col("value")).otherwise(F.lit(" "))
     )
     kept = topics.non_empty(lines)
-    return kept.select("event_id", F.length("value").alias("chars"), F.sha2("value", 256).alias("digest"))
+    # The number of milliseconds depends on the session's zone: it is compared as local time.
+    ts = F.regexp_extract("value", '"ts":([0-9]+)', 1).try_cast("bigint")
+    rest = F.regexp_replace("value", '"ts":[0-9]+', '"ts"')
+    return kept.select(
+        "event_id", F.length("value").alias("chars"), F.sha2(rest, 256).alias("digest"), times.ms_to_date_time(ts).alias("time")
+    )
 
 
 @query
