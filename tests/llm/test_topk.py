@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rivermill.llm import topk
@@ -23,7 +24,9 @@ def brute(rows, queries, k, scale=64):
         w = whole(v)
         if q is None or w is None:
             continue
-        scored = sorted((-sum(a * b for a, b in zip(w, c)), i) for i, c in usable if i != q)
+        others = list(usable)
+        others.remove((q, w))  # itself, once
+        scored = sorted((-sum(a * b for a, b in zip(w, c)), i) for i, c in others)
         out += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
@@ -36,7 +39,8 @@ def run(spark, rows, k, **setting):
 @pytest.mark.parametrize("setting", [{}, {"shard": 60, "pivots": 7}])
 def test_equals_brute_force(spark, monkeypatch, setting):
     monkeypatch.setattr(topk, "CELL", 60)
-    monkeypatch.setattr(topk, "QUERIES", 20)
+    monkeypatch.setattr(topk, "BLOCK", 7)
+    monkeypatch.setattr(topk, "PAGE", 40)
     rng = random.Random(1)
     centers = [[rng.gauss(0, 1) for _ in range(5)] for _ in range(6)]
     rows = [(i, [c + rng.gauss(0, 0.2) for c in rng.choice(centers)]) for i in range(700)]
@@ -54,19 +58,35 @@ def test_odd_rows(spark):
     assert run(spark, [], 20) == [] and run(spark, [(0, [1.0])], 20) == []
 
 
+def test_repeated_queries(spark):
+    """Rows of one id are queries of their own, and candidates of each other."""
+    rows = [(20, [1.0, 2.0]), (20, [1.0, 2.0]), (20, [5.0, -1.0]), (1, [3.0, 3.0]), (2, [0.0, 1.0]), (40, [5.0, -1.0])]
+    assert run(spark, rows, 3) == brute(rows, [r for r in rows if r[0] % 20 == 0], 3)
+
+
+def test_ties_and_large_components(spark):
+    rng = random.Random(3)
+    rows = [(i, [float(rng.randint(-1, 1)) for _ in range(3)]) for i in range(300)]
+    assert run(spark, rows, 7, scale=1) == brute(rows, [r for r in rows if r[0] % 20 == 0], 7, scale=1)
+    rows = [(i, [rng.uniform(-(2.0**24), 2.0**24) for _ in range(4)]) for i in range(120)]
+    assert run(spark, rows, 5) == brute(rows, [r for r in rows if r[0] % 20 == 0], 5)
+
+
 def test_bounds_leave_pages_out():
     rng = np.random.default_rng(2)
     rows = np.floor(64 * (rng.normal(size=(6000, 3)) + 8 * rng.integers(0, 5, size=(6000, 1))))
     most = float((rows**2).sum(axis=1).max())
-    tree = topk.MTree(topk._lifted(rows, most), [[i] for i in range(len(rows))], most)
-    seen = []
-    products = topk._products
-    try:
-        topk._products = lambda r, q, e: seen.append(len(r)) or products(r, q, e)
-        for q in range(0, 6000, 500):
-            got = tree.best(rows[q], 5, q, math.inf)
-            want = sorted(((float(rows[i] @ rows[q]), -i) for i in range(6000) if i != q), reverse=True)[:5]
-            assert got == [(int(s), -i) for s, i in want]
-    finally:
-        topk._products = products
-    assert sum(seen) < 0.5 * 12 * 6000
+    lifted = topk._lifted(rows, most)
+    center = lifted[:1]
+    asked = np.arange(0, 6000, 500)
+    block = topk.Block(asked, asked, rows[asked], np.full(len(asked), math.inf), center, most, 5)
+    for members, away in topk.pages(lifted, 64):
+        ids = pa.array([[int(m)] for m in members], pa.list_(pa.int64()))
+        block.look(0, float(topk.distances(lifted[members[:1]], center[0])[0]), away, rows[members], ids)
+    got = sorted(zip(*(c.tolist() for c in block.best())))
+    want = []
+    for q in asked.tolist():
+        scored = sorted(((-int(rows[i] @ rows[q]), i) for i in range(6000) if i != q))[:5]
+        want += [(q, q, i, -s) for s, i in scored]
+    assert got == sorted(want)
+    assert block.computed < 0.5 * len(asked) * 6000
