@@ -1,17 +1,20 @@
 """Quality rules with risk-controlled thresholds (DataFrame functions only).
 
-A rule rejects a document whose score exceeds the cutoff of its stratum. Cutoffs come from labelled documents: on a fixed
-grid, from the most lenient cutoff on, each is tested against the hypothesis "this rule rejects more than ``risk`` of the
-good documents of the stratum" with the exact binomial tail. The tests of one rule and stratum run in a fixed sequence
-that ends at the first failure, so only rules and strata share the error ``delta`` (Bonferroni); ``risk`` is divided among
-the rules. So with probability 1 - ``delta`` no stratum loses more than ``risk`` of its good documents to the method.
-Among the certified cutoffs the one with the best balance of rejected bad and good documents is used, the most lenient of
-equals. A rule that certifies no cutoff, or whose cutoffs reject no bad document, rejects nothing.
+A rule rejects a document whose score exceeds the cutoff of its stratum. Labelled documents are split by a hash of their
+id. One half proposes: on a fixed grid, each rule's cutoff with the best balance of rejected bad and good documents,
+the most lenient of equals, and none if no cutoff rejects enough bad ones. The other half certifies: a path of ``PATH`` steps
+leads all rules of a stratum together from rejecting nothing to the proposed cutoffs, and each step is tested against the
+hypothesis "the rules together reject more than ``risk`` of the good documents of the stratum" with the exact binomial tail.
+The tests of a stratum run in this fixed order and end at the first failure, so only strata share the error ``delta``
+(Bonferroni), and rules share no risk. So with probability 1 - ``delta`` no stratum loses more than ``risk`` of its good
+documents to the method. The certified step with the best balance on the certifying half is used. Where no step is
+certified, or none rejects enough bad documents, nothing is rejected. Without a single false rejection, certifying takes
+log(delta / strata) / log(1 - risk) good labels in that half: 144 with four strata.
 
 Defined cases: a null text has no words (base rule fails); a null stratum is a stratum of its own; labels that are null or
-whose document is missing are ignored; a document labelled twice counts as bad if any label says so; strata past the
-``MAX_STRATA`` with most labels, and strata without labels, have no cutoffs, so only the base rule rejects there.
-Repeated rows are judged alike. Without labels only the base rule works.
+whose document is missing are ignored; a document labelled twice counts as bad if any label says so; in strata without
+cutoffs only the base rule rejects. Repeated rows are judged alike; with labels they count once per row. Without labels only
+the base rule works. The number of strata has no limit: cutoffs are a table that Spark joins by its size.
 """
 
 from __future__ import annotations
@@ -26,7 +29,6 @@ from pyspark.sql import functions as F
 from rivermill.llm.common import WORD, cut
 
 SYMBOLS = "#*$%&|<>"
-MAX_STRATA = 256
 TAIL_TERMS = 4096
 
 
@@ -34,7 +36,7 @@ TAIL_TERMS = 4096
 class Risk:
     """``risk``: highest share of good documents rejected per stratum; ``delta``: chance that any stratum exceeds it."""
 
-    risk: float = 0.04
+    risk: float = 0.03
     delta: float = 0.05
     good_weight: float = 4.0  # rejected good documents weigh so much against rejected bad ones
 
@@ -49,6 +51,8 @@ RULES = {
 }
 #: Cutoffs from the most lenient on: cutoff i rejects scores above (STEPS - i) / STEPS.
 STEPS = 40
+#: Steps from rejecting nothing to the proposed cutoffs.
+PATH = 8
 
 
 def _count(text: Column, drop: str) -> Column:
@@ -160,51 +164,63 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k < n * p, F.least(F.lit(1.0), F.exp(log_top) * total)).otherwise(1.0)
 
 
-def thresholds(labelled: DataFrame, stratum: str, setting: Risk = Risk()) -> DataFrame:
-    """One row per stratum: for each rule the cutoff in use as ``_cut_<rule>``, null for none.
+def _proposed(half: DataFrame, setting: Risk) -> DataFrame:
+    """One row per stratum of ``half`` with each rule's cutoff as ``_at_<rule>``, null for none.
 
-    ``labelled``: measures, ``stratum`` and ``good`` (boolean), one row per labelled document. The rows are summed per
-    stratum, rule and cutoff before anything else, so the work after the sum does not grow with the labels.
+    Rows are summed per stratum, rule and bin before anything else, so the work after the sum does not grow with them.
     """
-    long = labelled.select(
-        F.col(stratum).alias("_stratum"), "good",
-        F.explode(F.map_from_arrays(F.array(*[F.lit(r) for r in RULES]), F.array(*_bins()))).alias("rule", "bin"),
+    rules = F.map_from_arrays(F.array(*[F.lit(r) for r in RULES]), F.array(*[F.col(f"_{r}") for r in RULES]))
+    summed = half.select("_stratum", "good", F.explode(rules).alias("rule", "bin")).groupBy("_stratum", "rule", "bin").agg(
+        F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")
+    )
+    # A row of bin b is rejected by the cutoffs from b on, counted from the lenient end: at most STEPS rows a window.
+    so_far = Window.partitionBy("_stratum", "rule").orderBy("bin")
+    worth = F.sum(F.col("bad") - setting.good_weight * F.col("good")).over(so_far)
+    best = (
+        summed.filter(F.col("bin") <= STEPS).withColumn("worth", worth).filter("worth > 0")
+        .groupBy("_stratum", "rule").agg(F.max(F.struct("worth", (-F.col("bin")).alias("at"))).alias("best"))
     )
-    summed = long.groupBy("_stratum", "rule", "bin").agg(
+    return best.groupBy("_stratum").agg(*[F.max(F.when(F.col("rule") == r, -F.col("best.at"))).alias(f"_at_{r}") for r in RULES])
+
+
+def thresholds(labelled: DataFrame, stratum: str, setting: Risk = Risk()) -> DataFrame:
+    """One row per stratum with certified cutoffs: for each rule the one in use as ``_cut_<rule>``, null for none.
+
+    ``labelled``: doc_id, measures, ``stratum`` and ``good`` (boolean), one row per labelled document.
+    """
+    binned = cut(labelled.select(
+        F.col(stratum).alias("_stratum"), "good", (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0).alias("_proposes"), *_bins()
+    ))
+    proposed = cut(_proposed(binned.filter("_proposes"), setting))
+    strata = max(1, proposed.count())
+    names = proposed.withColumnRenamed("_stratum", "_name")
+    holdout = binned.filter("not _proposes").join(names, F.col("_stratum").eqNullSafe(F.col("_name")))
+    # At step j a rule's cutoff is ceil(at * j / PATH): the first step that rejects a row, PATH + 1 or more for none.
+    step = F.least(*[F.coalesce(F.floor((F.col(f"_{r}") - 1) * PATH / F.col(f"_at_{r}")) + 1, F.lit(PATH + 1)) for r in RULES])
+    summed = holdout.groupBy("_stratum", F.least(step, F.lit(PATH + 1)).alias("step")).agg(
         F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")
     )
-    # Every document counts once per rule: any one rule gives the number of labels of a stratum.
-    first = summed.filter(F.col("rule") == next(iter(RULES)))
-    ranked = first.groupBy(F.col("_stratum").alias("_name")).agg(F.sum("good").alias("n"))
-    strata = ranked.orderBy(F.desc("n"), F.asc_nulls_first("_name")).limit(MAX_STRATA)
-    strata = strata.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy()))
-    # A row of bin b is rejected by the cutoffs from b on, counted from the lenient end.
-    per_rule = summed.groupBy("_stratum", "rule").agg(F.collect_list(F.struct("bin", "good", "bad")).alias("bins"))
-    tested = per_rule.join(F.broadcast(strata), F.col("_stratum").eqNullSafe(F.col("_name"))).select(
-        "_stratum", "rule", "n", "m", "bins", F.explode(F.sequence(F.lit(1), F.lit(STEPS))).alias("at")
-    )
+    whole = summed.groupBy("_stratum").agg(
+        F.sum("good").alias("n"), F.collect_list(F.struct("step", "good", "bad")).alias("steps")
+    ).select("*", F.explode(F.sequence(F.lit(1), F.lit(PATH))).alias("at"))
 
-    def above(field: str) -> Column:
-        taken = F.filter("bins", lambda b: b["bin"] <= F.col("at"))
+    def rejected(field: str) -> Column:
+        taken = F.filter("steps", lambda b: b["step"] <= F.col("at"))
         return F.aggregate(taken, F.lit(0).cast("long"), lambda total, b: total + b[field])
 
-    share = setting.risk / len(RULES)
-    level = F.lit(setting.delta / len(RULES)) / F.col("m")
-    order = Window.partitionBy("_stratum", "rule").orderBy("at")
-    certified = (
-        tested.withColumns({"rejected_good": above("good"), "rejected_bad": above("bad")})
-        .withColumn("_fails", (binomial_tail(F.col("rejected_good"), F.col("n"), share) > level).cast("int"))
-        .withColumn("_failed", F.max("_fails").over(order))
-        .filter((F.col("_failed") == 0) & (F.col("rejected_bad") > 0))
-    )
+    fails = binomial_tail(F.col("rejected_good"), F.col("n"), setting.risk) > setting.delta / strata
     worth = F.col("rejected_bad") - setting.good_weight * F.col("rejected_good")
     best = (
-        certified.groupBy("_stratum", "rule")
+        whole.withColumns({"rejected_good": rejected("good"), "rejected_bad": rejected("bad")})
+        .withColumn("_failed", F.max(fails).over(Window.partitionBy("_stratum").orderBy("at")))
+        .filter(~F.col("_failed") & (worth > 0))
+        .groupBy("_stratum")
         .agg(F.max(F.struct(worth.alias("worth"), (-F.col("at")).alias("at"))).alias("best"))
-        .filter("best.worth > 0")
     )
-    cuts = [F.max(F.when(F.col("rule") == r, -F.col("best.at"))).alias(f"_cut_{r}") for r in RULES]
-    return best.groupBy("_stratum").agg(*cuts)
+    used = best.join(names, F.col("_stratum").eqNullSafe(F.col("_name")))
+    return used.select(
+        "_stratum", *[F.ceil(F.col(f"_at_{r}") * -F.col("best.at") / PATH).cast("int").alias(f"_cut_{r}") for r in RULES]
+    )
 
 
 def labels_once(labels: DataFrame) -> DataFrame:
@@ -214,8 +230,7 @@ def labels_once(labels: DataFrame) -> DataFrame:
 
 
 def verdict(measured: DataFrame, cuts: DataFrame, stratum: str) -> DataFrame:
-    """Adds ``base_failed`` and ``kept``. ``cuts`` has at most ``MAX_STRATA`` rows and is broadcast."""
-    cuts = F.broadcast(cuts)
+    """Adds ``base_failed`` and ``kept``. ``cuts`` has a row per stratum; Spark broadcasts it if its size allows."""
     joined = measured.join(cuts, measured[stratum].eqNullSafe(cuts["_stratum"]), "left")
     rejected = [
         F.coalesce(b <= F.col(f"_cut_{rule}"), F.lit(False)) for rule, b in zip(RULES, _bins(), strict=True)
@@ -243,8 +258,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", setting
     columns = docs.columns
     known = labels_once(labels)
     labelled = docs.select("doc_id", stratum, "text").join(known, docs["doc_id"] == known["_label_id"])
-    # The sums are used more than once: what they read is measured once and kept, a few numbers per labelled document.
-    cuts = cut(thresholds(cut(measures(labelled).select(stratum, "good", *NARROW)), stratum, setting))
+    cuts = cut(thresholds(measures(labelled).select("doc_id", stratum, "good", *NARROW), stratum, setting))
     plain = docs.select(F.struct(*[docs[c] for c in columns]).alias("_doc"), docs[stratum].alias("_s"), docs["text"])
     # A generator stands between measures and filter, so that the filter is not moved below and computes them again.
     once = measures(plain).select("_doc", "_s", F.inline(F.array(F.struct(*NARROW))))

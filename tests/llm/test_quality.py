@@ -88,3 +88,60 @@ def test_odd_rows_and_empty_tables(spark, odd, nothing):
     none = spark.createDataFrame([], LABELS)
     assert quality.judge(nothing, none).count() == 0
     assert quality.keep_good(odd, none).count() == quality.judge(odd, none).filter("kept").count()
+
+
+def test_cutoffs_equal_brute_force(spark):
+    setting = quality.Risk(risk=0.1, delta=0.2, good_weight=2.0)
+    docs = spark.range(5000).select(
+        F.col("id").alias("doc_id"),
+        F.concat(
+            F.repeat(F.lit("$# "), (F.xxhash64("id") % 5 + 5).cast("int")),
+            F.repeat(F.lit("HELLO "), (F.xxhash64(F.lit(1), "id") % 7 + 7).cast("int")),
+            F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(25)), lambda i: F.concat(F.lit("w"), (F.col("id") + i).cast("string")))),
+        ).alias("text"),
+        F.when(F.col("id") % 3 != 0, F.concat(F.lit("s"), (F.col("id") % 4).cast("string"))).alias("lang"),
+    )
+    measured = quality.measures(docs)
+    noisy = F.when(F.xxhash64(F.lit(2), "doc_id") % 20 == 0, 1).otherwise(0)
+    bad = (F.col("n_symbols") >= 14) & (noisy == 0)
+    labelled = measured.withColumn("good", ~bad).cache()
+    half = (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0).alias("proposes")
+    rows = labelled.select("lang", "good", half, F.array(*quality._bins()).alias("bins")).collect()
+    got = {r[0]: tuple(r)[1:] for r in quality.thresholds(labelled, "lang", setting).collect()}
+    proposed = {}
+    for lang in {r.lang for r in rows}:
+        mine, at = [r for r in rows if r.lang == lang and r.proposes], []
+        for rule in range(len(quality.RULES)):
+            worth = {b: sum(-2.0 if r.good else 1 for r in mine if r.bins[rule] <= b) for b in {r.bins[rule] for r in mine}}
+            best = [(w, -b) for b, w in worth.items() if b <= quality.STEPS and w > 0]
+            at.append(-max(best)[1] if best else None)
+        if any(at):
+            proposed[lang] = at
+    want = {}
+    for lang, at in proposed.items():
+        mine, best = [r for r in rows if r.lang == lang and not r.proposes], None
+        n = sum(r.good for r in mine)
+        for step in range(1, quality.PATH + 1):
+            cuts = tuple(None if a is None else math.ceil(a * step / quality.PATH) for a in at)
+            out = [r for r in mine if any(c is not None and b <= c for b, c in zip(r.bins, cuts))]
+            k = sum(r.good for r in out)
+            tail = sum(math.comb(n, i) * 0.1**i * 0.9 ** (n - i) for i in range(k + 1)) if k < n * 0.1 else 1
+            if tail > 0.2 / len(proposed):
+                break
+            worth = len(out) - k - 2 * k
+            if worth > 0 and (best is None or worth > best[0]):
+                best = worth, cuts
+        if best:
+            want[lang] = best[1]
+    assert got == want and len(want) >= 3
+
+
+def test_every_stratum_gets_cutoffs(spark):
+    words = " ".join(f"w{i}" for i in range(30))
+    docs = spark.range(120 * 300).select(
+        F.col("id").alias("doc_id"), (F.col("id") % 300).cast("string").alias("host"),
+        F.when(F.col("id").between(0, 5999), F.lit("$$# " * 6 + words)).otherwise(F.lit(words)).alias("text"),
+    )
+    labels = docs.select("doc_id", (F.col("doc_id") >= 6000).cast("int").alias("quality"))
+    got = quality.judge(docs, labels, "host", quality.Risk(risk=0.3))
+    assert got.filter("not kept").agg(F.count_distinct("host"), F.count(F.lit(1))).first() == (300, 6000)
