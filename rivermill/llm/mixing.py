@@ -118,7 +118,8 @@ def mix(units: DataFrame, goals: DataFrame, seed: int = SEED, fan_in: int = FAN_
     goals = cut(goals)
     due = units.join(goals, units["source"].eqNullSafe(goals["source"])).select(
         units["source"], "doc_id", "size", "source_size", "target",
-        (F.col("size") * F.col("target") / F.col("source_size")).alias("_due"), *order,
+        # The share first: it is at most ``most`` exactly, so that no document is due more, however large the totals.
+        (F.col("size") * (F.col("target") / F.col("source_size"))).alias("_due"), *order,
     )
     base = F.when(F.col("size") > 0, F.floor(F.col("_due") / F.col("size"))).otherwise(0)
     due = due.withColumn("base", base.cast("long"))

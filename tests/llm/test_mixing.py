@@ -82,3 +82,11 @@ def test_take_repeats_rows(odd, odd_rows):
 def test_empty(nothing):
     assert mixing.mixed(nothing).count() == 0
     assert mixing.take(nothing).count() == 0
+
+
+def test_no_unit_exceeds_the_limit_at_large_totals(spark):
+    """Totals past 2^53 in their product with a size: rounding must not open a document that is due exactly twice."""
+    units = spark.range(2000).selectExpr("id AS doc_id", "'a' AS source", "id AS size")
+    for total in (10**12 + 7, 10**15 + 3, 3 * 10**13 + 1):
+        goals = spark.createDataFrame([("a", total, 2.0 * total)], "source string, source_size long, target double")
+        assert mixing.mix(units, goals).filter("taken <> 2 * size").count() == 0
