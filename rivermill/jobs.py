@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,11 +91,14 @@ class Warehouse:
         """Arrival columns that are not fields of the records themselves."""
         return tuple(c for c in self.arrival.order if c != "ts")
 
-    def read(self, topic: str, stream: bool = True) -> DataFrame:
+    def read(self, topic: str, stream: bool = True, bounded: bool = True) -> DataFrame:
+        """A topic's texts; unless ``bounded``, a micro-batch takes all that is there."""
+        limits = ("maxoffsetspertrigger", "maxfilespertrigger")
+        own = {k: v for k, v in self.source_options.items() if bounded or k.lower() not in limits}
         if self.kafka is not None:
-            options = {"maxOffsetsPerTrigger": MAX_RECORDS, **self.kafka, **self.source_options, "subscribe": topic}
+            options = {**({"maxOffsetsPerTrigger": MAX_RECORDS} if bounded else {}), **self.kafka, **own, "subscribe": topic}
             return topics.read_topic(self.spark, "kafka", stream=stream, options=options)
-        options = {"maxFilesPerTrigger": MAX_FILES, **self.source_options}
+        options = {**({"maxFilesPerTrigger": MAX_FILES} if bounded else {}), **own}
         raw = topics.read_topic(self.spark, "text", self.topic_path(topic), stream=stream, options=options)
         return raw.select("value", F.get_json_object("value", "$.seq").try_cast("bigint").alias("seq"))
 
@@ -144,6 +147,11 @@ class Warehouse:
             return changes
         return config_log.with_snapshot(initial.withColumn("op", F.lit("r")), changes, self.rule_order)
 
+    def rules(self, topic: str, key: Sequence[str]) -> config_log.RuleStore:
+        return config_log.RuleStore(
+            self.spark, f"{self.root}/rules/{topic}", key, self.rule_order, self.rule_snapshots.get(topic)
+        )
+
     @property
     def rule_order(self) -> tuple[str, ...]:
         return ("partition", "offset") if self.kafka is not None else ("seq",)
@@ -237,16 +245,40 @@ def _to_table(table: str, *steps: Callable[[Warehouse, DataFrame], DataFrame]) -
     return step
 
 
-def _keep_dimensions(w: Warehouse, batch: DataFrame, batch_id: int) -> None:
-    write = w.store.write_batch(
-        lambda: w.rule_changes(DIM_RULE_TOPIC, schemas.DIM_RULE), w.arrival.order, w.rule_order
-    )
-    write(batch, batch_id)
+def _with_rules(topic: str, row: T.StructType) -> Callable[[Warehouse], DataFrame]:
+    """Change records in ``record`` and rule changes in ``rule``, as one stream: every rule change is read once."""
+
+    def stream(w: Warehouse) -> DataFrame:
+        records = _changes(w).select(F.struct("*").alias("record"))
+        changed = config_log.dated(w.read(topic, bounded=False), row, *w.rule_order).select(F.struct("*").alias("rule"))
+        return records.unionByName(changed, allowMissingColumns=True)
+
+    return stream
+
+
+def _by_rules(
+    topic: str, key: Sequence[str], use: Callable[[Warehouse, DataFrame, DataFrame, DataFrame, int], None]
+) -> Step:
+    """Splits a micro-batch into records and rule changes, and hands on the rule versions that its records may meet."""
+
+    def step(w: Warehouse, batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            changed = kept.filter("rule is not null").select("rule.*")
+            versions = w.rules(topic, key).take(changed, batch_id)
+            use(w, kept.filter("record is not null").select("record.*"), changed, versions, batch_id)
+        finally:
+            kept.unpersist()
+
+    return step
 
 
-def _route_facts(w: Warehouse, batch: DataFrame) -> DataFrame:
-    changes = w.rule_changes(FACT_RULE_TOPIC, schemas.FACT_RULE)
-    return detail.routed_facts(batch, config_log.rules(changes, config_log.FACT_KEY, w.rule_order))
+def _keep_dimensions(w: Warehouse, records: DataFrame, changed: DataFrame, versions: DataFrame, batch_id: int) -> None:
+    w.store.write_live(records, changed, versions, w.arrival.order, w.rule_order, F.col("ts") * 1000, batch_id)
+
+
+def _route_facts(w: Warehouse, records: DataFrame, _: DataFrame, versions: DataFrame, batch_id: int) -> None:
+    w.write_topics(detail.routed_facts(records, versions, at=F.col("ts") * 1000), "dwd_base_db", batch_id)
 
 
 def _paid_lines(w: Warehouse) -> DataFrame:
@@ -269,12 +301,16 @@ def _sku_dims(w: Warehouse, batch: DataFrame) -> dict[str, DataFrame]:
 
 
 JOBS: dict[str, Job] = {
-    "dim_app": Job(_changes, _keep_dimensions),
+    "dim_app": Job(
+        _with_rules(DIM_RULE_TOPIC, schemas.DIM_RULE), _by_rules(DIM_RULE_TOPIC, config_log.DIM_KEY, _keep_dimensions)
+    ),
     "dwd_base_log": Job(
         lambda w: detail.log_records(topics.all_logs(w.read(LOG_TOPIC), *w.kept), w.arrival),
         _to_topics("dwd_base_log"),
     ),
-    "dwd_base_db": Job(_changes, _to_topics("dwd_base_db", _route_facts)),
+    "dwd_base_db": Job(
+        _with_rules(FACT_RULE_TOPIC, schemas.FACT_RULE), _by_rules(FACT_RULE_TOPIC, config_log.FACT_KEY, _route_facts)
+    ),
     "dwd_interaction_comment_info": Job(
         lambda w: project.comments(_changes(w)),
         _to_topics(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,9 +46,9 @@ def page_rows(pages: DataFrame, *keep: str) -> DataFrame:
     return pages.select("common.*", "page.*", "ts", *keep)
 
 
-def routed_facts(changes: DataFrame, rules: DataFrame, *keep: str) -> DataFrame:
-    """Simple facts as ``(topic, value)``, by the rules of table and change type."""
-    return routing.topic_records(routing.route_facts(changes, rules, *keep), *keep)
+def routed_facts(changes: DataFrame, rules: DataFrame, *keep: str, at: Column | None = None) -> DataFrame:
+    """Simple facts as ``(topic, value)``, by the rules of table and change type; with ``at``, by their versions of that moment."""
+    return routing.topic_records(routing.route_facts(changes, rules, *keep, at=at), *keep)
 
 
 def comment_facts(changes: DataFrame, dictionary: DataFrame) -> DataFrame:

@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivermill.operators import clean, routing, upsert
-from rivermill.sources import config_log
+from rivermill.sources import config_log, tables
 
 
-def dimension_rows(changes: DataFrame, rules: DataFrame, *keep: str) -> DataFrame:
-    """Clean, routed and pruned dimension rows ``(sink_table, row_key, type, data)``."""
-    return routing.route_dimensions(clean.clean_dimension_changes(changes), rules, *keep)
+def dimension_rows(changes: DataFrame, rules: DataFrame, *keep: str, at: Column | None = None) -> DataFrame:
+    """Clean, routed and pruned dimension rows ``(sink_table, row_key, type, data)``; with ``at``, by the versions of that moment."""
+    return routing.route_dimensions(clean.clean_dimension_changes(changes), rules, *keep, at=at)
 
 
 def dimension_state(changes: DataFrame, rules: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -64,6 +63,22 @@ class DimensionStore:
 
         return write
 
+    def write_live(
+        self, batch: DataFrame, rule_changes: DataFrame, versions: DataFrame, order: Sequence[str], rule_order: Sequence[str],
+        at: Column, batch_id: int,
+    ) -> None:
+        """Writes a micro-batch by the rule versions in force ``at`` each record's moment.
+
+        ``rule_changes`` are those of the micro-batch (``config_log.dated``). A rule that drops a table inside it takes the
+        table's rows of earlier moments with it, those of the same micro-batch too.
+        """
+        self.apply_rules(rule_changes, rule_order, batch_id)
+        moment = F.coalesce(at, F.lit(routing.BEGINNING))
+        rows = dimension_rows(batch.withColumn("_moment", moment), versions, *order, "_moment", at=F.col("_moment"))
+        ended = config_log.dropped_tables(rule_changes, ["since"]).groupBy("sink_table").agg(F.max("moment.since").alias("_ended"))
+        kept = rows.join(ended, "sink_table", "left").filter(F.col("_ended").isNull() | (F.col("_moment") >= F.col("_ended")))
+        self._append(kept.drop("_ended", "_moment").withColumn("moment", F.struct(*order)), batch_id)
+
     def apply_rules(self, changes: DataFrame, order: Sequence[str], batch_id: int) -> None:
         """Records the tables that rule changes drop or make anew, each change once.
 
@@ -83,7 +98,7 @@ class DimensionStore:
 
     def state(self, columns: Sequence[str], sink_table: str | None = None) -> DataFrame:
         """Folded rows; for one table only its own directories are read. Before the first batch there are none."""
-        rows = _read(self.spark, self.rows_path)
+        rows = tables.stored(self.spark, self.rows_path)
         if rows is None:
             texts = ", ".join(f"`{c}` string" for c in ("sink_table", "row_key", *columns))
             return self.spark.createDataFrame([], texts)
@@ -92,7 +107,7 @@ class DimensionStore:
         return upsert.fold_dimensions(rows, ["batch", "moment"], columns, self._drops(rows))
 
     def _recorded_drops(self) -> DataFrame | None:
-        return _read(self.spark, self.drops_path)
+        return tables.stored(self.spark, self.drops_path)
 
     def _drops(self, rows: DataFrame) -> DataFrame | None:
         drops = self._recorded_drops()
@@ -142,7 +157,7 @@ class BucketedStore(DimensionStore):
 
     def index(self, version: int | None = None) -> dict[tuple[str, int], int]:
         """The version that holds each bucket's rows, as of ``version`` (the last one if none is named)."""
-        written = _read(self.spark, self.index_path)
+        written = tables.stored(self.spark, self.index_path)
         if written is None:
             return {}
         asked = written if version is None else written.filter(F.col("version") <= version)
@@ -165,7 +180,7 @@ class BucketedStore(DimensionStore):
             ).parquet(out)
         finally:
             placed.unpersist()
-        filled = _read(self.spark, out)
+        filled = tables.stored(self.spark, out)
         now = set() if filled is None else {tuple(r) for r in filled.select("sink_table", "bucket").distinct().collect()}
         held = {place: version for place, version in held.items() if place not in touched} | dict.fromkeys(now, batch_id)
         # A version without any rows has one row without a table.
@@ -223,15 +238,5 @@ class BucketedStore(DimensionStore):
 STORED = "row_key string, data map<string, string>, version bigint, sink_table string, bucket int"
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``; None if nothing was written there yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def rules_in_force(envelopes: DataFrame, order: Sequence[str]) -> DataFrame:
     return config_log.rules(envelopes, config_log.DIM_KEY, order)

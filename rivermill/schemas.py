@@ -40,10 +40,11 @@ FACT_RULE = _texts("source_table", "source_type", "sink_table", "sink_columns")
 
 
 def envelope(row: T.StructType) -> T.StructType:
-    """Change envelope ``{op, before, after}`` around a configuration row."""
+    """Change envelope ``{op, ts_ms, before, after}`` around a configuration row."""
     return T.StructType(
         [
             T.StructField("op", T.StringType()),
+            T.StructField("ts_ms", T.StringType()),
             T.StructField("before", row),
             T.StructField("after", row),
         ]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # Fixed names of the dimension tables the aggregates read.
@@ -27,3 +28,13 @@ def read_dimensions(
     spark: SparkSession, root: str, tables: Iterable[str], fmt: str = "parquet"
 ) -> dict[str, DataFrame]:
     return {table: read_dimension(spark, root, table, fmt) for table in tables}
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``; None if nothing was written there yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise

@@ -511,3 +511,84 @@ def test_sinks(spark, tmp_path):
 def test_topic_reader(spark, tmp_path):
     spark.createDataFrame([("a",), (" ",), ("b",)], "value string").write.text(str(tmp_path / "t"))
     assert rows(topics.read_topic(spark, "text", str(tmp_path / "t"))) == [("a",), ("b",)]
+
+
+def _dated(spark, entries):
+    log = [dict(envelope(op, row if op == "d" else None, None if op == "d" else row), ts_ms=at) for op, row, at in entries]
+    return config_log.dated(texts(spark, log), schemas.FACT_RULE, "seq")
+
+
+def _fact_rule(table, sink):
+    return {"source_table": table, "source_type": "insert", "sink_table": sink, "sink_columns": "id"}
+
+
+def test_rule_versions_split_a_batch(spark, tmp_path):
+    """Records meet the rules of their own moment; every change is taken once; a repeated batch gives what it gave."""
+    initial = spark.createDataFrame([tuple(_fact_rule("t", "first").values())], "source_table string, source_type string, sink_table string, sink_columns string")
+    store = config_log.RuleStore(spark, str(tmp_path / "rules"), config_log.FACT_KEY, ["seq"], initial)
+
+    def routed(entries, moments, batch_id):
+        versions = store.take(_dated(spark, entries), batch_id)
+        records = dim_changes(spark, *[dict(change("t", "insert", id=str(m)), ts=m) for m in moments])
+        out = routing.route_facts(records, versions, at=F.col("ts") * 1000)
+        return [(int(i), t) for i, t in sorted(rows(out.select(F.col("data")["id"].alias("id"), "sink_table")), key=lambda r: int(r[0]))]
+
+    assert routed([], [1, 2], 0) == [(1, "first"), (2, "first")]
+    changes = [("u", _fact_rule("t", "second"), 10_000), ("d", _fact_rule("t", "second"), 20_000), ("c", _fact_rule("t", "third"), 30_000)]
+    want = [(9, "first"), (10, "second"), (19, "second"), (30, "third")]
+    assert routed(changes, [9, 10, 19, 20, 29, 30], 1) == want
+    assert routed(changes, [9, 10, 19, 20, 29, 30], 1) == want
+    # A late record meets what is in force when it arrives; of changes of one moment the last counts.
+    same = [("u", _fact_rule("t", "lost"), 50_000), ("u", _fact_rule("t", "kept"), 50_000), ("c", _fact_rule("s", "x"), None)]
+    assert routed(same, [5, 49, 50], 2) == [(5, "third"), (49, "third"), (50, "kept")]
+    assert routed([("d", _fact_rule("t", "kept"), None)], [60], 3) == [] and routed([], [61], 4) == []
+    assert rows(store.state().filter("op <> 'd'"), "source_table", "sink_table") == [("s", "x")]
+    assert rows(store.state(3).filter("op <> 'd'"), "source_table", "sink_table") == [("s", "x"), ("t", "kept")]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rule_versions_equal_a_fold_record_by_record(spark, tmp_path, seed):
+    """Random changes and records in random cuts against a dictionary that follows them in order of moments."""
+    pick = random.Random(seed)
+    store = config_log.RuleStore(spark, str(tmp_path / "rules"), config_log.FACT_KEY, ["seq"])
+    force, want, got, moment = {}, [], [], 0
+    for batch_id in range(3):
+        entries, moments = [], []
+        for _ in range(25):
+            moment += 1
+            if pick.random() < 0.4:
+                rule = _fact_rule(pick.choice("ab"), f"out{moment}")
+                op = pick.choice("ccud")
+                entries.append((op, rule, moment * 1000))
+                force.pop(rule["source_table"], None)
+                if op != "d":
+                    force[rule["source_table"]] = rule["sink_table"]
+            else:
+                name = pick.choice("abc")
+                moments.append((name, moment))
+                if name in force:
+                    want.append((str(moment), force[name]))
+        records = dim_changes(spark, *[dict(change(n, "insert", id=str(m)), ts=m) for n, m in moments])
+        versions = store.take(_dated(spark, entries), batch_id)
+        out = routing.route_facts(records, versions, at=F.col("ts") * 1000)
+        got += rows(out.select(F.col("data")["id"].alias("id"), "sink_table"))
+    assert sorted(got) == sorted(want)
+
+
+def test_live_rules_drop_a_dimension_inside_a_batch(spark, tmp_path):
+    store = dimensions.BucketedStore(spark, str(tmp_path / "store"), buckets=4)
+    held = config_log.RuleStore(spark, str(tmp_path / "rules"), config_log.DIM_KEY, ["seq"])
+    row = {"source_table": "t", "sink_table": "dim_t", "sink_columns": "id,a", "sink_family": "i", "sink_row_key": "id"}
+
+    def write(entries, records, batch_id):
+        log = [dict(envelope(op, None, row), ts_ms=at) for op, at in entries]
+        changed = config_log.dated(texts(spark, log), schemas.DIM_RULE, "seq")
+        made = dim_changes(spark, *[dict(change("t", "insert", id=i, a=a), ts=at) for i, a, at in records])
+        store.write_live(made, changed, held.take(changed, batch_id), ["seq"], ["seq"], F.col("ts") * 1000, batch_id)
+
+    write([("r", None)], [("1", "x", 1), ("2", "y", 2)], 0)
+    write([], [("2", "z", 3)], 1)
+    assert rows(store.table("dim_t", ["a"])) == [("1", "x"), ("2", "z")]
+    for _ in range(2):
+        write([("u", 10_000)], [("3", "before", 9), ("4", "after", 10)], 2)
+        assert rows(store.table("dim_t", ["a"])) == [("4", "after")]

@@ -126,6 +126,15 @@ SELECT 't' || CAST(o_custkey AS VARCHAR) AS source_table, 'dim_' || substr(o_ord
 FROM r WHERE rn = 1 AND o_orderstatus <> 'F'
 """
 
+ORACLE["dated_rule_routes"] = """
+WITH day AS (SELECT *, CAST(o_orderdate AS DATE) AS d FROM orders),
+v AS (SELECT *, lead(d) OVER (PARTITION BY o_custkey ORDER BY d, o_orderkey) AS until FROM day)
+SELECT 'dim_' || substr(v.o_orderpriority, 1, 1) AS sink_table, CAST(r.o_orderkey AS VARCHAR) AS row_key,
+  CAST(r.o_orderkey AS VARCHAR) || ',' || r.o_orderpriority AS data
+FROM day r JOIN v ON r.o_custkey = v.o_custkey AND v.d <= r.d + 30 AND (v.until IS NULL OR r.d + 30 < v.until)
+WHERE v.o_orderstatus <> 'F'
+"""
+
 ORACLE["order_topic_read"] = f"""
 WITH {LN}
 SELECT id, order_id, sku_id, CAST(cnt AS VARCHAR) AS sku_num, CAST(price AS VARCHAR) AS split_total_amount,

@@ -92,6 +92,16 @@ def config_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_force.select("source_table", "sink_table", "sink_columns", "sink_row_key")
 
 
+@query
+def dated_rule_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dimension rows by the rule that was in force at each record's moment."""
+    changes = config_log.dated(s.dated_rule_envelopes(spark, sf_dir), schemas.DIM_RULE, "o_orderkey")
+    versions = config_log.versions(None, changes, config_log.DIM_KEY, ["o_orderkey"])
+    records = topics.changes(s.dated_records(spark, sf_dir))
+    rows = dimensions.dimension_rows(records, versions, at=F.col("ts") * 1000)
+    return rows.select("sink_table", "row_key", F.array_join(F.map_values("data"), ",").alias("data"))
+
+
 @query
 def order_topic_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order facts read back from the texts of their keyed topic, tombstones skipped."""

@@ -404,6 +404,28 @@ def rule_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", F.to_json(record).alias("value"))
 
 
+def dated_rule_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same envelopes with the moment of their order's day."""
+    days = table(spark, sf_dir, "orders").select("o_orderkey", _day_seconds(0).alias("at"))
+    dated = rule_envelopes(spark, sf_dir).join(days, "o_orderkey")
+    stamp = F.concat(F.lit('{"ts_ms":'), (F.col("at") * 1000).cast(TEXT), F.lit(","), F.expr("substring(value, 2)"))
+    return dated.select("o_orderkey", stamp.alias("value"))
+
+
+def dated_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A change record for each order, thirty days after it, in the table that the customer's rules speak of."""
+    record = F.struct(
+        F.lit(DATABASE).alias("database"), F.concat(F.lit("t"), F.col("o_custkey").cast(TEXT)).alias("table"),
+        F.lit("insert").alias("type"), _day_seconds(30).alias("ts"),
+        F.struct(F.col("o_orderkey").cast(TEXT).alias("id"), F.col("o_orderpriority").alias("name"), F.lit("x").alias("secret")).alias("data"),
+    )
+    return table(spark, sf_dir, "orders").select(F.to_json(record).alias("value"))
+
+
+def _day_seconds(later: int) -> Column:
+    return (F.unix_date(F.to_date("o_orderdate")) + later).cast("bigint") * 86_400
+
+
 def dimension_drops(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """Moments at which rule changes drop the dimension tables, as arrival columns of ``rows``; one table twice."""
     days = [("dim_sku_info", "1995-06-01"), ("dim_sku_info", "1997-01-01"), ("dim_spu_info", "1996-03-01")]
