@@ -14,7 +14,8 @@ log(delta / strata) / log(1 - risk) good labels in that half: 144 with four stra
 Defined cases: a null text has no words (base rule fails); a null stratum is a stratum of its own; labels that are null or
 whose document is missing are ignored; a document labelled twice counts as bad if any label says so; in strata without
 cutoffs only the base rule rejects. Repeated rows are judged alike; with labels they count once per row. Without labels only
-the base rule works. The number of strata has no limit: cutoffs are a table that Spark joins by its size.
+the base rule works. The number of strata has no limit: cutoffs are a
+table that goes to every task if it is small, and is shuffled beyond ``NEAR`` rows.
 """
 
 from __future__ import annotations
@@ -53,6 +54,8 @@ RULES = {
 STEPS = 40
 #: Steps from rejecting nothing to the proposed cutoffs.
 PATH = 8
+#: Tables of strata of at most so many rows, which are counted first, go to every task; larger ones are shuffled.
+NEAR = 100_000
 
 
 def _count(text: Column, drop: str) -> Column:
@@ -164,6 +167,10 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k < n * p, F.least(F.lit(1.0), F.exp(log_top) * total)).otherwise(1.0)
 
 
+def _by_size(table: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(table) if rows <= NEAR else table
+
+
 def _proposed(half: DataFrame, setting: Risk) -> DataFrame:
     """One row per stratum of ``half`` with each rule's cutoff as ``_at_<rule>``, null for none.
 
@@ -193,7 +200,7 @@ def thresholds(labelled: DataFrame, stratum: str, setting: Risk = Risk()) -> Dat
     ))
     proposed = cut(_proposed(binned.filter("_proposes"), setting))
     strata = max(1, proposed.count())
-    names = proposed.withColumnRenamed("_stratum", "_name")
+    names = _by_size(proposed.withColumnRenamed("_stratum", "_name"), strata)
     holdout = binned.filter("not _proposes").join(names, F.col("_stratum").eqNullSafe(F.col("_name")))
     # At step j a rule's cutoff is ceil(at * j / PATH): the first step that rejects a row, PATH + 1 or more for none.
     step = F.least(*[F.coalesce(F.floor((F.col(f"_{r}") - 1) * PATH / F.col(f"_at_{r}")) + 1, F.lit(PATH + 1)) for r in RULES])
@@ -230,7 +237,8 @@ def labels_once(labels: DataFrame) -> DataFrame:
 
 
 def verdict(measured: DataFrame, cuts: DataFrame, stratum: str) -> DataFrame:
-    """Adds ``base_failed`` and ``kept``. ``cuts`` has a row per stratum; Spark broadcasts it if its size allows."""
+    """Adds ``base_failed`` and ``kept``. ``cuts`` has a row per stratum, kept as a table."""
+    cuts = _by_size(cuts, cuts.count())
     joined = measured.join(cuts, measured[stratum].eqNullSafe(cuts["_stratum"]), "left")
     rejected = [
         F.coalesce(b <= F.col(f"_cut_{rule}"), F.lit(False)) for rule, b in zip(RULES, _bins(), strict=True)
@@ -250,7 +258,7 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", setting: Ri
     measured = cut(measures(docs.select("doc_id", stratum, "text")).select("doc_id", stratum, *NARROW))
     known = labels_once(labels)
     labelled = measured.join(known, measured["doc_id"] == known["_label_id"])
-    return verdict(measured, thresholds(labelled, stratum, setting), stratum)
+    return verdict(measured, cut(thresholds(labelled, stratum, setting)), stratum)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", setting: Risk = Risk()) -> DataFrame:
