@@ -36,21 +36,24 @@ def fold_dimensions(
     value of a column survives exactly when it is newer than the row's last delete, so one combining
     aggregate answers it, with no sort of a row's history and one partial row per key and task.
     ``dropped`` gives ``(sink_table, moment)``: rows before ``moment`` (a struct of the order
-    columns) were lost when the table was dropped.
+    columns) were lost when the table was dropped. It is reduced to a row per dimension table and goes to every task:
+    a shuffle by table would put a whole dimension into one of them.
     """
     key = ["sink_table", "row_key"]
     moment = F.struct(*[F.col(c) for c in order])
     removes = F.coalesce(F.col("type") == "delete", F.lit(False))
+    # Only the values asked for go on, not the whole record.
+    values = {c: f"_value{place}" for place, c in enumerate(columns)}
     tagged = rows.filter(F.col("row_key").isNotNull()).select(
-        *key, moment.alias("_at"), removes.alias("_removes"), "data"
+        *key, moment.alias("_at"), removes.alias("_removes"), *[F.col("data")[c].alias(v) for c, v in values.items()]
     )
     if dropped is not None:
         barrier = dropped.groupBy("sink_table").agg(F.max("moment").alias("_barrier"))
         lost = F.coalesce(F.col("_at") < F.col("_barrier"), F.lit(False))
-        tagged = tagged.join(barrier, "sink_table", "left").filter(~lost).drop("_barrier")
+        tagged = tagged.join(F.broadcast(barrier), "sink_table", "left").filter(~lost).drop("_barrier")
 
     def newest(column: str) -> Column:
-        value = F.col("data")[column]
+        value = F.col(values[column])
         put = ~F.col("_removes") & value.isNotNull()
         return F.max(F.when(put, F.struct("_at", value.alias("_value")))).alias(column)
 
