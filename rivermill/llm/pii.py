@@ -5,18 +5,17 @@ overlap: addresses with "at" and "dot" spelled out, numbers with other separator
 brackets. Trees score a candidate by features of its form and of the text around it. A candidate past the threshold of its
 kind is a span too, unless it touches a base span or a better candidate.
 
-Trees and thresholds are trained on a bounded sample: at most ``TRAIN_DOCS`` distinct texts, by hash, and at most
-``TRAIN_ROWS`` candidates of them, half in each half of the texts, where texts take turns. Positives are base spans, as found and in respelled forms; negatives are
-candidates that touch no base span, and base spans spoilt (wrong check digit, part beyond 255, too many digits). Half of the
-texts fit the trees. On the other half each kind gets the lowest threshold at which false candidates are at most
-``FALSE_SHARE`` of what passes, by the exact binomial bound at ``LEVEL``, where copies of a text count once and the
-candidates of a text count each; thresholds are at least ``LEAST_SCORE``, and a kind
-without one adds nothing.
+Trees and thresholds are learnt from all distinct texts, half of which, by hash, fit the trees. Positives are base spans, as
+found and in respelled forms; negatives are candidates that touch no base span, and base spans spoilt (wrong check digit, part
+beyond 255, too many digits). On the other half each kind gets the lowest threshold of a fine fixed grid at which false
+candidates are at most ``FALSE_SHARE`` of what passes, by the exact binomial bound at ``LEVEL``, where copies of a text count
+once and the candidates of a text count each; thresholds are at least ``LEAST_SCORE``, and a kind without one adds nothing.
+Tasks sum gradients and count candidates by score, so the driver holds one histogram whatever the number of documents.
 All documents are searched in whole.
 
 Defined cases: a null or empty text has no spans; a text of one long run of digits or signs takes time in proportion to
 its length, and one of very many spans hardly more; spelled addresses have any length and number of parts; spans of different
-kinds may overlap; repeated rows give equal spans; without base spans in the sample
+kinds may overlap; repeated rows give equal spans; without base spans to learn from
 only the base rules work.
 """
 
@@ -28,7 +27,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate
+from itertools import accumulate, islice
 from random import Random
 
 import numpy as np
@@ -38,16 +37,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from rivermill.llm.boosting import Boosted, fit
-from rivermill.llm.common import map_texts
+from rivermill.llm.boosting import Boosted, fit, fit_table, matrix
+from rivermill.llm.common import kept, map_texts
 
 KINDS = ("email", "ip", "card", "phone")
-TRAIN_DOCS = 20_000
-TRAIN_ROWS = 20_000
 FALSE_SHARE = 0.02
 LEAST_SCORE = 0.9
 LEVEL = 0.05
 SEED = 7
+HANDED_ON = 10_000  # examples at a time
+#: Thresholds that are tried: even steps of the log-odds.
+GRID = np.unique(np.append(0.0, 1 / (1 + np.exp(-np.arange(-16 * 128, 36 * 128) / 128))))
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -264,61 +264,94 @@ class Detector:
         return base, sorted(base + taken)
 
 
-def _log_tail(k: int, n: int, p: float) -> float:
-    """P(Binomial(n, p) <= k)."""
-    logs = [
-        math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)
-        for i in range(k + 1)
-    ]
-    return sum(map(math.exp, logs))
+def _tail(k: int, n: int, p: float) -> float:
+    """P(Binomial(n, p) <= k) for k <= n p; terms below 1e-30 of the largest are left out."""
+    top = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p)
+    i = np.arange(k, max(0, k - 64 - int(12 * math.sqrt(n * p))), -1, dtype=float)
+    return float(np.exp(top + np.append(0.0, np.cumsum(np.log(i * (1 - p) / ((n - i + 1) * p))))).sum())
 
 
-def threshold(scores: np.ndarray, labels: np.ndarray, share: float = FALSE_SHARE, level: float = LEVEL) -> float:
-    """The lowest score such that all thresholds down to it keep false candidates at most ``share``; 2 for none."""
-    order = np.argsort(-scores, kind="stable")
-    wrong = np.cumsum(1 - labels[order])
-    last = np.append(scores[order][1:] != scores[order][:-1], True) if len(order) else np.zeros(0, bool)
+def _lowest(scores: np.ndarray, counts: np.ndarray, wrong: np.ndarray, share: float, level: float) -> float:
+    """As ``threshold``, of distinct scores, highest first, with the candidates and the false ones of each."""
     best = 2.0
-    for place in np.flatnonzero(last):
-        n, k = int(place) + 1, int(wrong[place])
-        if k <= share * n and _log_tail(k, n, share) <= level:
-            best = float(scores[order][place])
+    for score, n, k in zip(scores.tolist(), np.cumsum(counts).tolist(), np.cumsum(wrong).tolist(), strict=True):
+        if k <= share * n and _tail(k, n, share) <= level:
+            best = score
         elif best < 2:
             break
     return max(best, LEAST_SCORE)
 
 
-def train(docs: DataFrame, most_docs: int = TRAIN_DOCS, most_rows: int = TRAIN_ROWS) -> Detector:
-    """Fits and calibrates on a bounded sample of ``docs``."""
-    schema = StructType.fromDDL("hash bigint, label int, features array<double>")
-    arrow = to_arrow_schema(schema)
+def threshold(scores: np.ndarray, labels: np.ndarray, share: float = FALSE_SHARE, level: float = LEVEL) -> float:
+    """The lowest score such that all thresholds down to it keep false candidates at most ``share``; 2 for none."""
+    values, place = np.unique(-scores, return_inverse=True)
+    counts = np.bincount(place, minlength=len(values))
+    return _lowest(-values, counts, np.bincount(place[labels == 0], minlength=len(values)), share, level)
+
+
+def _thresholds(held: DataFrame, model: Boosted) -> tuple[float, ...]:
+    """``threshold`` of each kind over all rows of ``held``, with the steps of ``GRID`` as scores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [
-                (h.as_py(), label, found)
-                for h, text in zip(batch.column(0), batch.column(1), strict=True)
-                for found, label in examples(text.as_py())
-            ]
-            if rows:
-                columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+            rows, labels = matrix(batch.column(0), WIDTH), batch.column(1).to_numpy()
+            step = np.searchsorted(GRID, model(rows), side="right") - 1
+            key, place = np.unique(rows[:, : len(KINDS)].argmax(axis=1) * len(GRID) + step, return_inverse=True)
+            columns = [key, np.bincount(place), np.bincount(place[labels == 0], minlength=len(key))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["key", "n", "wrong"])
+
+    counted = held.select("features", "label").mapInArrow(run, "key bigint, n bigint, wrong bigint")
+    summed = counted.groupBy("key").agg(F.sum("n"), F.sum("wrong")).toArrow()
+    found = np.array(sorted(zip(*(c.to_pylist() for c in summed.columns), strict=True), reverse=True), np.int64).reshape(-1, 3)
+    out = []
+    for kind in range(len(KINDS)):
+        own = found[found[:, 0] // len(GRID) == kind]
+        out.append(_lowest(GRID[own[:, 0] % len(GRID)], own[:, 1], own[:, 2], FALSE_SHARE, LEVEL))
+    return tuple(out)
+
+
+def _taught(docs: DataFrame) -> DataFrame:
+    """What every distinct text teaches: its hash and sha256, and place, label and features (doubles as bytes) of each example."""
+    schema = StructType.fromDDL("hash bigint, name binary, place int, label int, features binary")
+    arrow = to_arrow_schema(schema)
+
+    def taught(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            for h, text in zip(batch.column(0), batch.column(1), strict=True):
+                name = hashlib.sha256(text.as_py().encode()).digest()
+                for place, (found, label) in enumerate(examples(text.as_py())):
+                    yield h.as_py(), name, place, label, np.array(found, "<f8").tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = taught(batches)
+        while some := list(islice(rows, HANDED_ON)):
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*some, strict=True), arrow, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     read = docs.select(F.xxhash64(F.lit(SEED), docs["text"]).alias("hash"), docs["text"]).filter("text is not null")
-    # Copies are one text: neither the sample nor the calibration counts them more than once.
-    bound = read.select("hash").distinct().orderBy("hash").limit(most_docs).agg(F.max("hash")).first()[0]
-    if bound is None:
+    # Copies are one text: neither trees nor thresholds count them more than once.
+    return read.mapInArrow(run, schema).distinct()
+
+
+def train(docs: DataFrame, most_rows: int | None = None) -> Detector:
+    """Fits and calibrates on all of ``docs``; with ``most_rows``, for a quick look, on so many rows, for which texts take turns."""
+    if most_rows is not None:
+        return _quick(_taught(docs), most_rows)
+    taught = kept(_taught(docs), "taught")
+    fits = (F.col("hash").bitwiseAND(F.lit(1)) == 0).alias("fits")
+    if taught.filter(fits).select("label").distinct().count() < 2:
         return Detector(None, ())
-    sampled = read.filter(F.col("hash") <= F.lit(bound)).groupBy("hash").agg(F.first("text").alias("text"))
+    model = fit_table(taught.filter(fits), WIDTH)
+    return Detector(model, _thresholds(taught.filter(~fits), model))
+
+
+def _quick(taught: DataFrame, most_rows: int) -> Detector:
     # Texts take turns, so that a text of many spans displaces no other; the halves get equal shares of the rows.
     turns = Window.partitionBy("hash").orderBy(F.xxhash64("label", "features"), "label", "features")
-    taught = sampled.mapInArrow(run, schema).withColumn("turn", F.row_number().over(turns))
     places = Window.partitionBy(F.col("hash").bitwiseAND(F.lit(1))).orderBy("turn", "hash")
-    taken = taught.withColumn("place", F.row_number().over(places)).filter(F.col("place") <= most_rows // 2)
-    table = taken.orderBy("turn", "hash").toArrow()
-    if not table.num_rows:
-        return Detector(None, ())
-    rows = np.array(table["features"].to_pylist())
+    taken = taught.withColumn("turn", F.row_number().over(turns)).withColumn("nth", F.row_number().over(places))
+    table = taken.filter(F.col("nth") <= most_rows // 2).orderBy("turn", "hash").toArrow()
+    rows = matrix(table["features"], WIDTH)
     labels, fold = np.array(table["label"]), np.array(table["hash"]) & 1
     if len(set(labels[fold == 0])) < 2:
         return Detector(None, ())

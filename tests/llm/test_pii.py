@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -182,3 +183,37 @@ def test_recall_on_respelled_spans_of_held_out_documents(spark, detector):
     certified = [k for k in range(4) if detector.thresholds[k] <= 1 and asked[k] >= 10]
     print("found", met, "of", asked, "certified", certified, detector.thresholds)
     assert certified and all(met[k] >= 0.8 * asked[k] for k in certified)
+
+
+def test_training_counts_every_text(spark, monkeypatch):
+    """More texts than any bound teach: trees and thresholds see the rows of all of them, copies once."""
+    seen = []
+    learn, calibrate = pii.fit_table, pii._thresholds
+    monkeypatch.setattr(pii, "fit_table", lambda rows, width: seen.append(rows.count()) or learn(rows, width, rounds=2))
+    monkeypatch.setattr(pii, "_thresholds", lambda held, model: seen.append(held.count()) or calibrate(held, model))
+    text = F.concat(F.lit("the host of n"), (F.col("id") % 24_000).cast("string"), F.lit("x is 10.0.0.1 here"))
+    detector = pii.train(spark.range(25_000).select(F.col("id").alias("doc_id"), text.alias("text")))
+    assert sum(seen) == 3 * 24_000 and min(seen) > 30_000 and detector.model is not None
+
+
+def test_trees_of_a_table_are_those_of_its_rows(spark):
+    rng = np.random.default_rng(1)
+    rows = np.round(rng.normal(size=(900, 5)), 2)
+    rows[:, 3] = 1
+    labels = ((rows[:, 1] > 0) ^ (rows[:, 4] > 0.3)).astype(int)
+    table = spark.createDataFrame([(r.tobytes(), int(y)) for r, y in zip(rows, labels)], "features binary, label int")
+    ours, plain = boosting.fit_table(table.repartition(5), 5, rounds=3), boosting.fit(rows, labels, rounds=3)
+    assert (ours(rows) == plain(rows)).all() and len(set(plain(rows))) > 5
+
+
+def test_thresholds_by_steps_are_those_of_scores(spark):
+    rng = np.random.default_rng(2)
+    rows = np.zeros((4000, pii.WIDTH))
+    rows[np.arange(4000), rng.integers(0, 3, 4000)] = 1
+    rows[:, 9] = pii.GRID[rng.integers(3000, 5000, 4000)]
+    labels = (rng.random(4000) < rows[:, 9] ** 0.1 + 0.01 * rows[:, 0]).astype(int)
+    table = spark.createDataFrame([(r.tobytes(), int(y)) for r, y in zip(rows, labels)], "features binary, label int")
+    want = [pii.threshold(rows[rows[:, k] == 1, 9], labels[rows[:, k] == 1]) for k in range(4)]
+    assert pii._thresholds(table.repartition(3), lambda r: r[:, 9]) == tuple(want) and want[3] == 2
+    tail = [math.comb(900, i) * 0.02**i * 0.98 ** (900 - i) for i in range(13)]
+    assert abs(pii._tail(12, 900, 0.02) / sum(tail) - 1) < 1e-9
