@@ -18,6 +18,17 @@ HAN = rf"{HAN_CHARACTER}+"
 LETTERS = rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{HAN_CHARACTER}]]+"
 
 
+def single_words(text: Column | str) -> Column:
+    """As ``atoms``, with every ideograph a word of its own: the words of a text without a dictionary."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.regexp_extract_all(F.lower(text), F.lit(f"({LETTERS}|{HAN_CHARACTER})"), F.lit(1))
+
+
+def explode_single_words(df: DataFrame, text: str, out: str = "keyword") -> DataFrame:
+    """One row per word of ``single_words``; a text without words stays as one row with a null word."""
+    return df.select(*[c for c in df.columns if c != text], F.explode_outer(single_words(text)).alias(out))
+
+
 def atoms(text: Column | str) -> Column:
     """All atoms of a text in order; an empty array for none, null for null."""
     text = F.col(text) if isinstance(text, str) else text

@@ -43,14 +43,24 @@ def home_detail(pages: DataFrame, arrival: Arrival, day: str | None = None) -> D
 def keyword_views(
     pages: DataFrame, day: str | None = None, dictionary: DataFrame | None = None
 ) -> DataFrame:
-    """Search words per window; a search without words counts once under a null word."""
-    return word_views(atom_views(pages, day), dictionary)
+    """Search words per window; a search without words counts once under a null word.
+
+    With a dictionary each distinct run of ideographs is split once, after it was counted. Without one an ideograph is a word, so
+    texts are cut into words at once and a single aggregate counts them.
+    """
+    if dictionary is not None:
+        return word_views(atom_views(pages, day), dictionary)
+    words = keywords.explode_single_words(_searches(pages), "item", "keyword")
+    return windows.tumble(words, ["keyword"], [F.count(F.lit(1)).alias("keyword_count")], day)
+
+
+def _searches(pages: DataFrame) -> DataFrame:
+    return with_log_time(clean.search_keywords(pages), delay=CHANGE_DELAY).select("row_time", "item")
 
 
 def atom_views(pages: DataFrame, day: str | None = None) -> DataFrame:
     """Views per window of the letter and ideograph runs of search texts."""
-    timed = with_log_time(clean.search_keywords(pages), delay=CHANGE_DELAY)
-    atoms = keywords.explode_atoms(timed.select("row_time", "item"), "item")
+    atoms = keywords.explode_atoms(_searches(pages), "item")
     return windows.tumble(atoms, ["atom"], [F.count(F.lit(1)).alias("views")], day)
 
 
