@@ -73,7 +73,10 @@ def order_changelog(
         changes = processors.fact_changes(rows, order, None if arrival.finite else retention_ms)
     else:
         owners = lines.filter(F.col("id").isNotNull()).select("id", "order_id").distinct()
-        records = skew.equi_join(owners, records.drop("id"), ["order_id"], rows_per_task=arrival.rows_per_task)
+        # Orders are counted on the lines as they come: owners, which are fewer, would be shuffled once more for it.
+        records = skew.equi_join(
+            owners, records.drop("id"), ["order_id"], rows_per_task=arrival.rows_per_task, left_counted=lines
+        )
         keyed = lines.filter(F.col("order_id").isNotNull()).unionByName(others).unionByName(records)
         changes = _changes_in_batch(keyed.filter(F.col("id").isNotNull()), order)
     return _typed_changes(changes, {"line": details, "info": infos, "activity": activities, "coupon": coupons}, order)

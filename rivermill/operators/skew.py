@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 ROWS_PER_TASK = 5_000_000
 MAX_HOT_KEYS = 1_000
 MAX_PIECES = 4_096
+BUCKETS = 65_536  # of keys, counted before the keys themselves
 BY_TIME = 60_000  # units of record time in a chunk
 
 
@@ -64,6 +65,18 @@ def hot_keys(
     )
 
 
+def _in_heavy_buckets(counted: DataFrame, keys: Sequence[str], rows_per_task: int, *counts: str) -> DataFrame:
+    """The rows of ``counted`` whose key may reach more than ``rows_per_task`` in any of ``counts``.
+
+    Keys are dealt into ``BUCKETS`` by a hash, and a bucket holds at least what each of its keys holds. So a task hands on a row
+    per bucket, not per key, and keys are counted only where a bucket is heavy; with none, adaptive execution drops that count.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).alias("_bucket")
+    summed = counted.groupBy(bucket).agg(*[F.sum(c).alias(c) for c in counts])
+    heavy = summed.filter(F.greatest(*[F.col(c) for c in counts], F.lit(0)) > rows_per_task).select("_bucket")
+    return counted.withColumn("_bucket", bucket).join(F.broadcast(heavy), "_bucket", "left_semi").drop("_bucket")
+
+
 def previous(
     df: DataFrame,
     keys: Sequence[str],
@@ -165,8 +178,9 @@ def equi_join(
         wanted = F.ceil(F.col(side) / rows_per_task)
         return F.greatest(F.lit(1), F.least(wanted, F.lit(MAX_PIECES))).cast("int").alias(side)
 
+    # The keys of a join are many and mostly light: counting each would shuffle them all.
     hot = F.broadcast(
-        counted.groupBy(*keys)
+        _in_heavy_buckets(counted, keys, rows_per_task, "_l", "_r").groupBy(*keys)
         .agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
         .filter((F.col("_l") > rows_per_task) | (F.col("_r") > rows_per_task))
         .orderBy(F.desc(F.greatest("_l", "_r")), *keys)
