@@ -165,21 +165,21 @@ def mixed(
     return mix(units, goals, seed)
 
 
+def _key(doc_id: Column, size: Column) -> list[Column]:
+    """A row's name and size without nulls, so that a window and an equal join over them ask for the same shuffle."""
+    return [F.coalesce(doc_id, F.lit(0)).alias("_id"), doc_id.isNull().alias("_nameless"), size.alias("_size")]
+
+
 def take(docs: DataFrame, **setting) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as it is taken, with its columns alone."""
-    columns = docs.columns
-    copies = mixed(docs, **setting).select("doc_id", "size", "copies")
-    held = copies.groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size")).agg(
-        F.array_sort(F.collect_list("copies")).alias("_copies")
-    )
+    """The mix itself: every row of ``docs`` as often as it is taken, with its columns alone; texts are shuffled once."""
+    columns, key = docs.columns, ["_id", "_nameless", "_size"]
+    copies = mixed(docs, **setting).select(*_key(F.col("doc_id"), F.col("size")), "copies")
+    held = copies.groupBy(*key).agg(F.array_sort(F.collect_list("copies")).alias("_copies"))
     rows = docs.select(
-        F.struct(*[docs[c] for c in columns]).alias("_doc"), docs["doc_id"].cast("long").alias("_id"),
-        word_count(docs["text"]).alias("_size"),
-    )
-    both = rows.alias("r").join(
-        held.alias("h"), F.col("r._id").eqNullSafe(F.col("h._id")) & (F.col("r._size") == F.col("h._size"))
+        F.struct(*[docs[c] for c in columns]).alias("_doc"), *_key(docs["doc_id"].cast("long"), word_count(docs["text"]))
     )
-    among = Window.partitionBy("r._id", "r._size").orderBy("_doc")
-    times = F.element_at("_copies", F.row_number().over(among))
-    repeated = both.select("_doc", times.cast("int").alias("_times")).filter("_times > 0")
+    # Numbered before they are joined: the window's shuffle and order serve the join as well.
+    numbered = rows.withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy("_doc")))
+    times = F.element_at("_copies", F.col("_nth"))
+    repeated = numbered.join(held, key).select("_doc", times.cast("int").alias("_times")).filter("_times > 0")
     return repeated.select("_doc", F.explode(F.array_repeat(F.lit(1), F.col("_times")))).select("_doc.*")

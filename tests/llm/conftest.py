@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import public_tokenizers
 import pytest
 
@@ -41,3 +43,31 @@ def odd(spark, odd_rows):
 @pytest.fixture(scope="session")
 def nothing(spark):
     return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def shuffled(spark):
+    """Gives a context in which plans join by shuffles alone, and a function for the columns of each shuffle of a plan."""
+    plain = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+
+    def columns(df):
+        found, left = [], [df._jdf.queryExecution().executedPlan()]
+        while left:
+            node = left.pop()
+            if node.nodeName() == "Exchange":
+                found.append([node.output().apply(i).name() for i in range(node.output().size())])
+            left += [node.children().apply(i) for i in range(node.children().size())]
+        return found
+
+    @contextmanager
+    def joins_by_shuffle():
+        before = {k: spark.conf.get(k, None) for k in plain}
+        for k, v in plain.items():
+            spark.conf.set(k, v)
+        try:
+            yield columns
+        finally:
+            for k, v in before.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+    return joins_by_shuffle

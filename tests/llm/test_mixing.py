@@ -79,6 +79,26 @@ def test_take_repeats_rows(odd, odd_rows):
     assert got.count() == want
 
 
+def test_take_shuffles_each_row_once(spark, shuffled):
+    docs = spark.range(50).selectExpr("id AS doc_id", "repeat('a ', cast(id AS int)) AS text", "'s' AS source")
+    with shuffled() as columns:
+        shuffles = columns(mixing.take(docs))
+    assert sum("_doc" in c for c in shuffles) == 1
+
+
+def test_take_gives_each_row_the_copies_of_its_name_and_size(spark):
+    """Repeated and null names, alone and with equal sizes; a null name is no name 0."""
+    texts = ["a b c", "a b d", "a b", None, ""]
+    rows = [(i, t, "s") for i in (0, None, 1) for t in texts for _ in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    want, got = Counter(), Counter()
+    for r in mixing.mixed(docs).collect():
+        want[r.doc_id, r.size] += r.copies
+    for r in mixing.take(docs).collect():
+        got[r.doc_id, len((r.text or "").split())] += 1
+    assert got == +want and sum(got.values()) > 0
+
+
 def test_empty(nothing):
     assert mixing.mixed(nothing).count() == 0
     assert mixing.take(nothing).count() == 0

@@ -74,6 +74,20 @@ def test_thresholds_reject_bad_and_keep_good(corpus):
     assert kept.columns == docs.columns and kept.count() == 4000 + 100 + 720
 
 
+def test_texts_are_not_shuffled_for_their_labels(corpus, shuffled, monkeypatch):
+    docs, labels = corpus
+    seen, thresholds = [], quality.thresholds
+
+    def watched(labelled, *rest):
+        seen.append(columns(labelled))
+        return thresholds(labelled, *rest)
+
+    monkeypatch.setattr(quality, "thresholds", watched)
+    with shuffled() as columns:
+        assert quality.keep_good(docs, labels).count() == 4000 + 100 + 720
+    assert seen[0] and not any({"text", "_doc"} & set(c) for c in seen[0])
+
+
 def test_risk_is_held_when_labels_are_noise(spark, corpus):
     docs, _ = corpus
     noise = docs.select("doc_id", (F.xxhash64("doc_id") % 2 == 0).cast("int").alias("quality"))
